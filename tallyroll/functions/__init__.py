@@ -9,6 +9,7 @@ from tallyroll.functions.text import (
     blank_to_null,
     key_text,
     or_else,
+    strip,
     title_ascii,
 )
 
@@ -29,6 +30,7 @@ __all__ = [
     "or_else",
     "plain_number",
     "report_date",
+    "strip",
     "title_ascii",
     "vendor_name",
 ]

@@ -29,7 +29,7 @@ def part_amount(c: Column) -> Column:
 
 def combined_amount(parts: Sequence[Column]) -> Column:
     """Sum of the parts; null as soon as one part is not a number."""
-    return reduce(lambda a, b: (a + b).cast(AMOUNT), [part_amount(p) for p in parts])
+    return reduce(lambda a, b: (a + b).try_cast(AMOUNT), [part_amount(p) for p in parts])
 
 
 def amount_text(c: Column) -> Column:

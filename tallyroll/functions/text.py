@@ -29,9 +29,14 @@ def or_else(c: Column, default: Column) -> Column:
     return F.when(blank(c), default).otherwise(c)
 
 
+def strip(c: Column) -> Column:
+    """Drop whitespace of any kind at both ends; `trim` drops spaces only."""
+    return F.regexp_replace(c, _EDGE_SPACE, "")
+
+
 def ascii_clean(c: Column) -> Column:
     """Drop characters outside ASCII, then whitespace at both ends."""
-    return F.regexp_replace(F.regexp_replace(c, _NOT_ASCII, ""), _EDGE_SPACE, "")
+    return strip(F.regexp_replace(c, _NOT_ASCII, ""))
 
 
 def title_ascii(c: Column) -> Column:

@@ -34,3 +34,58 @@ def values(spark):
         return [r.out for r in sorted(out, key=lambda r: r.i)]
 
     return run
+
+
+MAPPING = {
+    "Artist": ["Performer", "Artist Name"],
+    "Track": ["Song Title", "Track Title"],
+    "Album": ["Release"],
+    "ISRC": ["ISRC Code"],
+    "Play_Date": ["Sale Date"],
+    "Quantity": ["Units"],
+    "Net_Payment": ["Payable", "Net++Fee"],
+}
+
+CATEGORIES = [("V1", "Streaming"), ("V1", "Zeta"), ("V 2", "Download")]
+
+
+@pytest.fixture
+def mapping():
+    return dict(MAPPING)
+
+
+@pytest.fixture
+def write(tmp_path):
+    """Write one statement: write("Deal/V1/x_Apr_2016.csv", "header", "row", ...)."""
+
+    def run(where, *lines, root="statements"):
+        path = tmp_path / root / where
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("\n".join(lines) + ("\n" if lines else ""), encoding="utf-8")
+        return str(tmp_path / root)
+
+    return run
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    from tallyroll.sources.tables import Tables
+
+    made = Tables(spark, str(tmp_path / "tables")).create()
+    made.append(
+        "sales_category_lookup",
+        "lookup",
+        spark.createDataFrame(CATEGORIES, "vendor_name string, sales_category string"),
+    )
+    return made
+
+
+@pytest.fixture
+def song_table():
+    from tallyroll.operators.songs import latest_flags
+
+    def run(tables):
+        rows = latest_flags(tables.read("song")).drop("id").collect()
+        return sorted(tuple("" if v is None else str(v) for v in r) for r in rows)
+
+    return run
