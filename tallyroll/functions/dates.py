@@ -20,13 +20,29 @@ _MONTH_STARTS = "janfebmaraprmayjunjulaugsepoctnovdec"
 # The month in which each quarter ends.
 _QUARTER_END = {"QT1": "3", "QT2": "6", "QT3": "9", "QT4": "12"}
 
+# Day, month and four-digit year run together, and a time of day after a date.
 _DAY_MONTH_YEAR = r"^(3[0-1]|[1-2][0-9]|0[1-9]|[1-9])(1[0-2]|0[1-9]|[1-9])([0-9]{4})$"
-_TIME_SUFFIX = (
-    r"[ T]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[AaPp][Mm])?( ?(Z|[+-]\d{2}:?\d{2}))?$"
-)
-
-# Two-digit years from here on belong to the 1900s.
-_CENTURY_PIVOT = 70
+_TIME_SUFFIX = r"[ t]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[ap]m)?( ?(z|[+-]\d{2}:?\d{2}))?$"
+
+# Between fields that have been put in the order year, month, day; not ASCII, so it is
+# not in the text to begin with.
+_MARK = "§"
+_NAME = rf"(?=(?:{_MONTH_NAMES})[-/])([a-z]{{3}})[a-z]*"
+_DAY = r"(\d{1,2})"
+_YEAR_END = r"(\d{4}|\d{2})"
+
+# Rewrites to year§month§day, applied in turn; at most one of the first five matches.
+_REWRITES = [
+    (_DAY_MONTH_YEAR, "$3§$2§$1"),
+    (rf"^{_DAY}([-/]){_NAME}\2{_YEAR_END}$", "$4§$3§$1"),
+    (rf"^{_NAME}([-/]){_DAY}\2{_YEAR_END}$", "$4§$1§$3"),
+    (rf"^(\d{{4}})([-/]){_NAME}\2{_DAY}$", "$1§$3§$4"),
+    (rf"^{_DAY}([-/]){_DAY}\2{_YEAR_END}$", "$4§$1§$3"),
+    # Two-digit years from 70 on belong to the 1900s.
+    (r"^([7-9]\d)§", "19$1§"),
+    (r"^([0-6]\d)§", "20$1§"),
+]
+_ORDERED = r"^(?!0000)\d{4}([-/§])\d{1,2}\1\d{1,2}$"
 
 
 def month_number(c: Column) -> Column:
@@ -49,41 +65,22 @@ def any_date(c: Column) -> Column:
     Without `/` and `-` the text must be day, month and four-digit year run together.
     With them it is three fields: year first, or month first when that is a valid date
     and day first otherwise. Month names are allowed; a time of day is ignored.
-    """
-    compact = _make_date(
-        F.regexp_extract(c, _DAY_MONTH_YEAR, 3),
-        F.regexp_extract(c, _DAY_MONTH_YEAR, 2),
-        F.regexp_extract(c, _DAY_MONTH_YEAR, 1),
-    )
 
-    day_part = F.regexp_replace(c, _TIME_SUFFIX, "")
-    fields = F.split(day_part, "[-/]")
-    first, second, third = (F.get(fields, F.lit(i)) for i in range(3))
-    short = F.when(third.try_cast("int") >= _CENTURY_PIVOT, F.lit("19")).otherwise(F.lit("20"))
-    year = F.when(F.length(third) == 4, third).otherwise(F.concat(short, third))
-
-    number, name = r"\d{1,2}", f"({_MONTH_NAMES})"
-    year_end = r"(\d{4}|\d{2})"
-    shape = F.lower(day_part)
-    separated = (
-        F.when(
-            shape.rlike(rf"^\d{{4}}([-/])({number}|{name})\1{number}$"),
-            _make_date(first, month_number(second), third),
-        )
-        .when(
-            shape.rlike(rf"^{number}([-/]){number}\1{year_end}$"),
-            F.coalesce(_make_date(year, first, second), _make_date(year, second, first)),
-        )
-        .when(
-            shape.rlike(rf"^{number}([-/]){name}\1{year_end}$"),
-            _make_date(year, month_number(second), first),
-        )
-        .when(
-            shape.rlike(rf"^{name}([-/]){number}\2{year_end}$"),
-            _make_date(year, month_number(first), second),
-        )
+    The rewrites are nested one in the other, so the text is referred to once however
+    many forms there are, and the generated code stays small.
+    """
+    text = F.regexp_replace(F.lower(c), _TIME_SUFFIX, "")
+    for pattern, order in _REWRITES:
+        text = F.regexp_replace(text, pattern, order)
+    for month in range(12):
+        name = _MONTH_STARTS[3 * month : 3 * month + 3]
+        text = F.replace(text, F.lit(_MARK + name + _MARK), F.lit(f"{_MARK}{month + 1}{_MARK}"))
+    ordered = F.regexp_extract(text, _ORDERED, 0)
+    month_first = F.translate(ordered, "/" + _MARK, "--").try_cast("date")
+    day_first = F.regexp_replace(ordered, r"^(\d+)§(\d+)§(\d+)$", "$1-$3-$2").try_cast("date")
+    return F.when(c.rlike(r"^(?!0000)\d{4}-\d{2}-\d{2}$"), c.try_cast("date")).otherwise(
+        F.coalesce(month_first, day_first)
     )
-    return F.when(c.rlike("[-/]"), separated).when(c.rlike(_DAY_MONTH_YEAR), compact)
 
 
 def report_date(file_name: Column) -> Column:

@@ -25,8 +25,8 @@ FILE_FACTS = ["file_path", "deal_name", "vendor_name", "file_name", "report_date
 
 
 def cell(position: Column) -> Column:
-    """A cleaned cell; null where the position is null or the row is too short."""
-    return ascii_clean(F.get(F.col("cells"), position))
+    """A cleaned cell; null where it is blank, the position null or the row too short."""
+    return F.nullif(ascii_clean(F.get(F.col("cells"), position)), F.lit(""))
 
 
 def _sum_of_parts(target: str, size: int) -> Column:

@@ -32,15 +32,16 @@ def fill_defaults(rows: DataFrame) -> DataFrame:
 
     `play_day` is the parsed play date and `release_day` the parsed release date.
     """
-    play_text = or_else(F.col("Play_Date"), iso_text(F.col("report_date")))
-    return rows.withColumns(
+    filled = rows.withColumns(
         {
             "Track": or_else(F.col("Track"), F.col("Type")),
             "Artist": or_else(F.col("Artist"), F.col("deal_name")),
-            "play_day": any_date(play_text),
-            "release_day": any_date(F.col("Release_Date")),
+            "Play_Date": or_else(F.col("Play_Date"), iso_text(F.col("report_date"))),
         }
     )
+    return filled.withColumns(
+        {"play_day": any_date(F.col("Play_Date")), "release_day": any_date(F.col("Release_Date"))}
+    )
 
 
 def reject_reason() -> Column:

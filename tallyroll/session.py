@@ -10,6 +10,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Plans here are built from many small expressions; recording a Python stack trace for
+    # each of them costs seconds per plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # A partition column such as Report_Date stays the type its schema declares.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
