@@ -1,7 +1,7 @@
 """Column-to-column functions."""
 
 from tallyroll.functions.amounts import amount, amount_text, combined_amount, plain_number
-from tallyroll.functions.dates import any_date, iso_text, month_number, report_date
+from tallyroll.functions.dates import any_date, iso_text, report_date
 from tallyroll.functions.paths import deal_name, decode_path, file_name, vendor_name
 from tallyroll.functions.text import (
     ascii_clean,
@@ -26,7 +26,6 @@ __all__ = [
     "file_name",
     "iso_text",
     "key_text",
-    "month_number",
     "or_else",
     "plain_number",
     "report_date",

@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Java's \s covers space, tab, newline, vertical tab, form feed and return; the four
-# separators \x1c-\x1f are whitespace too where the statements come from.
-_EDGE_SPACE = r"^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-_ALL_SPACE = r"^[\s\x1c-\x1f]*$"
+# What counts as whitespace at the ends of a text.
+_SPACES = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
 _NOT_ASCII = r"[^\x00-\x7F]"
 
 # Not ASCII, so it cannot occur in text that title_ascii has already stripped to ASCII.
 _WORD_MARK = "§ "
 
 
+def strip(c: Column) -> Column:
+    """Drop whitespace of any kind at both ends; plain `trim` drops spaces only."""
+    return F.trim(c, F.lit(_SPACES))
+
+
 def blank(c: Column) -> Column:
     """True for null, empty and all-whitespace text; never null."""
-    return F.coalesce(c, F.lit("")).rlike(_ALL_SPACE)
+    return F.coalesce(strip(c), F.lit("")) == ""
 
 
 def blank_to_null(c: Column) -> Column:
@@ -29,14 +32,14 @@ def or_else(c: Column, default: Column) -> Column:
     return F.when(blank(c), default).otherwise(c)
 
 
-def strip(c: Column) -> Column:
-    """Drop whitespace of any kind at both ends; `trim` drops spaces only."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+def ascii_only(c: Column) -> Column:
+    """Drop characters outside ASCII; text that has none costs no regular expression."""
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(F.regexp_replace(c, _NOT_ASCII, ""))
 
 
 def ascii_clean(c: Column) -> Column:
     """Drop characters outside ASCII, then whitespace at both ends."""
-    return strip(F.regexp_replace(c, _NOT_ASCII, ""))
+    return strip(ascii_only(c))
 
 
 def title_ascii(c: Column) -> Column:
@@ -46,9 +49,12 @@ def title_ascii(c: Column) -> Column:
     put in front of every letter that follows another kind of non-letter, and taken out
     again afterwards (`Don'T`, `Ac/Dc`, `3Rd`). Blank text becomes null.
     """
-    ascii_only = F.regexp_replace(c, _NOT_ASCII, "")
-    marked = F.regexp_replace(ascii_only, "([^A-Za-z ])(?=[A-Za-z])", "$1" + _WORD_MARK)
-    titled = F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
+    text = ascii_only(c)
+    marked = F.regexp_replace(text, "([^A-Za-z ])(?=[A-Za-z])", "$1" + _WORD_MARK)
+    inner_word = text.rlike("[^A-Za-z ][A-Za-z]")
+    titled = F.when(
+        inner_word, F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
+    ).otherwise(F.initcap(text))
     return F.when(~blank(c), titled)
 
 

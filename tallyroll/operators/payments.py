@@ -78,10 +78,24 @@ def payment_rows(filled: DataFrame) -> DataFrame:
     )
 
 
-def ledger_totals(payments: DataFrame) -> DataFrame:
-    """Exact payment total of each file. Partial sums make a huge file one row per task."""
-    return payments.groupBy("deal_name", "vendor_name", F.col("File_Name").alias("file_name")).agg(
-        F.sum("net_amount").cast(TOTAL).alias("total_net_payment")
+def file_outcomes(payments: DataFrame) -> DataFrame:
+    """Bad rows and exact amount of each file by reject reason (null for good rows).
+
+    The one aggregate over payment rows that both the reject list and the ledger are read
+    from. Partial sums make a huge file one row per task and reason.
+    """
+    return payments.groupBy(
+        "file_path", "deal_name", "vendor_name", F.col("File_Name").alias("file_name"), "reject"
+    ).agg(F.count("reject").alias("bad_rows"), F.sum("net_amount").cast(TOTAL).alias("amount"))
+
+
+def ledger_totals(outcomes: DataFrame) -> DataFrame:
+    """Exact payment total of each file that has no bad row."""
+    return (
+        outcomes.groupBy(*FILE_KEY)
+        .agg(F.sum("amount").cast(TOTAL).alias("total_net_payment"), F.sum("bad_rows").alias("bad_rows"))
+        .where("bad_rows = 0")
+        .drop("bad_rows")
     )
 
 

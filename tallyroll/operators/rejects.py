@@ -14,12 +14,11 @@ def file_problems(files: DataFrame) -> DataFrame:
     return files.select("*", problem.alias("reason")).where("reason is not null")
 
 
-def row_problems(payments: DataFrame) -> DataFrame:
+def row_problems(outcomes: DataFrame) -> DataFrame:
     """Files with bad rows, one row per file and reason."""
-    return (
-        payments.where("reject is not null")
-        .groupBy("file_path", F.col("reject").alias("reason"))
-        .agg(F.count(F.lit(1)).alias("bad_rows"))
+    # By count, not by reason: a filter on a grouping column moves below the aggregate.
+    return outcomes.where("bad_rows > 0").select(
+        "file_path", F.col("reject").alias("reason"), "bad_rows"
     )
 
 

@@ -39,14 +39,15 @@ def candidates(payments: DataFrame, normalised: bool = False) -> DataFrame:
     shuffle as well, so a song holding much of the data costs one row per task. Stored
     payments are in title case already (`normalised`).
     """
-    named = payments.where(
-        ~blank(F.col("Artist")) & ~blank(F.col("Track")) & F.col("song_date").isNotNull()
-    ).select(*SONG_KEY, "song_date")
+    named = payments.where(~blank(F.col("Artist")) & ~blank(F.col("Track"))).select(*SONG_KEY, "song_date")
     if normalised:
         keyed = named.withColumns({c: key_text(F.col(c)) for c in ("ISRC", "Album")})
     else:
         keyed = normalise_keys(named)
-    return keyed.groupBy(*SONG_KEY).agg(F.min("song_date").alias("Release_Date"))
+    # Rows without a date are dropped by way of the minimum: a filter on the date itself
+    # would be pushed below the parsing of it and parse twice.
+    earliest = keyed.groupBy(*SONG_KEY).agg(F.min("song_date").alias("Release_Date"))
+    return earliest.where("Release_Date is not null")
 
 
 def current(versions: DataFrame) -> DataFrame:

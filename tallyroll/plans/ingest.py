@@ -124,16 +124,16 @@ def plan_files(tables: Tables, mapping: Mapping[str, Sequence[str]], files: Data
 def load_batch(tables: Tables, mapping: Mapping[str, Sequence[str]], files: DataFrame, load_id: str) -> str:
     """Load one batch and commit it; gives the id under which it was committed."""
     tables.stage("payment", load_id, batch_payments(tables.spark, files, mapping))
-    problems = rejects.row_problems(tables.staged("payment", load_id))
-    tables.stage("error_summary", load_id, rejects.error_rows(problems))
-    errors = tables.staged("error_summary", load_id)
+    outcomes_path = f"{tables.base}/runs/{load_id}-outcomes"
+    payments.file_outcomes(tables.staged("payment", load_id)).write.parquet(outcomes_path)
+    outcomes = tables.spark.read.parquet(outcomes_path)
+    errors = rejects.error_rows(rejects.row_problems(outcomes))
 
     draft = None
     if not errors.isEmpty():
         # Some file has a bad row: keep the others' rows, under an id of their own.
         draft, load_id = load_id, f"{load_id}-clean"
         tables.stage("error_summary", load_id, errors)
-        errors = tables.staged("error_summary", load_id)
         tables.stage("payment", load_id, rejects.accepted(tables.staged("payment", draft), errors))
         files = rejects.accepted(files, errors)
 
@@ -148,11 +148,10 @@ def load_batch(tables: Tables, mapping: Mapping[str, Sequence[str]], files: Data
         load_id,
         songs.song_delta(songs.current(tables.read("song")), songs.candidates(rows, normalised=True)),
     )
-    tables.stage("file_summary", load_id, payments.ledger_rows(files, payments.ledger_totals(rows)))
+    tables.stage("file_summary", load_id, payments.ledger_rows(files, payments.ledger_totals(outcomes)))
     tables.commit(load_id)
     if draft:
         tables.clear("payment", draft)
-        tables.clear("error_summary", draft)
     return load_id
 
 

@@ -15,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores where a scan has fewer splits than there are cores.
+
+    A small table in one row group is one task, whatever is computed from it. A table of
+    many splits is left as it is, so nothing is shuffled that is large.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def day(column: str) -> Column:
     return F.col(column).cast("date")
 
@@ -105,7 +115,7 @@ def statement_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFram
     """Statement lines with the given columns."""
     needed = {t for c in columns for t in _DEFINITIONS[c][1]}
     needed |= {t for n in needed for t in _THROUGH.get(n, ())}
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     for name, left, right in _JOINS:
         if name in needed:
             other = table(spark, sf_dir, name)

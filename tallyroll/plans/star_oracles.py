@@ -246,6 +246,9 @@ SELECT 's3://bucket/in/' || deal_name || '/' || vendor_name || '/' || file_name
     "accepted_totals": f"""{_LOAD}
 SELECT deal_name, vendor_name, file_name, CAST(sum(net) AS DOUBLE) AS total_net_payment
 FROM loaded GROUP BY ALL HAVING NOT bool_or(bad)""",
+    "accepted_lines": f"""{_LOAD}
+SELECT 's3://bucket/in/' || deal_name || '/' || vendor_name || '/' || file_name AS file_path,
+  count(*) AS lines FROM loaded GROUP BY ALL HAVING NOT bool_or(bad)""",
     "files_without_category": f"""WITH {_LINES}, {_PLANNED}, {_VENDOR_LOOKUP}
 SELECT vendor_name, 'vendor has no sale category' AS reason, count(*) AS files
 FROM planned WHERE vendor_name NOT IN (SELECT vendor_name FROM lookup) GROUP BY vendor_name""",

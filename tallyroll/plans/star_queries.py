@@ -11,11 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.functions import amount_text, any_date, ascii_clean, blank, combined_amount, key_text, title_ascii
+from tallyroll.functions import amount, amount_text, any_date, ascii_clean, blank, combined_amount, key_text, title_ascii
 from tallyroll.operators import manifest, payments, rejects, songs
 from tallyroll.operators.conform import conform
 from tallyroll.operators.layout import FILE_COLUMNS, resolve
-from tallyroll.plans.star_lines import day, money_text, statement_file, statement_lines, table
+from tallyroll.plans.star_lines import day, spread, statement_file, statement_lines, table
 from tallyroll.schemas import FILE_KEY, PAYMENT_COLUMNS, SONG_KEY
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,14 +128,14 @@ def new_header_versions(spark, sf_dir):
 
 @query
 def ascii_cleaned(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", ascii_clean(F.col("text")).alias("clean"))
 
 
 @query
 def blank_lines(spark, sf_dir):
     """Lines of every document with how many of them are blank."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     return lines.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_lines"),
@@ -356,7 +356,8 @@ def payment_rows(spark, sf_dir):
 
 
 def _totals(rows: DataFrame) -> DataFrame:
-    return payments.ledger_totals(rows).select(*FILE_KEY, _double("total_net_payment"))
+    totals = payments.ledger_totals(payments.file_outcomes(rows))
+    return totals.select(*FILE_KEY, _double("total_net_payment"))
 
 
 @query
@@ -367,7 +368,9 @@ def ledger_totals(spark, sf_dir):
         "deal_name",
         "vendor_name",
         F.col("file_name").alias("File_Name"),
-        combined_amount([F.col("Net_Payment")]).alias("net_amount"),
+        F.col("file_name").alias("file_path"),
+        F.lit(None).cast("string").alias("reject"),
+        amount(F.col("Net_Payment")).alias("net_amount"),
     )
     return _totals(amounts)
 
@@ -375,14 +378,21 @@ def ledger_totals(spark, sf_dir):
 @query
 def rejected_files(spark, sf_dir):
     """Files with bad rows, with how many and why."""
-    return rejects.row_problems(_loaded_rows(spark, sf_dir))
+    return rejects.row_problems(payments.file_outcomes(_loaded_rows(spark, sf_dir)))
 
 
 @query
 def accepted_totals(spark, sf_dir):
     """Ledger totals of files without any bad row."""
+    return _totals(_loaded_rows(spark, sf_dir))
+
+
+@query
+def accepted_lines(spark, sf_dir):
+    """Payment lines left per file once files with any bad row are taken out whole."""
     rows = _loaded_rows(spark, sf_dir)
-    return _totals(rejects.accepted(rows, rejects.row_problems(rows)))
+    bad = rejects.row_problems(payments.file_outcomes(rows))
+    return rejects.accepted(rows, bad).groupBy("file_path").agg(F.count(F.lit(1)).alias("lines"))
 
 
 @query
