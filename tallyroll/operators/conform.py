@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroll.functions import amount_text, ascii_clean, blank, plain_number
-from tallyroll.functions.amounts import part_amount
+from tallyroll.functions import amount_text, ascii_clean, blank, combined_amount, plain_number
 from tallyroll.operators.layout import (
     FILE_COLUMNS,
     aliases_of,
@@ -17,28 +17,35 @@ from tallyroll.operators.layout import (
     position_name,
     summed_columns,
 )
-from tallyroll.schemas import AMOUNT
 from tallyroll.sources.mapping import header_key
 
 # Per-file facts every row carries.
 FILE_FACTS = ["file_path", "deal_name", "vendor_name", "file_name", "report_date", "sale_category"]
 
 
-def cell(position: Column) -> Column:
-    """A cleaned cell; null where it is blank, the position null or the row too short."""
-    return F.nullif(ascii_clean(F.get(F.col("cells"), position)), F.lit(""))
+def _part_columns(target: str, size: int) -> list[str]:
+    """Columns for the cells of a sum; as many as the mapping's longest sum has parts."""
+    return [f"part{i}_{target}" for i in range(size)]
+
+
+def _cleaned_cells(rows: DataFrame, sums: Mapping[str, int]) -> DataFrame:
+    """Add `text_<column>` for every column and `part<i>_<column>` for sums, all cleaned.
+
+    In two steps, so that a cell is taken out and cleaned once however often it is used.
+    """
+    cells = F.col("cells")
+    raw = {f"text_{t}": F.get(cells, F.col(position_name(t))) for t in FILE_COLUMNS}
+    for t, size in sums.items():
+        for i, name in enumerate(_part_columns(t, size)):
+            raw[name] = F.get(cells, F.get(F.col(parts_name(t)), F.lit(i)))
+    taken = rows.withColumns(raw).drop("cells")
+    return taken.withColumns({name: ascii_clean(F.col(name)) for name in raw})
 
 
 def _sum_of_parts(target: str, size: int) -> Column:
-    """The parts' exact sum. Unrolled to the mapping's longest sum, so it stays in codegen."""
-    parts = F.col(parts_name(target))
-    zero = F.lit(0).cast(AMOUNT)
-    total = zero
-    for i in range(size):
-        position = F.get(parts, F.lit(i))
-        term = F.when(position.isNull(), zero).otherwise(part_amount(cell(position)))
-        total = (total + term).try_cast(AMOUNT)
-    return total
+    """The parts' exact sum, null without parts or where one is not a number."""
+    total = combined_amount([F.col(name) for name in _part_columns(target, size)])
+    return F.when(F.col(parts_name(target)).isNotNull(), total)
 
 
 def _part_of_sum(target: str, mapping: Mapping[str, Sequence[str]]) -> list[str]:
@@ -59,32 +66,33 @@ def conform(rows: DataFrame, layouts: DataFrame, mapping: Mapping[str, Sequence[
     """
     sums = summed_columns(mapping)
     joined = rows.join(layouts.select(*FILE_FACTS, *layout_columns(mapping)), "file_path")
+    cleaned = _cleaned_cells(joined, sums)
+    if sums:
+        cleaned = cleaned.withColumns({f"sum_{t}": _sum_of_parts(t, n) for t, n in sums.items()})
 
-    sum_columns = {
-        f"sum_{t}": F.when(F.col(parts_name(t)).isNotNull(), _sum_of_parts(t, n)) for t, n in sums.items()
-    }
-    summed = joined.withColumns(sum_columns) if sums else joined
+    def by_sum(target: str) -> Column:
+        return F.col(parts_name(target)).isNotNull()
 
-    def text(target: str) -> Column:
-        value = cell(F.col(position_name(target)))
+    def value(target: str) -> Column:
+        text = F.col(f"text_{target}")
+        value = F.when(text != "", text)
         users = [t for t in _part_of_sum(target, mapping) if t != target]
         if users:
             # A column that was summed stays as the plain number that went into the sum.
-            used = F.lit(False)
-            for t in users:
-                used = used | F.coalesce(
-                    F.array_contains(parts_name(t), F.col(position_name(target))), F.lit(False)
-                )
-            plain = F.when(blank(value), F.lit("0.0")).otherwise(plain_number(value))
+            at = F.col(position_name(target))
+            used = reduce(
+                Column.__or__,
+                [F.coalesce(F.array_contains(parts_name(t), at), F.lit(False)) for t in users],
+            )
+            plain = F.when(blank(text), F.lit("0.0")).otherwise(plain_number(text))
             value = F.when(used, plain).otherwise(value)
         if target in sums:
-            by_sum = F.col(parts_name(target)).isNotNull()
-            value = F.when(by_sum, amount_text(F.col(f"sum_{target}"))).otherwise(value)
+            value = F.when(by_sum(target), amount_text(F.col(f"sum_{target}"))).otherwise(value)
         if target == "Source":
             value = F.when(F.col(position_name(target)).isNull(), F.col("vendor_name")).otherwise(value)
         return value.alias(target)
 
     bad = F.lit(None).cast("string")
     for t in reversed(list(sums)):
-        bad = F.when(F.col(parts_name(t)).isNotNull() & F.col(f"sum_{t}").isNull(), F.lit(t)).otherwise(bad)
-    return summed.select(*FILE_FACTS, *[text(t) for t in FILE_COLUMNS], bad.alias("bad_amount"))
+        bad = F.when(by_sum(t) & F.col(f"sum_{t}").isNull(), F.lit(t)).otherwise(bad)
+    return cleaned.select(*FILE_FACTS, *[value(t) for t in FILE_COLUMNS], bad.alias("bad_amount"))

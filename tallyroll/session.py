@@ -13,6 +13,10 @@ SETTINGS = {
     # Plans here are built from many small expressions; recording a Python stack trace for
     # each of them costs seconds per plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # A stage that cleans many columns compiles to one long method; the JVM would interpret
+    # it for good instead of compiling it.
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     # A partition column such as Report_Date stays the type its schema declares.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

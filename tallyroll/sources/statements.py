@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 _GLOB_CHARS = re.compile(r"([{}\[\]*?\\])")
 _LINE_END = re.compile(rb"[\r\n]")
 _CHUNK = 64 * 1024
+csv.field_size_limit(1 << 30)
 
 # A listing reads no content, so its tasks need not follow the sizes of the files.
 _LISTING_TASKS = "512"
@@ -80,7 +81,7 @@ def _probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             try:
                 with open_uri(uri) as stream:
                     header = header_of(stream)
-            except OSError as error:
+            except (OSError, csv.Error) as error:
                 problem = f"unreadable file: {type(error).__name__}"
             headers.append(header)
             problems.append(problem)

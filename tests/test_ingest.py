@@ -4,7 +4,9 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from tallyroll.plans.ingest import Limits, ingest
+from pyspark.sql import Row
+
+from tallyroll.plans.ingest import Batch, Limits, ingest, plan_batches
 from tallyroll.schemas import PAYMENT_COLUMNS
 
 PLAIN = "Artist,Track,Album,ISRC,Play_Date,Quantity,Net_Payment,Territory"
