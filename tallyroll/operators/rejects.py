@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _file_reason() -> Column:
+    no_category = F.when(F.col("sale_category").isNull(), F.lit("vendor has no sale category"))
+    return F.coalesce("problem", no_category)
+
+
 def file_problems(files: DataFrame) -> DataFrame:
     """Files whose name, header or vendor already rules them out."""
-    problem = F.coalesce(
-        "problem", F.when(F.col("sale_category").isNull(), F.lit("vendor has no sale category"))
-    )
-    return files.select("*", problem.alias("reason")).where("reason is not null")
+    return files.select("*", _file_reason().alias("reason")).where("reason is not null")
+
+
+def loadable(files: DataFrame) -> DataFrame:
+    """Files that nothing known before reading their rows rules out."""
+    return files.where(_file_reason().isNull())
 
 
 def row_problems(outcomes: DataFrame) -> DataFrame:

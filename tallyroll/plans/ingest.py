@@ -27,6 +27,9 @@ from tallyroll.sources.tables import Tables
 # Row width up to which files share one scan; beyond it the width doubles per scan.
 _NARROW = 32
 
+# About a kilobyte each, so at most some twenty megabytes.
+_BROADCAST_FILES = 20_000
+
 
 class Limits(NamedTuple):
     """Bounds of one batch. A single larger file is a batch of its own."""
@@ -85,12 +88,15 @@ def plan_batches(months: Sequence, limits: Limits) -> Iterator[Batch]:
         yield whole(group)
 
 
-def scan_batch(spark: SparkSession, files: DataFrame, mapping: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Rows of a batch's files, from one scan per width class (16 at the very most)."""
+def used_positions(files: DataFrame, mapping: Mapping[str, Sequence[str]]) -> list:
+    """Path and needed cell positions of each of a batch's files."""
     places = [F.array(c) if c.startswith("at_") else F.col(c) for c in layout_columns(mapping)]
     used = F.array_distinct(F.flatten(F.filter(F.array(*places), lambda p: p.isNotNull())))
-    chosen = files.select("path", F.filter(used, lambda p: p.isNotNull()).alias("used")).collect()
+    return files.select("path", F.filter(used, lambda p: p.isNotNull()).alias("used")).collect()
 
+
+def scan_batch(spark: SparkSession, chosen: Sequence) -> DataFrame:
+    """Rows of a batch's files, from one scan per width class (16 at the very most)."""
     classes: dict[int, list] = {}
     for file in chosen:
         width = max(file.used, default=0) + 1
@@ -105,11 +111,15 @@ def scan_batch(spark: SparkSession, files: DataFrame, mapping: Mapping[str, Sequ
 def batch_payments(spark: SparkSession, files: DataFrame, mapping: Mapping[str, Sequence[str]]) -> DataFrame:
     """Payment rows of a batch, with reject reasons; no shuffle, no Python.
 
-    The file side of the join is at most a batch's files, one row of facts and positions
-    each, which is what makes the broadcast safe.
+    The file side of the join is one small row of facts and positions per file. It is
+    broadcast up to a number of files that the default limits stay below; a caller's larger
+    batch leaves the choice of join to Spark.
     """
-    facts = F.broadcast(files.select(*FILE_FACTS, *layout_columns(mapping)))
-    rows = conform(scan_batch(spark, files, mapping), facts, mapping)
+    chosen = used_positions(files, mapping)
+    facts = files.select(*FILE_FACTS, *layout_columns(mapping))
+    if len(chosen) <= _BROADCAST_FILES:
+        facts = F.broadcast(facts)
+    rows = conform(scan_batch(spark, chosen), facts, mapping)
     return payments.payment_rows(payments.fill_defaults(rows))
 
 
@@ -173,7 +183,7 @@ def load_files(
         loads.append(f"{run_id}-files")
         tables.append("error_summary", loads[0], rejects.error_rows(ruled_out))
 
-    loadable = rejects.accepted(planned, ruled_out)
+    loadable = rejects.loadable(planned)
     months = (
         loadable.groupBy("report_date")
         .agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))

@@ -288,8 +288,7 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _loaded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payment rows of all files that have a vendor category, bad rows among them."""
     files = _planned_files(spark, sf_dir)
-    loadable = files.where(F.col("problem").isNull() & F.col("sale_category").isNotNull())
-    conformed = conform(_rows(spark, sf_dir), loadable, MAPPING)
+    conformed = conform(_rows(spark, sf_dir), rejects.loadable(files), MAPPING)
     return payments.payment_rows(payments.fill_defaults(conformed))
 
 
