@@ -97,7 +97,10 @@ def with_headers(files: DataFrame, tasks: int | None = None) -> DataFrame:
     Spark's own readers cannot stop after one line per file, so a header scan would read
     the whole input a second time. Here each task opens its files and reads one chunk.
     """
-    tasks = tasks or files.sparkSession.sparkContext.defaultParallelism * 2
+    spark = files.sparkSession
+    tasks = tasks or max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
     return files.repartition(tasks, "file_path").mapInArrow(
         _probe, f"{schema}, header array<string>, header_problem string"
