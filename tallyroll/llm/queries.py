@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from tallyroll.llm.shards import shards
 from tallyroll.llm.token_files import token_files
 
 QUERIES = {
     "op7_token_files": token_files,
+    "op8_shards": shards,
 }
 ORACLES: dict[str, str] = {}

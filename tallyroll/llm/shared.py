@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,66 +75,86 @@ def bounded_ids(rows: DataFrame, id_col: str, by: list[str], per_class: int) ->
     )
 
 
-def running(
-    df: DataFrame, order: list[str], counts: Callable[[pa.RecordBatch], dict[str, list]], name: str
-) -> tuple[DataFrame, list[tuple]]:
-    """Rows in global `order` with running sums before each row within its partition.
+@dataclass(frozen=True)
+class Counter:
+    """A running sum of `weight` (rows if none) among rows of the same `group` (all if none)."""
 
-    `counts(batch)` gives named lists of integers, one number a row. The stored result has the
-    columns of `df`, `part` and, for each name, the sum over the partition's earlier rows; with
-    it come (part, totals by name) of every partition, in order: as many rows as partitions.
+    name: str
+    group: str | None = None
+    weight: str | None = None
+
+
+@dataclass(frozen=True)
+class Running:
+    rows: DataFrame
+    #: By counter name: (part, group, total), as many as partitions times groups.
+    totals: dict[str, list[tuple[int, int, int]]]
+
+    def total(self, name: str) -> int:
+        return sum(t for _, _, t in self.totals[name])
+
+    def before(self, counter: Counter, groups: int = 1) -> Column:
+        """The counter's sum over all earlier rows of the whole table."""
+        parts = 1 + max((p for p, _, _ in self.totals[counter.name]), default=-1)
+        own = [0] * (parts * groups)
+        for part, group, total in self.totals[counter.name]:
+            own[part * groups + group] = total
+        total, start = [0] * groups, []
+        for i, v in enumerate(own):
+            start.append(total[i % groups])
+            total[i % groups] += v
+        at = F.col("part") * groups + (F.col(counter.group) if counter.group else 0)
+        return F.col(counter.name) + lookup(start, at)
+
+
+def running(df: DataFrame, order: list[str], counters: list[Counter], name: str) -> Running:
+    """Running sums in global `order` without a global sort in one task: range partitions are
+    sorted and summed on their own, and the driver adds up one number a partition and group.
+    Groups are small integers from 0, never null. The rows get `part` and one column a counter.
     """
-    names = list(counts(pa.RecordBatch.from_pylist([], schema=to_arrow(df))))
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema]
-        + ["part int"]
-        + [f"`{n}` long, `{n}_upto` long" for n in names]
-    )
-    arrow = to_arrow(df)
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema]
+    schema = ", ".join([*fields, "part int", *(f"`{c.name}` long" for c in counters)])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        total = dict.fromkeys(names, 0)
+        totals: dict[str, dict[int, int]] = {c.name: {} for c in counters}
         for batch in batches:
-            values = counts(batch)
-            columns = [batch.column(i).cast(arrow.field(i).type) for i in range(batch.num_columns)]
-            columns.append(pa.array([part] * batch.num_rows, pa.int32()))
-            for n in names:
-                before, upto = [], []
-                t = total[n]
-                for v in values[n]:
-                    before.append(t)
-                    t += v
-                    upto.append(t)
-                total[n] = t
-                columns += [pa.array(before, pa.int64()), pa.array(upto, pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                columns, names=[*arrow.names, "part", *(x for n in names for x in (n, n + "_upto"))]
-            )
-
-    rows = stored(
-        df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(add, schema), name
-    )
-    totals = rows.groupBy("part").agg(*(F.max(n + "_upto").alias(n) for n in names))
-    return rows.drop(*(n + "_upto" for n in names)), sorted(tuple(r) for r in totals.collect())
+            columns = [*batch.columns, pa.array([part] * batch.num_rows, pa.int32())]
+            for c in counters:
+                weight = _numbers(batch, c.weight, 1)
+                group = _numbers(batch, c.group, 0)
+                out, total = np.zeros(batch.num_rows, np.int64), totals[c.name]
+                for g in np.unique(group).tolist():
+                    at = group == g
+                    upto = np.cumsum(weight[at]) + total.get(g, 0)
+                    out[at] = upto - weight[at]
+                    total[g] = int(upto[-1])
+                columns.append(pa.array(out))
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "part", *totals])
+
+    in_order = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = stored(in_order.mapInArrow(add, schema), name)
+    totals = {}
+    for c in counters:
+        group = F.col(c.group).cast("int") if c.group else F.lit(0)
+        weight = F.sum(c.weight) if c.weight else F.count("*")
+        sums = rows.groupBy("part", group.alias("group")).agg(weight.alias("total")).collect()
+        totals[c.name] = [(r.part, r.group, r.total) for r in sums]
+    return Running(rows, totals)
+
+
+def _numbers(batch: pa.RecordBatch, column: str | None, constant: int) -> np.ndarray:
+    if column is None:
+        return np.full(batch.num_rows, constant, np.int64)
+    return batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def lookup(values: list[int], index: Column) -> Column:
+    """Element `index` of a small list that the driver made."""
+    return F.element_at(F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>"), index + 1)
 
 
 def to_arrow(df: DataFrame) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(df.schema)
-
-
-def starts(totals: list[tuple], at: int = 1) -> dict[int, int]:
-    """The sum over all earlier partitions, for each partition of `running`."""
-    out, total = {}, 0
-    for row in totals:
-        out[row[0]] = total
-        total += row[at]
-    return out
-
-
-def lookup(values: dict[int, int], key: Column) -> Column:
-    """A small driver-made mapping (one number a partition) as a column."""
-    text = F.lit(",".join(str(values.get(i, 0)) for i in range(max(values, default=-1) + 1)))
-    return F.element_at(F.split(text, ",").cast("array<bigint>"), key + 1)

@@ -19,6 +19,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.llm.encoding import encoder
-from tallyroll.llm.shared import lookup, new_path, partitions_for, starts, stored, to_arrow
+from tallyroll.llm.shared import lookup, new_path, partitions_for, stored, to_arrow
 
 MAGIC = b"TRIDS001"
 #: Bits for each key of a level: about half of the keys stay at each.
@@ -241,7 +242,9 @@ def read_token_files(catalog: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 yield _rows(arrow, shard=part.column("shard").to_pylist(), id=ids, at=begin.tolist(), n_tokens=size.tolist(), ids_crc32=crc)
 
     found = keys.repartition("shard").sortWithinPartitions("shard").mapInArrow(read, schema)
-    before = lookup(starts(sorted((r.shard, r.n_tokens) for r in totals)), F.col("shard"))
+    tokens = {r.shard: r.n_tokens for r in totals}
+    sizes = [tokens.get(i, 0) for i in range(1 + max(tokens, default=-1))]
+    before = lookup([0, *accumulate(sizes)], F.col("shard"))
     return found.select(
         F.col("id").alias(id_col), (before + F.col("at")).alias("start"), "n_tokens", "ids_crc32"
     )
