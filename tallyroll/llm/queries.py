@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from tallyroll.llm.packing import packing
 from tallyroll.llm.shards import shards
 from tallyroll.llm.token_files import token_files
 
 QUERIES = {
+    "op4_packing": packing,
     "op7_token_files": token_files,
     "op8_shards": shards,
 }
