@@ -60,7 +60,7 @@ class _Words(dict):
 class Encoder:
     """Memory is bounded: caches start anew at `most_words` entries."""
 
-    def __init__(self, path: str, most_words: int = 400_000):
+    def __init__(self, path: str, most_words: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from tallyroll.llm.language import language
 from tallyroll.llm.packing import packing
+from tallyroll.llm.quality_rules import quality_rules
 from tallyroll.llm.shards import shards
 from tallyroll.llm.token_files import token_files
 
 QUERIES = {
+    "op1_language": language,
+    "op3_quality_rules": quality_rules,
     "op4_packing": packing,
     "op7_token_files": token_files,
     "op8_shards": shards,

@@ -241,10 +241,11 @@ def read_token_files(catalog: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 crc = [zlib.crc32(shard.payload[s : s + n].astype("<u4").tobytes()) for s, n in zip(begin, size, strict=True)]
                 yield _rows(arrow, shard=part.column("shard").to_pylist(), id=ids, at=begin.tolist(), n_tokens=size.tolist(), ids_crc32=crc)
 
-    found = keys.repartition("shard").sortWithinPartitions("shard").mapInArrow(read, schema)
     tokens = {r.shard: r.n_tokens for r in totals}
     sizes = [tokens.get(i, 0) for i in range(1 + max(tokens, default=-1))]
     before = lookup([0, *accumulate(sizes)], F.col("shard"))
+    # a shard's file is far larger than its keys: the number of tasks is ours, not by shuffle size
+    found = keys.repartition(max(1, len(tokens)), "shard").sortWithinPartitions("shard").mapInArrow(read, schema)
     return found.select(
         F.col("id").alias(id_col), (before + F.col("at")).alias("start"), "n_tokens", "ids_crc32"
     )
