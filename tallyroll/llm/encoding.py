@@ -2,21 +2,26 @@
 
 A byte-level BPE tokenizer first cuts a text at its pattern, and a single space between two
 visible characters is always such a cut. So words are encoded once by the tokenizers library
-and remembered; a text is its words' ids joined. Anything unusual (other white space, marks,
-apostrophes) goes to the library as it is.
+and remembered; a text is its words' ids joined. Plain words are cut further at their
+punctuation, and the pieces go to the library already cut. Anything unusual (other white
+space, marks, apostrophes) goes to the library as it is.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PLAIN = re.compile(rf"(?:[{_LETTERS}0-9.,;:!?|()-]|(?<=[^\n])\n(?=[^\n]))+")
+_PLAIN = re.compile(rf"[{_LETTERS}0-9.,;:!?|()\n-]+")
 _PIECES = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[.,;:!?|()-]+|\n")
+#: Pieces in one call of the library.
+_CALL = 1000
 
 
 def _byte_characters() -> dict[int, str]:
@@ -27,38 +32,8 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class _Pieces(dict):
-    """Ids of one cut of the pattern, as bytes."""
-
-    def __init__(self, tokenizer, code: str, most: int):
-        self.model, self.code, self.most = tokenizer.model, code, most
-        self.characters = _byte_characters()
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        shown = piece.encode().decode("latin1").translate(self.characters)
-        ids = self[piece] = array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
-        return ids
-
-
-class _Words(dict):
-    """Ids of a word with a space before it, as bytes; KeyError where a space is no cut."""
-
-    def __init__(self, encoder: Encoder, most: int):
-        self.encoder, self.most = encoder, most
-
-    def __missing__(self, word: str) -> bytes:
-        if not word or word[0].isspace() or word[-1].isspace():
-            raise KeyError(word)
-        if len(self) >= self.most:
-            self.clear()
-        ids = self[word] = self.encoder.whole(" " + word)
-        return ids
-
-
 class Encoder:
-    """Memory is bounded: caches start anew at `most_words` entries."""
+    """Memory is bounded: caches start anew beyond `most_words` entries."""
 
     def __init__(self, path: str, most_words: int = 600_000):
         from tokenizers import Tokenizer
@@ -67,39 +42,102 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
         self.code, self.dtype = ("I", "<u4") if wide else ("H", "<u2")
-        self.pieces = _Pieces(self.tokenizer, self.code, most_words // 2)
-        self.words = _Words(self, most_words)
-
-    def whole(self, text: str) -> bytes:
-        """Ids of any text without the word cache."""
-        bare = text[1:] if text[:1] == " " else text
-        if _PLAIN.fullmatch(bare) and bare[-1] != "\n":
-            return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text)))
-        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.characters = _byte_characters()
+        self.space, self.newline = self.characters[ord(" ")], self.characters[ord("\n")]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.lengths[i] = len(token)
+        self.most = most_words
+        #: Ids, as bytes, of a word with a space before it, and of a piece as it is.
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned integers of `dtype`."""
+        if len(self.words) > self.most:
+            self.words.clear()
+        if len(self.pieces) > self.most // 2:
+            self.pieces.clear()
+        split = [t.split(" ") if t else [] for t in texts]
+        need: set[str] = set()
+        for words in split:
+            need.update(words[1:])
+        self._learn(need - self.words.keys())
+        # a word that has white space at an end, or is empty, isn't learned: then a space near
+        # it may be no cut, and the library gets the whole text
+        out = []
+        for text, words in zip(texts, split, strict=True):
+            first = words[0] if words else ""
+            try:
+                if len(words) > 1 and (not first or first[-1].isspace()):
+                    raise KeyError(first)
+                tail = b"".join(map(self.words.__getitem__, words[1:]))
+                out.append(self._library(first) + tail)
+            except KeyError:
+                out.append(self._library(text))
+        return out
 
     def encode(self, text: str | None) -> bytes:
-        """Ids of a text as little-endian unsigned integers of `dtype`."""
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        if not rest:
-            return self.whole(text)
-        if not first or first[-1].isspace():
-            return self._library(text)
-        try:
-            tail = b"".join(map(self.words.__getitem__, rest))
-        except KeyError:
-            return self._library(text)
-        return self.whole(first) + tail
+        return self.encode_many([text])[0]
 
     def _library(self, text: str) -> bytes:
+        if not text:
+            return b""
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def ids(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(self.encode(text), self.dtype)
+    def _learn(self, words: set[str]) -> None:
+        single, several, unknown = {}, {}, set()
+        for w in words:
+            if w.isalpha() and w.isascii():
+                single[w] = " " + w
+            elif not w or w[0].isspace() or w[-1].isspace():
+                continue
+            elif _PLAIN.fullmatch(w) and "\n\n" not in w:
+                several[w] = own = _PIECES.findall(" " + w)
+                unknown.update(own)
+            else:
+                self.words[w] = self._library(" " + w)
+        unknown.update(single.values())
+        self._learn_pieces(list(unknown - self.pieces.keys()))
+        pieces = self.pieces
+        self.words.update((w, pieces[own]) for w, own in single.items())
+        self.words.update((w, b"".join([pieces[x] for x in own])) for w, own in several.items())
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        shown = [
+            p.replace(" ", self.space).replace("\n", self.newline)
+            if p.isascii()
+            else p.encode().decode("latin1").translate(self.characters)
+            for p in pieces
+        ]
+        calls = [shown[i : i + _CALL] for i in range(0, len(shown), _CALL)]
+        for k, e in enumerate(self.bare.encode_batch_fast(calls, is_pretokenized=True, add_special_tokens=False)):
+            ids = np.array(e.ids, self.dtype)
+            # tokens don't cross pieces, so a piece ends where as many characters have passed
+            passed = np.cumsum(self.lengths[ids])
+            ends = np.searchsorted(passed, np.cumsum([len(p) for p in calls[k]])) + 1
+            data, begin = ids.tobytes(), 0
+            for p, end in zip(pieces[k * _CALL :], (ends * ids.itemsize).tolist(), strict=False):
+                self.pieces[p] = data[begin:end]
+                begin = end
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder a Python worker and tokenizer file."""
     return Encoder(path)
+
+
+def text_chunks(batch: pa.RecordBatch, column: str, most: int = 1 << 21) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Slices of a batch with their texts, each of about `most` characters (or one row)."""
+    texts, size, begin = [], 0, 0
+    for at, value in enumerate(batch.column(column)):
+        texts.append(value.as_py())
+        size += len(texts[-1] or "")
+        if size >= most:
+            yield batch.slice(begin, at + 1 - begin), texts
+            texts, size, begin = [], 0, at + 1
+    if texts:
+        yield batch.slice(begin), texts

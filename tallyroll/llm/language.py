@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyroll.llm.encoding import text_chunks
 from tallyroll.llm.shared import bounded_ids, learning_share, to_arrow
 
 BLOCK = 512
@@ -192,16 +193,9 @@ def languages(
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = parser(samples)
         for batch in batches:
-            column, at = batch.column("text"), 0
-            while at < batch.num_rows:
-                texts, size, begin = [], 0, at
-                while at < batch.num_rows and size < 1 << 20:
-                    texts.append(column[at].as_py() or "")
-                    size += len(texts[-1])
-                    at += 1
-                names, scores = own.predict(texts)
-                ids = batch.column("id").slice(begin, at - begin)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(names), pa.array(scores)], schema=arrow)
+            for some, texts in text_chunks(batch, "text"):
+                names, scores = own.predict([t or "" for t in texts])
+                yield pa.RecordBatch.from_arrays([some.column("id"), pa.array(names), pa.array(scores)], schema=arrow)
 
     pairs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return pairs.mapInArrow(judge, schema).withColumnRenamed("id", id_col)

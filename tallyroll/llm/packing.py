@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyroll.llm.encoding import encoder
+from tallyroll.llm.encoding import encoder, text_chunks
 from tallyroll.llm.shared import Counter, running, stored, to_arrow
 
 
@@ -113,14 +113,8 @@ def packed(
         end = np.array([end_id], enc.dtype).tobytes()
         width = int(enc.dtype[-1])
         for batch in batches:
-            texts, at = batch.column("text"), 0
-            while at < batch.num_rows:
-                ids, size, begin = [], 0, at
-                while at < batch.num_rows and size < 8 << 20:
-                    ids.append(enc.encode(texts[at].as_py()) + end)
-                    size += len(ids[-1])
-                    at += 1
-                some = batch.slice(begin, at - begin)
+            for some, texts in text_chunks(batch, "text"):
+                ids = [x + end for x in enc.encode_many(texts)]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "uid": some.column("uid"),
