@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallyroll.llm.jaccard import jaccard
 from tallyroll.llm.language import language
 from tallyroll.llm.packing import packing
 from tallyroll.llm.quality_rules import quality_rules
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_language": language,
     "op3_quality_rules": quality_rules,
     "op4_packing": packing,
+    "op5_jaccard": jaccard,
     "op7_token_files": token_files,
     "op8_shards": shards,
 }
