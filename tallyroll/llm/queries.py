@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallyroll.llm.decontamination import decontamination
 from tallyroll.llm.jaccard import jaccard
 from tallyroll.llm.language import language
 from tallyroll.llm.packing import packing
@@ -11,6 +12,7 @@ from tallyroll.llm.token_files import token_files
 
 QUERIES = {
     "op1_language": language,
+    "op2_decontamination": decontamination,
     "op3_quality_rules": quality_rules,
     "op4_packing": packing,
     "op5_jaccard": jaccard,
