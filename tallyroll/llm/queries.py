@@ -9,6 +9,7 @@ from tallyroll.llm.packing import packing
 from tallyroll.llm.quality_rules import quality_rules
 from tallyroll.llm.shards import shards
 from tallyroll.llm.token_files import token_files
+from tallyroll.llm.toxicity import toxicity
 
 QUERIES = {
     "op1_language": language,
@@ -18,5 +19,6 @@ QUERIES = {
     "op5_jaccard": jaccard,
     "op7_token_files": token_files,
     "op8_shards": shards,
+    "op9_toxicity": toxicity,
 }
 ORACLES: dict[str, str] = {}
