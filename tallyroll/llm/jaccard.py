@@ -10,7 +10,7 @@
    with.
 4. Components of the links found.
 
-A family larger than `block` is cut into blocks that all hold one common member, which is
+A family of more than `block` shingles is cut into blocks that all hold one common member, which is
 enough where copies are alike; members still apart then meet block by block. So a task's
 memory is bounded and nothing is dropped. Shingles are 64-bit hashes.
 
@@ -200,7 +200,7 @@ def jaccard_components(
     den: int = 100,
     id_col: str = "doc_id",
     text_col: str = "text",
-    block: int = 1000,
+    block: int = 2_000_000,
 ) -> DataFrame:
     """(id, n_shingles, component_id): components of "Jaccard >= num/den" over all documents."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -225,16 +225,17 @@ def jaccard_components(
     rows = signed.select("k1", F.explode("sigs").alias("sig"))
     shared = rows.groupBy("sig").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo < hi")
     shared = stored(shared.select("sig", "lo"), "jaccard-shared")
-    candidates = rows.join(shared, "sig").filter("k1 != lo").select(F.col("k1").alias("a"), F.col("lo").alias("b"))
+    # both sides shuffled on the signature at any size: shared ones grow with the input
+    candidates = rows.join(shared.hint("merge"), "sig").filter("k1 != lo").select(F.col("k1").alias("a"), F.col("lo").alias("b"))
     families = stored(components(candidates), "jaccard-families")
 
     sets = signed.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"))
     members = stored(
         sets.join(families, sets["k1"] == families["node"]).filter("rep IS NOT NULL")
-        .select("rep", "component", (F.col("k1") == F.col("component")).alias("pivot")),
+        .select("rep", "n", "component", (F.col("k1") == F.col("component")).alias("pivot")),
         "jaccard-members",
     )
-    sizes = members.groupBy("component").agg(F.count("*").alias("members"))
+    sizes = members.groupBy("component").agg(F.sum("n").alias("shingles"))
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in _chunks(batches):
@@ -246,7 +247,7 @@ def jaccard_components(
             )
 
     placed = members.join(sizes, "component").select(
-        "rep", "component", "pivot", F.ceil(F.col("members") / block).cast("int").alias("blocks")
+        "rep", "component", "pivot", F.ceil(F.col("shingles") / block).cast("int").alias("blocks")
     )
     schema = f"rep {id_type}, component long, pivot boolean, blocks int, shingles array<long>"
     with_sets = stored(
