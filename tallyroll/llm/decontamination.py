@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from tallyroll.llm.encoding import text_chunks
 from tallyroll.llm.shared import to_arrow
-from tallyroll.llm.shingles import mix
 
+#: The hash below is made for Q = 10.
 Q, WINDOW, STRIDE, EDITS = 10, 80, 40, 0.08
 _SPACE, _END = 32, 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -71,11 +71,17 @@ def normal(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def grams(codes: np.ndarray) -> np.ndarray:
-    n = max(len(codes) - Q + 1, 0)
-    h = np.zeros(n, np.uint64)
-    for j in range(Q):
-        h = h * _BASE + codes[j : n + j]
-    return mix(h)
+    """Hash of the Q characters from each place: pairs, then pairs of those, and so on."""
+    n = len(codes) - Q + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    power = lambda k: np.uint64(pow(int(_BASE), k, 1 << 64))
+    h1 = codes.astype(np.uint64)
+    h2 = h1[:-1] * power(1) + h1[1:]
+    h4 = h2[:-2] * power(2) + h2[2:]
+    h8 = h4[:-4] * power(4) + h4[4:]
+    h = h8[:n] * power(2) + h2[8 : 8 + n]
+    return (h ^ (h >> np.uint64(29))) * _BASE
 
 
 @dataclass

@@ -7,6 +7,7 @@ from tallyroll.llm.jaccard import jaccard
 from tallyroll.llm.language import language
 from tallyroll.llm.packing import packing
 from tallyroll.llm.quality_rules import quality_rules
+from tallyroll.llm.repeats import repeats
 from tallyroll.llm.shards import shards
 from tallyroll.llm.token_files import token_files
 from tallyroll.llm.toxicity import toxicity
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_quality_rules": quality_rules,
     "op4_packing": packing,
     "op5_jaccard": jaccard,
+    "op6_repeats": repeats,
     "op7_token_files": token_files,
     "op8_shards": shards,
     "op9_toxicity": toxicity,
