@@ -6,6 +6,7 @@ from tallyroll.llm.decontamination import decontamination
 from tallyroll.llm.jaccard import jaccard
 from tallyroll.llm.language import language
 from tallyroll.llm.packing import packing
+from tallyroll.llm.quality_crf import quality
 from tallyroll.llm.quality_rules import quality_rules
 from tallyroll.llm.repeats import repeats
 from tallyroll.llm.shards import shards
@@ -22,5 +23,6 @@ QUERIES = {
     "op7_token_files": token_files,
     "op8_shards": shards,
     "op9_toxicity": toxicity,
+    "op10_quality": quality,
 }
 ORACLES: dict[str, str] = {}

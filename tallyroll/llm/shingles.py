@@ -46,25 +46,36 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_hashes(column: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of a column, and where each text's words begin, with the end."""
-    raw, begin = text_bytes(column)
-    if not len(raw):
-        return np.zeros(0, np.uint64), np.zeros(len(begin), np.int64)
-    if lower:
-        raw = _LOWER[raw]
+def word_bounds(raw: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of all words (no word crosses the places `begin`), and which are the first
+    of the stretches from one such place to the next, with the end."""
     visible = ~_SPACE[raw]
     first, last = visible.copy(), visible.copy()
     first[1:] &= ~visible[:-1]
     last[:-1] &= ~visible[1:]
-    inner = begin[1:-1][begin[1:-1] < len(raw)]
+    inner = begin[(begin > 0) & (begin < len(raw))]
     first[inner] |= visible[inner]
-    last[inner[inner > 0] - 1] |= visible[inner[inner > 0] - 1]
+    last[inner - 1] |= visible[inner - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    # sum of byte values times powers, divided by the power of the word's place
+    return starts, ends, np.searchsorted(starts, begin)
+
+
+def hashes_of(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of bytes: the sum of byte values times powers of a base,
+    divided by the power of the stretch's place."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * _powers(_P, len(raw)))])
-    hashes = mix((sums[ends] - sums[starts]) * _powers(_P_INVERSE, len(raw))[starts])
-    return hashes, np.searchsorted(starts, begin)
+    return mix((sums[ends] - sums[starts]) * _powers(_P_INVERSE, len(raw))[starts])
+
+
+def word_hashes(column: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a column, and where each text's words begin, with the end."""
+    raw, begin = text_bytes(column)
+    if lower:
+        raw = _LOWER[raw]
+    starts, ends, first = word_bounds(raw, begin)
+    return hashes_of(raw, starts, ends), first
 
 
 def shingle_sets(column: pa.Array, k: int, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
