@@ -3,7 +3,9 @@
 1. Equal sets become one (their key is a checksum of the set).
 2. Sets that can link are brought together: by size class, a set's shingles are dealt into
    more parts than a linked pair can differ in, so linked sets agree in a part. Sets sharing a
-   part are connected to the least of them; connected sets are one family.
+   part are connected to the least of them; connected sets are one family. Frequent shingles
+   (known from a sample of documents; which ones they are doesn't change the result) stay out
+   of the parts, so that a passage many documents share doesn't join their families.
 3. In a family the sets, ordered by how many members have a shingle, are stored in a prefix
    tree. A set walks the tree once, sharing overlaps of common beginnings, and leaves subtrees
    whose remaining lengths can't reach the threshold, or whose members it is already linked
@@ -45,11 +47,16 @@ def size_classes(num: int, den: int, most: int) -> list[int]:
     return [*out, max(out[-1] + 1, (out[-1] - 1) * den // num + 1)]
 
 
-def signatures(h: np.ndarray, begin: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+def signatures(
+    h: np.ndarray, begin: np.ndarray, num: int, den: int, frequent: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """(set index, signature): two sets with Jaccard >= num/den share at least one."""
     n = np.diff(begin)
     border = np.array(size_classes(num, den, int(n.max(initial=1))))
     own = np.searchsorted(border, n, side="right") - 1
+    slot = np.minimum(np.searchsorted(frequent, h), max(len(frequent) - 1, 0))
+    rare = frequent[slot] != h if len(frequent) else np.ones(len(h), bool)
+    every = np.ones(len(h), bool)
     indices, sigs = [], []
     for role in (0, 1):
         c = own - role
@@ -57,37 +64,31 @@ def signatures(h: np.ndarray, begin: np.ndarray, num: int, den: int) -> tuple[np
         # symmetric difference of a linked pair: at most (1 - t) / (1 + t) of the sum of sizes
         low, high = border[c[use] + 1] - 1, border[np.minimum(c[use] + 2, len(border) - 1)] - 1
         parts = (den - num) * (low + high) // (den + num) + 1
-        first, indices_1, sigs_1 = _parts(h, begin, use, parts, c[use], 3)
-        indices.append(indices_1)
-        sigs.append(sigs_1)
-        # A part that is empty says little. Sets that agree in an empty part are told apart by
-        # a second dealing, which is as exact.
-        hollow = first == 0
-        again = np.flatnonzero(hollow)
-        if len(again):
-            which = np.repeat(np.arange(len(use)), parts)[again]
-            part = again - (np.cumsum(parts) - parts)[which]
-            _, indices_2, sigs_2 = _parts(h, begin, use[which], parts[which], c[use][which] * 4099 + part + 1, 5)
-            keep = np.ones(len(first), bool)
-            keep[again] = False
-            indices[-1], sigs[-1] = indices_1[keep], sigs_1[keep]
-            indices.append(indices_2)
-            sigs.append(sigs_2)
+        members, index, sig = _parts(h, begin, use, parts, c[use], 3, rare)
+        indices.append(index[members > 0])
+        sigs.append(sig[members > 0])
+        # Empty parts say nothing. Sets that agree in empty parts alone have such a part both,
+        # and both get a second dealing, of all their shingles, which is as exact.
+        hollow = np.isin(use, index[members == 0])
+        _, index, sig = _parts(h, begin, use[hollow], parts[hollow], c[use][hollow], 5, every)
+        indices.append(index)
+        sigs.append(sig)
     return np.concatenate(indices), np.concatenate(sigs)
 
 
-def _parts(h, begin, use, parts, tag, seed):
+def _parts(h, begin, use, parts, tag, seed, chosen):
     """Members, set index and signature of every part of the sets `use`."""
     size = begin[use + 1] - begin[use]
     row = np.repeat(np.arange(len(use)), size)
     at = np.repeat(begin[use] - (np.cumsum(size) - size), size) + np.arange(len(row))
+    row, at = row[chosen[at]], at[chosen[at]]
     base = np.cumsum(parts) - parts
     own = mix(h[at], seed)
     slot = base[row] + ((own >> np.uint64(33)) % parts[row].astype(np.uint64)).astype(np.int64)
     total = int(parts.sum())
     which = np.repeat(np.arange(len(use)), parts)
     number = np.arange(total) - base[which]
-    place = mix(tag[which].astype(np.uint64) * np.uint64(1 << 20) + number.astype(np.uint64), seed + 1)
+    place = mix(tag[which].astype(np.uint64) * np.uint64(1 << 32) + number.astype(np.uint64), seed + 1)
     members = np.bincount(slot, minlength=total)
     return members, use[which], mix(sums_by(slot, mix(own, seed), total) ^ place, 9)
 
@@ -201,17 +202,22 @@ def jaccard_components(
     id_col: str = "doc_id",
     text_col: str = "text",
     block: int = 2_000_000,
+    passes: int = 1,
+    most_frequent: int = 100_000,
 ) -> DataFrame:
-    """(id, n_shingles, component_id): components of "Jaccard >= num/den" over all documents."""
+    """(id, n_shingles, component_id): components of "Jaccard >= num/den" over all documents.
+    Candidates are found in `passes` shares of the signatures, to use less disk at a time."""
     id_type = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
+    frequent = _frequent(own, k, most_frequent)
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in _chunks(batches):
             h, begin = shingle_sets(some.column("text"), k)
             n = np.diff(begin)
             owner = np.repeat(np.arange(len(n)), n)
-            index, sig = signatures(h, begin, num, den)
+            index, sig = signatures(h, begin, num, den, frequent)
             order = np.argsort(index, kind="stable")
             ends = np.searchsorted(index[order], np.arange(len(n) + 1)).astype(np.int32)
             lists = pa.ListArray.from_arrays(ends, pa.array(sig[order].view(np.int64)))
@@ -222,11 +228,15 @@ def jaccard_components(
 
     signed = stored(own.mapInArrow(sign, f"id {id_type}, n long, k1 long, k2 long, sigs array<long>"), "jaccard-signed")
 
-    rows = signed.select("k1", F.explode("sigs").alias("sig"))
-    shared = rows.groupBy("sig").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo < hi")
-    shared = stored(shared.select("sig", "lo"), "jaccard-shared")
-    # both sides shuffled on the signature at any size: shared ones grow with the input
-    candidates = rows.join(shared.hint("merge"), "sig").filter("k1 != lo").select(F.col("k1").alias("a"), F.col("lo").alias("b"))
+    candidates = None
+    for share in range(passes):
+        rows = signed.select("k1", F.explode("sigs").alias("sig")).filter(F.pmod("sig", F.lit(passes)) == share)
+        shared = rows.groupBy("sig").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo < hi")
+        shared = stored(shared.select("sig", "lo"), "jaccard-shared")
+        # both sides shuffled on the signature at any size: shared ones grow with the input
+        found = rows.join(shared.hint("merge"), "sig").filter("k1 != lo")
+        found = stored(found.select(F.col("k1").alias("a"), F.col("lo").alias("b")).distinct(), "jaccard-pairs")
+        candidates = found if candidates is None else candidates.union(found)
     families = stored(components(candidates), "jaccard-families")
 
     sets = signed.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"))
@@ -251,7 +261,7 @@ def jaccard_components(
     )
     schema = f"rep {id_type}, component long, pivot boolean, blocks int, shingles array<long>"
     with_sets = stored(
-        placed.join(own, placed["rep"] == own["id"])
+        placed.hint("merge").join(own, placed["rep"] == own["id"])
         .select("rep", "component", "pivot", "blocks", "text")
         .mapInArrow(shingle, schema),
         "jaccard-sets",
@@ -290,6 +300,20 @@ def jaccard_components(
     )
 
 
+def _frequent(own: DataFrame, k: int, most: int, share: int = 16, least: int = 3) -> np.ndarray:
+    """At most `most` shingles, ascending: the most frequent in one of `share` documents."""
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _chunks(batches):
+            h, _ = shingle_sets(some.column("text"), k)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
+
+    sample = own.filter(F.pmod(F.xxhash64("id"), F.lit(share)) == 0)
+    counts = sample.select("text").mapInArrow(shingle, "h long").groupBy("h").agg(F.count("*").alias("n"))
+    top = counts.filter(F.col("n") >= least).orderBy(F.desc("n"), "h").limit(most).collect()
+    return np.sort(np.array([r.h for r in top], np.int64).view(np.uint64))
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Slices of batches whose texts have about `_CHUNK` bytes, or one row."""
     for batch in batches:
@@ -336,6 +360,16 @@ def _joined(rows: DataFrame, id_type: str, num: int, den: int) -> DataFrame:
     )
 
 
+def first_of_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Documents that are the first (least id) of their component, with all their columns.
+    Rows alike in id and text are one document; an id stays with all its texts if one of them
+    is first; rows with a null id stay."""
+    found = jaccard_components(docs, id_col=id_col, text_col=text_col, **options)
+    later = found.groupBy(F.col(id_col).alias("_id")).agg(F.min(F.col("component_id") < F.col(id_col)).alias("_later"))
+    kept = docs.join(later.filter("_later").hint("merge"), docs[id_col] == F.col("_id"), "left_anti")
+    return kept.dropDuplicates([id_col, text_col])
+
+
 def jaccard(spark, sf_dir: str) -> DataFrame:
     """Query op5: components of documents whose 3-word shingles are 90 % the same."""
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))

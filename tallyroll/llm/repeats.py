@@ -210,13 +210,14 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, block_rows: int,
     )
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
     text = F.col(text_col)
     return docs.select(
         F.col(id_col).alias("id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id_"),
         F.xxhash64(text).alias("text_hash"),
         text.alias("text"),
+        *more,
     )
 
 
@@ -261,15 +262,18 @@ def _large_buckets(rows: DataFrame) -> DataFrame:
     )
 
 
+_COUNTS = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+
+
 def without_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_rows: int = 50_000, bucket_rows: int = 50_000
 ) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row; `kept` are the bytes
-    left (they may end within a character)."""
+    """(row, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document; `row` is the
+    whole row, `kept` are the bytes left (a cut may split a character)."""
     spans = stored(repeated_spans(docs, id_col, text_col, block_rows, bucket_rows), "repeat-spans")
-    own = _keyed(docs, id_col, text_col).join(spans, ["id_", "text_hash"], "left")
-    id_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    whole = _keyed(docs, id_col, text_col, F.struct("*").alias("row")).drop("id", "text")
+    own = whole.join(spans, ["id_", "text_hash"], "left").withColumn("text", F.col(f"row.`{text_col}`"))
+    schema = f"row {own.schema['row'].dataType.simpleString()}, {_COUNTS}"
     arrow = to_arrow(docs.sparkSession.createDataFrame([], schema))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,13 +291,23 @@ def without_repeats(
                 kept = text[~covered].tobytes()
                 starts = int(np.count_nonzero(covered[1:] & ~covered[:-1])) + int(len(text) > 0 and covered[0])
                 rows.append((len(text), int(covered.sum()), starts, hashlib.sha256(kept).hexdigest(), kept))
-            columns = [some.column("id"), *(pa.array(c) for c in zip(*rows, strict=True))]
+            columns = [some.column("row"), *(pa.array(c) for c in zip(*rows, strict=True))]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
-    return own.select("id", "text", "spans").mapInArrow(cut, schema).withColumnRenamed("id", id_col)
+    return own.select("row", "text", "spans").mapInArrow(cut, schema)
+
+
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents with what is left of their texts (null stays null; parts of a character
+    that a cut split go too), and all other columns."""
+    found = without_repeats(docs, id_col, text_col, **options)
+    left = F.when(F.col(f"row.`{text_col}`").isNotNull(), F.try_validate_utf8(F.col("kept").cast("string")))
+    repaired = F.coalesce(left, F.when(F.col(f"row.`{text_col}`").isNotNull(), F.make_valid_utf8(F.col("kept").cast("string"))))
+    repaired = F.replace(repaired, F.lit("\ufffd"), F.lit(""))
+    return found.select(*((repaired if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def repeats(spark, sf_dir: str) -> DataFrame:
     """Query op6: what is left of every document without earlier documents' passages."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return without_repeats(docs).drop("kept")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return without_repeats(docs).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
