@@ -6,6 +6,10 @@ smaller id. Passages (windows) are found in three steps.
 1. Buckets. Every window is named by the least-hashed `SEED`-byte string in it, so equal
    windows, wherever they are, have the same name at the same place. Names found in one
    document only are dropped: their windows can't repeat.
+   Long stretches (from one rarer name to the second next) that a smaller id has too are settled
+   as a whole by their 128-bit checksum; what is left are the borders of repeated text, and
+   short passages. A document that is the least to have a name has nothing to drop there; its
+   surroundings are fetched only for names that others still ask about.
 2. Blocks. The surroundings of a name's occurrences (the windows it names) are the suffixes of
    one bucket, without repetition. A task takes some buckets at a time and sorts their suffixes
    for each place of the name: by their first 16 bytes, and longer ties by the rank of the
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tallyroll.llm.jaccard import _chunks
 from tallyroll.llm.shared import stored, to_arrow
-from tallyroll.llm.shingles import mix, text_bytes
+from tallyroll.llm.shingles import hashes_of, mix, text_bytes
 
 LENGTH, SEED = 50, 24
 _PLACES = LENGTH - SEED + 1
@@ -45,7 +49,9 @@ COVER, PERIOD = (0, 1, 2, 5, 8), 16
 #: Columns of a bucket's row: the name begins at column `_PLACES - 1`.
 _WIDTH = _PLACES - 1 + LENGTH
 _BYTE = mix(np.arange(256, dtype=np.uint64), 40)
-_BASE = 0x9E3779B97F4A7C15
+_BASE, _BASE_2 = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
+#: One in so many names is a rarer one.
+_RARER = 8
 
 
 def seeds(raw: np.ndarray) -> np.ndarray:
@@ -66,17 +72,32 @@ def names(raw: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     if len(raw) < LENGTH:
         return none, none, np.zeros(0, np.uint64)
     h = seeds(raw)
-    least, place = h, np.arange(len(h), dtype=np.int32)
+    # the least hash and, of equal ones, the first place: the place is in the low bits
+    bits = np.uint64(len(h).bit_length())
+    least = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64)
     span = 1
     while span < _PLACES:
         step = min(span, _PLACES - span)
-        left = least[:-step] <= least[step:]
-        place = np.where(left, place[:-step], place[step:])
-        least = np.where(left, least[:-step], least[step:])
+        least = np.minimum(least[:-step], least[step:])
         span += step
+    place = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
     size = np.maximum(np.diff(begin) - LENGTH + 1, 0)
     inside = np.repeat(begin[:-1] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-    return inside, place[inside].astype(np.int64), least[inside]
+    place = place[inside]
+    return inside, place, h[place]
+
+
+def stretches(raw: np.ndarray, begin: np.ndarray, place: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Begin, end and two checksums of the stretches between rarer names of one text."""
+    new = np.ones(len(place), bool)
+    new[1:] = place[1:] != place[:-1]
+    at = place[new][h[new] % np.uint64(_RARER) == 0]
+    low, high = at[:-2], at[2:] + SEED
+    same = np.searchsorted(begin, low, side="right") == np.searchsorted(begin, high - 1, side="right")
+    use = same & (high - low >= LENGTH)
+    low, high = low[use], high[use]
+    length = mix((high - low).astype(np.uint64), 43)
+    return low, high, hashes_of(raw, low, high) ^ length, hashes_of(raw, low, high, _BASE_2) ^ length
 
 
 def passage_ids(rows: np.ndarray, first: np.ndarray, last: np.ndarray, bucket: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -116,7 +137,8 @@ def passage_ids(rows: np.ndarray, first: np.ndarray, last: np.ndarray, bucket: n
 
 
 def repeated_spans(docs: DataFrame, id_col: str, text_col: str, block_rows: int, bucket_rows: int) -> DataFrame:
-    """(id_, text_hash, spans): windows that go, as (first window's begin, their least ids) runs."""
+    """(id_, text_hash, spans): bytes that go, as stretches (at, length) or, from the window at
+    `at` on, which of the next windows go."""
     spark = docs.sparkSession
     own = _keyed(docs, id_col, text_col)
 
@@ -126,54 +148,79 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, block_rows: int,
             window, place, h = names(raw, begin)
             new = np.ones(len(place), bool)
             new[1:] = place[1:] != place[:-1]
-            ends = np.searchsorted(window[new], begin)
-            lists = pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(h[new].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([some.column("id_"), some.column("text_hash"), lists], names=["id_", "text_hash", "names"])
-
-    named = stored(own.mapInArrow(name, "id_ long, text_hash long, names array<long>"), "repeat-names")
-    each = named.select("id_", "text_hash", F.explode("names").alias("h"))
-    common = each.groupBy("h").agg(F.min("id_").alias("lo"), F.max("id_").alias("hi")).filter("lo < hi").select("h")
-    common = stored(common, "repeat-common")
-    # both sides shuffled on the name at any size: common ones grow with the input
-    lists = stored(
-        each.join(common.hint("merge"), "h").groupBy("id_", "text_hash").agg(F.collect_set("h").alias("common")),
-        "repeat-lists",
-    )
+            ends = np.searchsorted(window[new], begin).astype(np.int32)
+            low, _, g1, g2 = stretches(raw, begin, place, h)
+            long_ends = np.searchsorted(low, begin).astype(np.int32)
+            lists = [(ends, h[new]), (long_ends, g1), (long_ends, g2)]
+            arrays = [pa.ListArray.from_arrays(e, pa.array(v.view(np.int64))) for e, v in lists]
+            yield pa.RecordBatch.from_arrays(
+                [some.column("id_"), some.column("text_hash"), *arrays], names=["id_", "text_hash", "names", "g1", "g2"]
+            )
+
+    schema = "id_ long, text_hash long, names array<long>, g1 array<long>, g2 array<long>"
+    named = stored(own.mapInArrow(name, schema), "repeat-names")
+    key = ["id_", "text_hash"]
+    # joins below shuffle both sides at any size: what is common grows with the input
+    long = named.select(*key, F.explode(F.arrays_zip("g1", "g2")).alias("g")).select(*key, "g.g1", "g.g2")
+    least = long.groupBy("g1", "g2").agg(F.min("id_").alias("lo"), F.max("id_").alias("hi")).filter("lo < hi")
+    settled = stored(
+        long.join(least.drop("hi").hint("merge"), ["g1", "g2"]).filter("id_ > lo")
+        .groupBy(*key).agg(F.collect_set("g1").alias("settled")),
+        "repeat-settled",
+    )
+    each = named.select(*key, F.explode("names").alias("h"))
+    common = each.groupBy("h").agg(F.min("id_").alias("lo"), F.max("id_").alias("hi")).filter("lo < hi")
+    common = stored(common.drop("hi"), "repeat-common")
+    wanted = each.join(common.hint("merge"), "h").filter("id_ > lo").groupBy(*key).agg(F.collect_set("h").alias("wanted"))
+    lists = stored(wanted.join(settled.hint("merge"), key, "left"), "repeat-lists")
 
     member_schema = "h long, id_ long, text_hash long, at long, place int, around binary"
     member_arrow = to_arrow(spark.createDataFrame([], member_schema))
 
     def surround(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each run of windows of a wanted name; rows without a name are settled
+        stretches (`place` is their length)."""
         for some in _chunks(batches):
             raw, begin = text_bytes(some.column("text"))
             window, place, h = names(raw, begin)
             owner = np.searchsorted(begin, window, side="right") - 1
-            own_lists = some.column("common")
-            flat = own_lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            whose = np.repeat(np.arange(len(own_lists)), own_lists.value_lengths().to_numpy(zero_copy_only=False))
-            known = np.sort(mix(flat ^ mix(whose.astype(np.uint64), 41)))
+            low, high, g1, _ = stretches(raw, begin, place, h)
+            whose = np.searchsorted(begin, low, side="right") - 1
+            done = _listed(some.column("settled"), g1, whose)
+            low, high = low[done], high[done]
+            change = np.zeros(len(raw) + 2, np.int32)
+            np.add.at(change, low, 1)
+            np.add.at(change, high - LENGTH + 1, -1)
+            open_ = np.flatnonzero(np.cumsum(change)[window] == 0) if len(low) else np.arange(len(window))
+            window, place, h, owner = window[open_], place[open_], h[open_], owner[open_]
             new = np.ones(len(place), bool)
-            new[1:] = (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])
+            new[1:] = (place[1:] != place[:-1]) | (window[1:] != window[:-1] + 1) | (owner[1:] != owner[:-1])
             a = np.flatnonzero(new)
             b = np.append(a[1:], len(place)) - 1
-            key = mix(h[a] ^ mix(owner[a].astype(np.uint64), 41))
-            slot = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
-            hit = known[slot] == key if len(known) else np.zeros(len(a), bool)
+            hit = _listed(some.column("wanted"), h[a], owner[a])
             a, b = a[hit], b[hit]
-            low, high = window[a], window[b] + LENGTH
-            data = raw.tobytes()
+            first, behind, data = window[a], window[b] + LENGTH, raw.tobytes()
+            around = [data[s:e] for s, e in zip(first.tolist(), behind.tolist(), strict=True)]
+            # where the first window begins, counted so that the name is at _PLACES - 1
+            within = first - place[a] + _PLACES - 1
+            whose = np.concatenate([owner[a], np.searchsorted(begin, low, side="right") - 1])
             columns = {
-                "h": pa.array(h[a].view(np.int64)),
-                "id_": some.column("id_").take(pa.array(owner[a])),
-                "text_hash": some.column("text_hash").take(pa.array(owner[a])),
-                "at": pa.array(low - begin[owner[a]]),
-                # where the first window begins, counted so that the name is at _PLACES - 1
-                "place": pa.array((low - place[a] + _PLACES - 1).astype(np.int32)),
-                "around": pa.array([data[s:e] for s, e in zip(low.tolist(), high.tolist(), strict=True)], pa.binary()),
+                "h": pa.concat_arrays([pa.array(h[a].view(np.int64)), pa.nulls(len(low), pa.int64())]),
+                "id_": some.column("id_").take(pa.array(whose)),
+                "text_hash": some.column("text_hash").take(pa.array(whose)),
+                "at": pa.array(np.concatenate([first, low]) - begin[whose]),
+                "place": pa.array(np.concatenate([within, high - low]).astype(np.int32)),
+                "around": pa.array([*around, *[None] * len(low)], pa.binary()),
             }
             yield pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in member_arrow], schema=member_arrow)
 
-    members = stored(own.join(lists, ["id_", "text_hash"]).mapInArrow(surround, member_schema), "repeat-members")
+    targets = stored(own.join(lists.hint("merge"), key).mapInArrow(surround, member_schema), "repeat-members")
+    asked = targets.filter("h IS NOT NULL").select("h").distinct().join(common.hint("merge"), "h")
+    holders = asked.groupBy(F.col("lo").alias("id_")).agg(
+        F.collect_set("h").alias("wanted"), F.lit(None).cast("array<bigint>").alias("settled")
+    )
+    sources = own.join(holders.hint("merge"), "id_").mapInArrow(surround, member_schema)
+    members = stored(targets.filter("h IS NOT NULL").union(sources), "repeat-members")
     rows = stored(
         members.groupBy("h", "place", "around").agg(F.min("id_").alias("lo"), F.max("id_").alias("hi")), "repeat-rows"
     )
@@ -204,10 +251,24 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, block_rows: int,
     # what no member has to drop is left out
     judged = judged.filter(F.array_min("ids") < F.col("hi")).select(*_row_key(), "ids")
     judged = stored(judged, "repeat-judged")
-    spans = members.select("id_", "text_hash", "at", *_row_key()).join(judged, ["k1", "k2"])
-    return spans.filter(F.array_min("ids") < F.col("id_")).groupBy("id_", "text_hash").agg(
-        F.collect_list(F.struct("at", F.transform("ids", lambda i: i < F.col("id_")).alias("gone"))).alias("spans")
+    found = targets.select("id_", "text_hash", "at", *_row_key()).join(judged, ["k1", "k2"]).filter(
+        F.array_min("ids") < F.col("id_")
+    ).select("id_", "text_hash", "at", F.transform("ids", lambda i: i < F.col("id_")).alias("gone"), F.lit(0).alias("length"))
+    whole = targets.filter("h IS NULL").select(
+        "id_", "text_hash", "at", F.lit(None).cast("array<boolean>").alias("gone"), F.col("place").alias("length")
     )
+    spans = F.collect_list(F.struct("at", "gone", "length")).alias("spans")
+    return found.union(whole).groupBy("id_", "text_hash").agg(spans)
+
+
+def _listed(lists: pa.Array, h: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Which hashes are in the list of their text."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    size = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    known = np.sort(mix(flat ^ mix(np.repeat(np.arange(len(lists)), size).astype(np.uint64), 41)))
+    key = mix(h ^ mix(owner.astype(np.uint64), 41))
+    slot = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
+    return known[slot] == key if len(known) else np.zeros(len(h), bool)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
@@ -284,6 +345,10 @@ def without_repeats(
                 text = raw[begin[i] : begin[i + 1]]
                 gone = np.zeros(len(text) + 1, np.int32)
                 for span in own_spans.as_py() or ():
+                    if span["gone"] is None:
+                        gone[span["at"]] += 1
+                        gone[span["at"] + span["length"]] -= 1
+                        continue
                     first = span["at"] + np.flatnonzero(span["gone"])
                     np.add.at(gone, first, 1)
                     np.add.at(gone, first + LENGTH, -1)

@@ -22,7 +22,6 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 _BYTE = mix(np.arange(256, dtype=np.uint64))
 _P = 0x9E3779B97F4A7C15 | 1
-_P_INVERSE = pow(_P, -1, 1 << 64)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -60,13 +59,14 @@ def word_bounds(raw: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, ends, np.searchsorted(starts, begin)
 
 
-def hashes_of(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of stretches of bytes: the sum of byte values times powers of a base,
+def hashes_of(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _P) -> np.ndarray:
+    """64-bit hashes of stretches of bytes: the sum of byte values times powers of an odd base,
     divided by the power of the stretch's place."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * _powers(_P, len(raw)))])
-    return mix((sums[ends] - sums[starts]) * _powers(_P_INVERSE, len(raw))[starts])
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * _powers(base, len(raw)))])
+    back = _powers(pow(base, -1, 1 << 64), len(raw))
+    return mix((sums[ends] - sums[starts]) * back[starts])
 
 
 def word_hashes(column: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
