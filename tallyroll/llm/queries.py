@@ -5,6 +5,7 @@ from __future__ import annotations
 from tallyroll.llm.decontamination import decontamination
 from tallyroll.llm.jaccard import jaccard
 from tallyroll.llm.language import language
+from tallyroll.llm.oracles import ORACLES as ORACLES
 from tallyroll.llm.packing import packing
 from tallyroll.llm.quality_crf import quality
 from tallyroll.llm.quality_rules import quality_rules
@@ -25,4 +26,3 @@ QUERIES = {
     "op9_toxicity": toxicity,
     "op10_quality": quality,
 }
-ORACLES: dict[str, str] = {}

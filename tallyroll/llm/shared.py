@@ -54,6 +54,8 @@ def partitions_for(df: DataFrame, target_bytes: int) -> int:
     of the whole input; at least the session's own number."""
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if estimate >= 1 << 60:  # the optimizer doesn't know
+        return least
     return max(least, math.ceil(estimate / target_bytes))
 
 
@@ -151,7 +153,7 @@ def _numbers(batch: pa.RecordBatch, column: str | None, constant: int) -> np.nda
 
 def lookup(values: list[int], index: Column) -> Column:
     """Element `index` of a small list that the driver made."""
-    return F.element_at(F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>"), index + 1)
+    return F.element_at(F.split(F.lit(",".join(map(str, values or [0]))), ",").cast("array<bigint>"), index + 1)
 
 
 def to_arrow(df: DataFrame) -> pa.Schema:

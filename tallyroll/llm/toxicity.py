@@ -152,7 +152,7 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, docum
     counts: dict[str, list[int]] = {}
     seen: set[tuple] = set()
     for toxic, own in rows:
-        for place in zip(["", *own[:-1]], own, [*own[1:], ""], strict=True):
+        for place in zip(["", *own], own, [*own[1:], ""], strict=False):
             if (toxic, place) not in seen:
                 seen.add((toxic, place))
                 for f in features(place[1]):
