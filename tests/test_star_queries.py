@@ -4,7 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tallyroll.plans.star_oracles import ORACLES
+from tallyroll.plans.star_queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem documents".split()
@@ -31,13 +33,13 @@ def in_order(rows, columns):
 
 
 def test_every_query_has_an_oracle():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
-    expected = duck.execute(oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    expected = duck.execute(ORACLES[name])
     names = [d[0] for d in expected.description]
     assert sorted(result.columns) == sorted(names)
     want = in_order(expected.fetchall(), names)
