@@ -1,6 +1,12 @@
 """Column-to-column functions."""
 
-from tallyroll.functions.amounts import amount, amount_text, combined_amount, plain_number
+from tallyroll.functions.amounts import (
+    amount,
+    amount_text,
+    combined_amount,
+    plain_number,
+    unreadable_amount,
+)
 from tallyroll.functions.dates import any_date, iso_text, report_date
 from tallyroll.functions.paths import deal_name, decode_path, file_name, vendor_name
 from tallyroll.functions.text import (
@@ -31,5 +37,6 @@ __all__ = [
     "report_date",
     "strip",
     "title_ascii",
+    "unreadable_amount",
     "vendor_name",
 ]

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tallyroll.functions.text import blank
 from tallyroll.schemas import AMOUNT
 
+AMOUNT_SCALE = int(AMOUNT.rstrip(")").rsplit(",", 1)[1])
+
 
 def plain_number(c: Column) -> Column:
     """Number text without thousands commas, dollar signs and outer spaces."""
@@ -22,6 +24,13 @@ def amount(c: Column) -> Column:
     return plain_number(c).try_cast(AMOUNT)
 
 
+def unreadable_amount(c: Column) -> Column:
+    """True for text that is there and is no exact decimal: no number, too large, or with more
+    decimals than are kept."""
+    digits = F.regexp_extract(plain_number(c), r"\.([0-9]*?)0*$", 1)
+    return ~blank(c) & (amount(c).isNull() | (F.length(digits) > AMOUNT_SCALE))
+
+
 def part_amount(c: Column) -> Column:
     """One part of a combined amount: blank counts as zero, other text must be a number."""
     return F.when(blank(c), F.lit(0).cast(AMOUNT)).otherwise(amount(c))

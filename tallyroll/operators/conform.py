@@ -19,6 +19,9 @@ from tallyroll.operators.layout import (
 )
 from tallyroll.sources.mapping import header_key
 
+# About a kilobyte each, so at most some twenty megabytes.
+BROADCAST_FILES = 20_000
+
 # Per-file facts every row carries.
 FILE_FACTS = ["file_path", "deal_name", "vendor_name", "file_name", "report_date", "sale_category"]
 
@@ -58,6 +61,13 @@ def _part_of_sum(target: str, mapping: Mapping[str, Sequence[str]]) -> list[str]
     ]
 
 
+def _broadcast_if_few(facts: DataFrame) -> DataFrame:
+    """File facts to be broadcast after a count of them; Spark chooses the join for more. Rows
+    would otherwise be shuffled by file, and one file may hold much of the data."""
+    few = facts.select("file_path").limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES
+    return F.broadcast(facts) if few else facts
+
+
 def conform(rows: DataFrame, layouts: DataFrame, mapping: Mapping[str, Sequence[str]]) -> DataFrame:
     """Rows (`cells`, `file_path`) as destination columns plus their file's facts.
 
@@ -65,7 +75,8 @@ def conform(rows: DataFrame, layouts: DataFrame, mapping: Mapping[str, Sequence[
     it; only `Source` is then the vendor. `bad_amount` names a summed column with a part that is not a number.
     """
     sums = summed_columns(mapping)
-    joined = rows.join(layouts.select(*FILE_FACTS, *layout_columns(mapping)), "file_path")
+    facts = layouts.select(*FILE_FACTS, *layout_columns(mapping))
+    joined = rows.join(_broadcast_if_few(facts), "file_path")
     cleaned = _cleaned_cells(joined, sums)
     if sums:
         cleaned = cleaned.withColumns({f"sum_{t}": _sum_of_parts(t, n) for t, n in sums.items()})

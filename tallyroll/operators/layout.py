@@ -27,8 +27,14 @@ def parts_name(target: str) -> str:
 
 
 def aliases_of(mapping: Mapping[str, Sequence[str]]) -> dict[str, list[Alias]]:
-    """Aliases of each column a file can supply, the column's own name first."""
+    """Aliases of each column a file can supply, the column's own name first.
+
+    A target that is no such column is an error: its values would be lost without a trace.
+    """
     parsed = {header_key(t): aliases for t, aliases in check_mapping(mapping).items()}
+    unknown = parsed.keys() - {header_key(t) for t in FILE_COLUMNS}
+    if unknown:
+        raise ValueError(f"mapping for columns that the destination lacks: {', '.join(sorted(unknown))}")
     return {
         t: [Alias((header_key(t),), False), *parsed.get(header_key(t), [])] for t in FILE_COLUMNS
     }

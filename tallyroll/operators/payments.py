@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyroll.functions import (
     amount,
+    unreadable_amount,
     any_date,
     blank,
     blank_to_null,
@@ -48,6 +49,7 @@ def reject_reason() -> Column:
     """Why a filled row cannot be loaded; null where it can."""
     return (
         F.when(F.col("bad_amount").isNotNull(), F.concat(F.lit("not a number: "), "bad_amount"))
+        .when(unreadable_amount(F.col("Net_Payment")), F.lit("not a number: Net_Payment"))
         .when(F.col("play_day").isNull(), F.lit("not a date: Play_Date"))
         .when(
             F.col("release_day").isNull() & ~blank(F.col("Release_Date")),

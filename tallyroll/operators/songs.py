@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyroll.functions import blank, key_text, title_ascii
 from tallyroll.schemas import SONG_COLUMNS, SONG_KEY
@@ -21,17 +22,27 @@ def song_id() -> Column:
 
 
 def normalise_keys(rows: DataFrame) -> DataFrame:
-    """Key columns in stored form: title case, blank ISRC and album as one space."""
-    return rows.withColumns(
-        {
-            "ISRC": key_text(F.col("ISRC")),
-            "Artist": title_ascii(F.col("Artist")),
-            "Track": title_ascii(F.col("Track")),
-            "Album": key_text(title_ascii(F.col("Album"))),
-        }
+    """Key columns in stored form: title case, blank as one space, never null.
+
+    A nullable join key would make Spark test it for null below the aggregate, which works
+    out the title case twice and keeps equal aggregates from being shared.
+    """
+    return _never_null(
+        rows.withColumns(
+            {
+                "ISRC": key_text(F.col("ISRC")),
+                "Artist": title_ascii(F.col("Artist")),
+                "Track": title_ascii(F.col("Track")),
+                "Album": key_text(title_ascii(F.col("Album"))),
+            }
+        )
     )
 
 
+def _never_null(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.coalesce(c, F.lit(" ")) for c in SONG_KEY})
+
+
 def candidates(payments: DataFrame, normalised: bool = False) -> DataFrame:
     """Songs named by payment rows, each with its earliest date.
 
@@ -41,7 +52,7 @@ def candidates(payments: DataFrame, normalised: bool = False) -> DataFrame:
     """
     named = payments.where(~blank(F.col("Artist")) & ~blank(F.col("Track"))).select(*SONG_KEY, "song_date")
     if normalised:
-        keyed = named.withColumns({c: key_text(F.col(c)) for c in ("ISRC", "Album")})
+        keyed = _never_null(named.withColumns({c: key_text(F.col(c)) for c in ("ISRC", "Album")}))
     else:
         keyed = normalise_keys(named)
     # Rows without a date are dropped by way of the minimum: a filter on the date itself
@@ -159,6 +170,12 @@ def latest_flags(versions: DataFrame) -> DataFrame:
 
 
 def apply_delta(versions: DataFrame, delta: DataFrame) -> DataFrame:
-    """The song table after a delta."""
+    """The song table after a delta of `song_delta`.
+
+    Its versions share their key with those they replace and are earlier, so the latest
+    version is the key's earliest; a song has few versions, so a window per key is small.
+    """
     both = versions.select(*delta.columns).unionByName(delta)
-    return latest_flags(both)
+    earliest = F.min("Release_Date").over(Window.partitionBy(*SONG_KEY))
+    kept = (F.col("is_latest") == "Y") & (F.col("Release_Date") == earliest)
+    return both.withColumn("is_latest", F.when(kept, "Y").otherwise("N")).select(*SONG_COLUMNS)

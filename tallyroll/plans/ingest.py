@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroll.operators import manifest, payments, rejects, songs
-from tallyroll.operators.conform import FILE_FACTS, conform
+from tallyroll.operators.conform import conform
 from tallyroll.operators.layout import layout_columns, resolve
 from tallyroll.sources.statements import list_files, scan_statements, with_headers
 from tallyroll.sources.tables import Tables
@@ -27,9 +27,6 @@ from tallyroll.sources.tables import Tables
 # Row width up to which files share one scan; beyond it the width doubles per scan.
 _NARROW = 32
 
-# About a kilobyte each, so at most some twenty megabytes.
-_BROADCAST_FILES = 20_000
-
 
 class Limits(NamedTuple):
     """Bounds of one batch. A single larger file is a batch of its own."""
@@ -111,15 +108,11 @@ def scan_batch(spark: SparkSession, chosen: Sequence) -> DataFrame:
 def batch_payments(spark: SparkSession, files: DataFrame, mapping: Mapping[str, Sequence[str]]) -> DataFrame:
     """Payment rows of a batch, with reject reasons; no shuffle, no Python.
 
-    The file side of the join is one small row of facts and positions per file. It is
-    broadcast up to a number of files that the default limits stay below; a caller's larger
-    batch leaves the choice of join to Spark.
+    The file side of the join is one small row of facts and positions per file, broadcast up
+    to a number of files that the default limits stay below (`conform`).
     """
     chosen = used_positions(files, mapping)
-    facts = files.select(*FILE_FACTS, *layout_columns(mapping))
-    if len(chosen) <= _BROADCAST_FILES:
-        facts = F.broadcast(facts)
-    rows = conform(scan_batch(spark, chosen), facts, mapping)
+    rows = conform(scan_batch(spark, chosen), files, mapping)
     return payments.payment_rows(payments.fill_defaults(rows))
 
 

@@ -16,13 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """Rows over all cores where a scan has fewer splits than there are cores.
+    """Rows of a one-file table over all cores.
 
-    A small table in one row group is one task, whatever is computed from it. A table of
-    many splits is left as it is, so nothing is shuffled that is large.
+    A file with one row group is one task, whatever is computed from it. Tables of several
+    files are left as they are, so nothing is shuffled that is large.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    if len(rows.inputFiles()) > 1 or rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores)
 
 
 def day(column: str) -> Column:

@@ -249,6 +249,11 @@ FROM loaded GROUP BY ALL HAVING NOT bool_or(bad)""",
     "accepted_lines": f"""{_LOAD}
 SELECT 's3://bucket/in/' || deal_name || '/' || vendor_name || '/' || file_name AS file_path,
   count(*) AS lines FROM loaded GROUP BY ALL HAVING NOT bool_or(bad)""",
+    "amount_rejects": """
+SELECT l_linenumber, amount_text, count(*) AS lines, amount_text NOT IN ('$1,234.50', '7.250') AS rejected
+FROM (SELECT l_linenumber, CASE l_orderkey % 6 WHEN 0 THEN '(12.50)' WHEN 1 THEN '1 234' WHEN 2 THEN '$1,234.50'
+  WHEN 3 THEN '1234567890123456789.5' WHEN 4 THEN '0.12345678901' ELSE '7.250' END AS amount_text FROM lineitem)
+GROUP BY ALL""",
     "files_without_category": f"""WITH {_LINES}, {_PLANNED}, {_VENDOR_LOOKUP}
 SELECT vendor_name, 'vendor has no sale category' AS reason, count(*) AS files
 FROM planned WHERE vendor_name NOT IN (SELECT vendor_name FROM lookup) GROUP BY vendor_name""",

@@ -11,7 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.functions import amount, amount_text, any_date, ascii_clean, blank, combined_amount, key_text, title_ascii
+from tallyroll.functions import (
+    amount,
+    amount_text,
+    any_date,
+    ascii_clean,
+    blank,
+    combined_amount,
+    key_text,
+    title_ascii,
+    unreadable_amount,
+)
 from tallyroll.operators import manifest, payments, rejects, songs
 from tallyroll.operators.conform import conform
 from tallyroll.operators.layout import FILE_COLUMNS, resolve
@@ -389,9 +399,24 @@ def accepted_totals(spark, sf_dir):
 @query
 def accepted_lines(spark, sf_dir):
     """Payment lines left per file once files with any bad row are taken out whole."""
-    rows = _loaded_rows(spark, sf_dir)
-    bad = rejects.row_problems(payments.file_outcomes(rows))
-    return rejects.accepted(rows, bad).groupBy("file_path").agg(F.count(F.lit(1)).alias("lines"))
+    files = _loaded_rows(spark, sf_dir).groupBy("file_path").agg(
+        F.count(F.lit(1)).alias("lines"), F.count("reject").alias("bad_rows")
+    )
+    return files.where("bad_rows = 0").drop("bad_rows")
+
+
+@query
+def amount_rejects(spark, sf_dir):
+    """How many lines have each kind of amount text, and whether it is an exact decimal."""
+    kind = F.col("l_orderkey") % 6
+    text = (
+        F.when(kind == 0, "(12.50)").when(kind == 1, "1 234").when(kind == 2, "$1,234.50")
+        .when(kind == 3, "1234567890123456789.5").when(kind == 4, "0.12345678901").otherwise("7.250")
+    )
+    lines = table(spark, sf_dir, "lineitem").select("l_linenumber", text.alias("amount_text"))
+    return lines.groupBy("l_linenumber", "amount_text").agg(F.count(F.lit(1)).alias("lines")).withColumn(
+        "rejected", unreadable_amount(F.col("amount_text"))
+    )
 
 
 @query

@@ -19,14 +19,21 @@ from tallyroll.sources.tables import Tables
 # The schema of Spark's binary file source.
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
+_ANY_AGE = "36500d"
+
 
 def arriving_files(spark: SparkSession, root: str, files_per_batch: int) -> DataFrame:
-    """New statement files under `<root>/<deal>/<vendor>/`; contents are not read."""
+    """New statement files under `<root>/<deal>/<vendor>/`; contents are not read.
+
+    Files of any age count (Spark's default leaves out what is a week older than the newest):
+    the ledger decides what has been loaded.
+    """
     return (
         spark.readStream.format("binaryFile")
         .schema(_FILE_SCHEMA)
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", _ANY_AGE)
         .load(f"{root.rstrip('/')}/*/*")
         .select("path", F.col("length").alias("bytes"), "_metadata.file_path")
     )
