@@ -36,7 +36,7 @@ from tallyroll.llm.shared import stored
 from tallyroll.llm.shingles import mix, shingle_sets, sums_by
 
 #: Rows of a batch that are worked on at once, by bytes of text.
-_CHUNK = 4 << 20
+_CHUNK = 1 << 20
 
 
 def size_classes(num: int, den: int, most: int) -> list[int]:

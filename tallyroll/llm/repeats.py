@@ -230,15 +230,17 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, block_rows: int,
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, block_rows):
             h, place, lo = (block.column(c).to_numpy() for c in ("h", "place", "lo"))
-            around = block.column("around").to_pylist()
+            flat, offsets = _flat_bytes(block.column("around"))
+            sizes = np.diff(offsets)
+            row = np.repeat(np.arange(len(h)), sizes)
             matrix = np.zeros((len(h), _WIDTH), np.uint8)
-            for i, (s, text) in enumerate(zip(place.tolist(), around, strict=True)):
-                matrix[i, s : s + len(text)] = np.frombuffer(text, np.uint8)
-            windows = np.array([len(x) for x in around]) - LENGTH + 1
+            matrix[row, np.arange(len(flat)) - offsets[row] + place[row]] = flat
+            windows = sizes - LENGTH + 1
             least = passage_ids(matrix, place, place + windows - 1, h, lo)
-            lists = [least[i, s : s + n] for i, (s, n) in enumerate(zip(place.tolist(), windows.tolist(), strict=True))]
+            column = np.arange(_PLACES)
+            used = (column >= place[:, None]) & (column < (place + windows)[:, None])
             ends = np.concatenate([[0], np.cumsum(windows)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(lists)))
+            ids = pa.ListArray.from_arrays(ends, pa.array(least[used]))
             yield pa.RecordBatch.from_arrays(
                 [*(block.column(c) for c in ("h", "place", "around", "hi")), ids], names=["h", "place", "around", "hi", "ids"]
             )
@@ -261,6 +263,31 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, block_rows: int,
     return found.union(whole).groupBy("id_", "text_hash").agg(spans)
 
 
+def _flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column in a row, and where each value begins, with the end."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    flat = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    return flat, offsets - offsets[0]
+
+
+def _covered(spans: pa.Array, begin: np.ndarray, size: int) -> np.ndarray:
+    """Which bytes of a chunk go, by the `spans` of its texts."""
+    each = spans.flatten()
+    owner = np.repeat(np.arange(len(spans)), spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    start = begin[owner] + each.field("at").to_numpy(zero_copy_only=False)
+    length = each.field("length").to_numpy(zero_copy_only=False)
+    gone = each.field("gone")
+    windows = gone.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    within = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
+    first = (np.repeat(start, windows) + within)[gone.flatten().to_numpy(zero_copy_only=False).astype(bool)]
+    whole = length > 0
+    opened = np.concatenate([first, start[whole]])
+    closed = np.concatenate([first + LENGTH, (start + length)[whole]])
+    change = np.bincount(opened, minlength=size + 1) - np.bincount(closed, minlength=size + 1)
+    return np.cumsum(change[:size]) > 0
+
+
 def _listed(lists: pa.Array, h: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """Which hashes are in the list of their text."""
     flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
@@ -340,23 +367,17 @@ def without_repeats(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in _chunks(batches):
             raw, begin = text_bytes(some.column("text"))
-            rows = []
-            for i, own_spans in enumerate(some.column("spans")):
-                text = raw[begin[i] : begin[i + 1]]
-                gone = np.zeros(len(text) + 1, np.int32)
-                for span in own_spans.as_py() or ():
-                    if span["gone"] is None:
-                        gone[span["at"]] += 1
-                        gone[span["at"] + span["length"]] -= 1
-                        continue
-                    first = span["at"] + np.flatnonzero(span["gone"])
-                    np.add.at(gone, first, 1)
-                    np.add.at(gone, first + LENGTH, -1)
-                covered = np.cumsum(gone[:-1]) > 0
-                kept = text[~covered].tobytes()
-                starts = int(np.count_nonzero(covered[1:] & ~covered[:-1])) + int(len(text) > 0 and covered[0])
-                rows.append((len(text), int(covered.sum()), starts, hashlib.sha256(kept).hexdigest(), kept))
-            columns = [some.column("row"), *(pa.array(c) for c in zip(*rows, strict=True))]
+            covered = _covered(some.column("spans"), begin, len(raw))
+            before = np.zeros(len(raw), bool)
+            before[1:] = covered[:-1]
+            before[begin[:-1][begin[:-1] < len(raw)]] = False
+            removed = np.concatenate([[0], np.cumsum(covered)])[begin]
+            spans_upto = np.concatenate([[0], np.cumsum(covered & ~before)])[begin]
+            left = raw[~covered].tobytes()
+            ends = (begin - removed).tolist()
+            kept = [left[x:y] for x, y in zip(ends, ends[1:], strict=False)]
+            rows = (np.diff(begin), np.diff(removed), np.diff(spans_upto), [hashlib.sha256(x).hexdigest() for x in kept], kept)
+            columns = [some.column("row"), *(pa.array(c) for c in rows)]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     return own.select("row", "text", "spans").mapInArrow(cut, schema)
