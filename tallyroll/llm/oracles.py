@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyroll.llm.quality_rules import BUCKETS, THRESHOLD
+from tallyroll.llm.quality_rules import BUCKETS, PRIOR, THRESHOLD
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -54,8 +54,8 @@ counts AS (
   FROM grams JOIN buckets USING (g) GROUP BY bucket),
 totals AS (SELECT sum(raw) AS raws, sum(target) AS targets FROM counts),
 weights AS (
-  SELECT bucket, CASE WHEN targets > 0 THEN round(ln(((target + 1)::DOUBLE / (targets + {BUCKETS})::DOUBLE)
-    / ((raw + 1)::DOUBLE / (raws + {BUCKETS})::DOUBLE)) * 1e6)::BIGINT ELSE 0 END AS weight FROM counts, totals),
+  SELECT bucket, CASE WHEN targets > 0 THEN round(ln((target + {PRIOR}) /
+    (raw::DOUBLE * targets::DOUBLE / raws::DOUBLE + {PRIOR})) * 1e6)::BIGINT ELSE 0 END AS weight FROM counts, totals),
 scores AS (
   SELECT doc_id, sum(n * weight) AS total FROM grams JOIN buckets USING (g) JOIN weights USING (bucket) GROUP BY doc_id),
 judged AS (
