@@ -87,8 +87,8 @@ def names(raw: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return inside, place, h[place]
 
 
-def stretches(raw: np.ndarray, begin: np.ndarray, place: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Begin, end and two checksums of the stretches between rarer names of one text."""
+def stretches(raw: np.ndarray, begin: np.ndarray, place: np.ndarray, h: np.ndarray, both: bool = True) -> tuple:
+    """Begin, end and two checksums (or one) of the stretches between rarer names of one text."""
     new = np.ones(len(place), bool)
     new[1:] = place[1:] != place[:-1]
     at = place[new][h[new] % np.uint64(_RARER) == 0]
@@ -97,7 +97,8 @@ def stretches(raw: np.ndarray, begin: np.ndarray, place: np.ndarray, h: np.ndarr
     use = same & (high - low >= LENGTH)
     low, high = low[use], high[use]
     length = mix((high - low).astype(np.uint64), 43)
-    return low, high, hashes_of(raw, low, high) ^ length, hashes_of(raw, low, high, _BASE_2) ^ length
+    second = hashes_of(raw, low, high, _BASE_2) ^ length if both else None
+    return low, high, hashes_of(raw, low, high) ^ length, second
 
 
 def passage_ids(rows: np.ndarray, first: np.ndarray, last: np.ndarray, bucket: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -165,13 +166,13 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, block_rows: int,
     least = long.groupBy("g1", "g2").agg(F.min("id_").alias("lo"), F.max("id_").alias("hi")).filter("lo < hi")
     settled = stored(
         long.join(least.drop("hi").hint("merge"), ["g1", "g2"]).filter("id_ > lo")
-        .groupBy(*key).agg(F.collect_set("g1").alias("settled")),
+        .groupBy(*key).agg(F.collect_list("g1").alias("settled")),
         "repeat-settled",
     )
     each = named.select(*key, F.explode("names").alias("h"))
     common = each.groupBy("h").agg(F.min("id_").alias("lo"), F.max("id_").alias("hi")).filter("lo < hi")
     common = stored(common.drop("hi"), "repeat-common")
-    wanted = each.join(common.hint("merge"), "h").filter("id_ > lo").groupBy(*key).agg(F.collect_set("h").alias("wanted"))
+    wanted = each.join(common.hint("merge"), "h").filter("id_ > lo").groupBy(*key).agg(F.collect_list("h").alias("wanted"))
     lists = stored(wanted.join(settled.hint("merge"), key, "left"), "repeat-lists")
 
     member_schema = "h long, id_ long, text_hash long, at long, place int, around binary"
@@ -184,7 +185,7 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, block_rows: int,
             raw, begin = text_bytes(some.column("text"))
             window, place, h = names(raw, begin)
             owner = np.searchsorted(begin, window, side="right") - 1
-            low, high, g1, _ = stretches(raw, begin, place, h)
+            low, high, g1, _ = stretches(raw, begin, place, h, both=False)
             whose = np.searchsorted(begin, low, side="right") - 1
             done = _listed(some.column("settled"), g1, whose)
             low, high = low[done], high[done]
@@ -217,7 +218,7 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, block_rows: int,
     targets = stored(own.join(lists.hint("merge"), key).mapInArrow(surround, member_schema), "repeat-members")
     asked = targets.filter("h IS NOT NULL").select("h").distinct().join(common.hint("merge"), "h")
     holders = asked.groupBy(F.col("lo").alias("id_")).agg(
-        F.collect_set("h").alias("wanted"), F.lit(None).cast("array<bigint>").alias("settled")
+        F.collect_list("h").alias("wanted"), F.lit(None).cast("array<bigint>").alias("settled")
     )
     sources = own.join(holders.hint("merge"), "id_").mapInArrow(surround, member_schema)
     members = stored(targets.filter("h IS NOT NULL").union(sources), "repeat-members")

@@ -24,8 +24,16 @@ _BYTE = mix(np.arange(256, dtype=np.uint64))
 _P = 0x9E3779B97F4A7C15 | 1
 
 
+#: Powers that are kept between chunks, up to so many of each base.
+_KEPT = 1 << 22
+_kept: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     """1, base, base**2, ... modulo 2**64."""
+    known = _kept.get(base)
+    if known is not None and len(known) >= n:
+        return known[:n]
     out = np.ones(max(n, 1), np.uint64)
     done = 1
     while done < n:
@@ -33,6 +41,8 @@ def _powers(base: int, n: int) -> np.ndarray:
         some = min(done, n - done)
         out[done : done + some] = out[:some] * step
         done += some
+    if n <= _KEPT:
+        _kept[base] = out
     return out
 
 
