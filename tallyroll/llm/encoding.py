@@ -33,7 +33,8 @@ def _byte_characters() -> dict[int, str]:
 
 
 class Encoder:
-    """Memory is bounded: caches start anew beyond `most_words` entries."""
+    """Memory is bounded: beyond `most_words` entries a cache loses its newer half. The older
+    one has the frequent words, which come early."""
 
     def __init__(self, path: str, most_words: int = 600_000):
         from tokenizers import Tokenizer
@@ -56,10 +57,10 @@ class Encoder:
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned integers of `dtype`."""
-        if len(self.words) > self.most:
-            self.words.clear()
-        if len(self.pieces) > self.most // 2:
-            self.pieces.clear()
+        for cache, most in ((self.words, self.most), (self.pieces, self.most // 2)):
+            if len(cache) > most:
+                for key in list(cache)[most // 2 :]:
+                    del cache[key]
         split = [t.split(" ") if t else [] for t in texts]
         need: set[str] = set()
         for words in split:
@@ -130,7 +131,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def text_chunks(batch: pa.RecordBatch, column: str, most: int = 1 << 21) -> Iterator[tuple[pa.RecordBatch, list]]:
+def text_chunks(batch: pa.RecordBatch, column: str, most: int = 1 << 22) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Slices of a batch with their texts, each of about `most` characters (or one row)."""
     texts, size, begin = [], 0, 0
     for at, value in enumerate(batch.column(column)):
