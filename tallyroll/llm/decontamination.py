@@ -218,7 +218,7 @@ def leaks(
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             patterns = Patterns.of([i for i, _ in block], [t for _, t in block])
             for batch in batches:
-                for some, texts in text_chunks(batch, "text"):
+                for some, texts in text_chunks(batch, "text", 1 << 20):
                     codes, place, _, owner = normal(texts)
                     ids = some.column("id")
                     rows = [

@@ -190,7 +190,7 @@ def toxicity_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = Weights(model.weights)
         for batch in batches:
-            for some, texts in text_chunks(batch, "text"):
+            for some, texts in text_chunks(batch, "text", 1 << 21):
                 own = [words(t) for t in texts]
                 found = [segments(w, weights) for w in own]
                 scores = [model.score(len(w), f) for w, f in zip(own, found, strict=True)]
