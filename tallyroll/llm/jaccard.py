@@ -180,6 +180,43 @@ def join_family(
 ) -> list[tuple[int, int]]:
     """Links between the sets (positions), enough to connect all that are connected. Sets of
     one group (>= 0) count as linked already."""
+    out = []
+    for part in split_family(sets, num, den):
+        found = _walk([sets[i] for i in part], [groups[i] for i in part], num, den)
+        out += [(part[i], part[j]) for i, j in found]
+    return out
+
+
+def split_family(sets: list[np.ndarray], num: int, den: int) -> list[list[int]]:
+    """Parts of a family that can hold links: by the family's order, rarest shingles first, two
+    linked sets share one of their first n - t n + 1. Sets that share none are alone and left out."""
+    size = np.array([len(s) for s in sets])
+    _, inverse, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(count), np.int64)
+    rank[np.argsort(count, kind="stable")] = np.arange(len(count))
+    owner = np.repeat(np.arange(len(sets)), size)
+    order = np.lexsort((rank[inverse], owner))
+    within = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+    first = size + num * size // -den + 1
+    order = order[(within < first[owner]) & (count[inverse[order]] > 1)]
+    order = order[np.argsort(inverse[order], kind="stable")]
+    token, own = inverse[order], owner[order]
+    parent = list(range(len(sets)))
+
+    def find(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    for at in np.flatnonzero(token[1:] == token[:-1]).tolist():
+        parent[find(int(own[at]))] = find(int(own[at + 1]))
+    parts: dict[int, list[int]] = {}
+    for i in range(len(sets)):
+        parts.setdefault(find(i), []).append(i)
+    return [p for p in parts.values() if len(p) > 1]
+
+
+def _walk(sets: list[np.ndarray], groups: list[int], num: int, den: int) -> list[tuple[int, int]]:
     flat = np.concatenate(sets)
     values, inverse, count = np.unique(flat, return_inverse=True, return_counts=True)
     rank = np.empty(len(values), np.int64)
