@@ -1,10 +1,11 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-Texts are compared as lower-case letters and digits with single spaces between words. A
-benchmark item is cut into overlapping windows of `WINDOW` characters (a shorter item is one).
-A window with at most k edits in a document shares at least m + 1 - (k + 1) q of its q-grams
-with it, on diagonals that lie at most k apart. So shared q-grams are counted in overlapping
-bands of diagonals, bands with too few are dropped, and the rest are aligned within the band.
+Texts are compared as lower-case letters and digits with single spaces between words. Every
+stretch of `WINDOW` characters of a benchmark item, from each of its places on, is a window (a
+shorter item is one). A window with at most k edits in a document shares at least
+m + 1 - (k + 1) q of its q-grams with it, on diagonals that lie at most k apart. So the q-grams
+that a document shares with whole items are counted in overlapping bands of diagonals, windows
+that hold too few in every band are dropped, and the rest are aligned within the band.
 k is `EDITS` of the window's length, less where the bound would say nothing.
 
 The benchmark is worked off in blocks of a fixed number of characters, each against all
@@ -31,7 +32,7 @@ from tallyroll.llm.encoding import text_chunks
 from tallyroll.llm.shared import to_arrow
 
 #: The hash below is made for Q = 10.
-Q, WINDOW, STRIDE, EDITS = 10, 80, 40, 0.08
+Q, WINDOW, EDITS = 10, 80, 0.08
 _SPACE, _END = 32, 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FILTER_BITS = 22
@@ -86,114 +87,149 @@ def grams(codes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Patterns:
-    """Windows of benchmark items with an index of their q-grams."""
+    """Benchmark items with an index of their q-grams; every start of an item is a window."""
 
     items: list
-    codes: list[np.ndarray]
+    codes: np.ndarray
+    #: Where each item's characters begin in `codes`, and by item: characters, window length,
+    #: edits allowed in a window and q-grams it must share.
+    begin: np.ndarray
+    length: np.ndarray
+    size: np.ndarray
     edits: np.ndarray
     need: np.ndarray
     values: np.ndarray
     first: np.ndarray
-    window: np.ndarray
+    item: np.ndarray
     place: np.ndarray
     filter: np.ndarray
 
     @classmethod
     def of(cls, items: list, texts: list[str | None]) -> Patterns:
         codes, _, begin, _ = normal(texts)
-        owners, windows = [], []
+        owners, own = [], []
         for i, item in enumerate(items):
-            own = codes[begin[i] : begin[i + 1] - 1]
-            if len(own) < Q:
-                continue
-            last = max(len(own) - WINDOW, 0)
-            for s in [*range(0, last, STRIDE), last]:
+            if begin[i + 1] - 1 - begin[i] >= Q:
                 owners.append(item)
-                windows.append(own[s : s + WINDOW])
-        length = np.array([len(w) for w in windows], np.int64)
-        edits = np.minimum((length * EDITS).astype(np.int64), np.maximum((length + 1) // Q - 2, 0))
-        need = np.maximum(length + 1 - (edits + 1) * Q, 1)
-        hashes = [grams(w) for w in windows]
+                own.append(codes[begin[i] : begin[i + 1] - 1])
+        length = np.array([len(x) for x in own], np.int64)
+        size = np.minimum(length, WINDOW)
+        edits = np.minimum((size * EDITS).astype(np.int64), np.maximum((size + 1) // Q - 2, 0))
+        need = np.maximum(size + 1 - (edits + 1) * Q, 1)
+        hashes = [grams(x) for x in own]
         flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         order = np.argsort(flat, kind="stable")
-        window = np.repeat(np.arange(len(windows)), [len(h) for h in hashes])[order]
+        item = np.repeat(np.arange(len(own)), [len(h) for h in hashes])[order]
         place = np.concatenate([np.arange(len(h)) for h in hashes] or [np.zeros(0, np.int64)])[order]
         values, first = np.unique(flat[order], return_index=True)
         bits = np.zeros(1 << _FILTER_BITS, bool)
         bits[values >> np.uint64(64 - _FILTER_BITS)] = True
-        return cls(owners, windows, edits, need, values, np.append(first, len(flat)), window, place, bits)
+        return cls(
+            owners, np.concatenate(own) if own else np.zeros(0, np.uint32), np.cumsum(length) - length, length, size,
+            edits, need, values, np.append(first, len(flat)), item, place, bits,
+        )
 
-    def candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Windows and bands (numbered in steps of the window's edits) with enough q-grams."""
-        h = grams(codes)
-        at = np.flatnonzero(self.filter[h >> np.uint64(64 - _FILTER_BITS)])
-        slot = np.minimum(np.searchsorted(self.values, h[at]), max(len(self.values) - 1, 0))
-        known = self.values[slot] == h[at] if len(self.values) else np.zeros(len(at), bool)
-        at, slot = at[known], slot[known]
+    def _shared(self, at: np.ndarray, slot: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(item and band, place in the item) of shared q-grams, some at a time. Bands are
+        numbered in steps of the item's edits; each q-gram is in two of them."""
         size = self.first[slot + 1] - self.first[slot]
-        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         upto = np.cumsum(size)
+        longest = int(self.length.max(initial=0))
         cut = 0
         while cut < len(at):
             end = max(cut + 1, int(np.searchsorted(upto, (upto[cut - 1] if cut else 0) + _HITS)))
             n = size[cut:end]
             entry = np.repeat(self.first[slot[cut:end]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            window = self.window[entry]
-            step = np.maximum(self.edits[window], 1)
-            band = (np.repeat(at[cut:end], n) - self.place[entry] + WINDOW) // step
-            key = window * (1 << 40) + band
-            for k in (key, key - 1):
-                some, count = np.unique(k, return_counts=True)
-                keys.append(some)
-                counts.append(count)
+            item, place = self.item[entry], self.place[entry]
+            band = (np.repeat(at[cut:end], n) - place + longest) // np.maximum(self.edits[item], 1) + 1
+            key = item * (1 << 40) + band
+            yield np.concatenate([key, key - 1]), np.concatenate([place, place])
             cut = end
-        key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        count = np.bincount(inverse, np.concatenate(counts), len(key))
-        window, band = key >> 40, key & ((1 << 40) - 1)
-        enough = count >= self.need[window] if len(window) else np.zeros(0, bool)
-        return window[enough], band[enough]
-
-    def search(self, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(window, begin, end, edits) of every confirmed band."""
-        windows, bands = self.candidates(codes)
-        out = []
-        for w in np.unique(windows).tolist():
-            k = int(self.edits[w])
-            begin = bands[windows == w] * max(k, 1) - WINDOW - k
-            for i in range(0, len(begin), 4096):
-                some = begin[i : i + 4096]
-                edits, b, e = aligned(self.codes[w], codes, some, 4 * k + 2)
-                for j in np.flatnonzero(edits <= k):
-                    out.append((w, int(b[j]), int(e[j]), int(edits[j])))
-        return out
+
+    def candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, place in it where a window starts, and text place where its band begins, of
+        all windows with enough shared q-grams in a band."""
+        h = grams(codes)
+        at = np.flatnonzero(self.filter[h >> np.uint64(64 - _FILTER_BITS)])
+        slot = np.minimum(np.searchsorted(self.values, h[at]), max(len(self.values) - 1, 0))
+        known = self.values[slot] == h[at] if len(self.values) else np.zeros(len(at), bool)
+        at, slot = at[known], slot[known]
+        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for key, _ in self._shared(at, slot):
+            some, count = np.unique(key, return_counts=True)
+            keys.append(some)
+            counts.append(count)
+        every, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        count = np.bincount(inverse, np.concatenate(counts), len(every))
+        none = np.zeros(0, np.int64)
+        enough = every[count >= self.need[every >> 40]] if len(every) else none
+        if not len(enough):
+            return none, none, none
+        keys, places = [], []
+        for key, place in self._shared(at, slot):
+            i = np.minimum(np.searchsorted(enough, key), len(enough) - 1)
+            keys.append(i[enough[i] == key])
+            places.append(place[enough[i] == key])
+        # bands in order, each with its shared places of the item in order, once
+        pair = np.unique(np.concatenate(keys) * (1 << 32) + np.concatenate(places))
+        key, place = enough[pair >> 32], pair & ((1 << 32) - 1)
+        item = key >> 40
+        # a window that holds as many places as needed, from one of them on, starts between `low` and `high`
+        last = np.arange(len(key)) + self.need[item] - 1
+        far = np.minimum(last, len(key) - 1)
+        fits = (last < len(key)) & (key[far] == key) & (place[far] - place <= self.size[item] - Q)
+        key, item, low, high = key[fits], item[fits], place[far][fits], place[fits]
+        low = np.maximum(low - (self.size[item] - Q), 0)
+        high = np.minimum(high, self.length[item] - self.size[item])
+        same = key[1:] == key[:-1]
+        low[1:] = np.where(same, np.maximum(low[1:], high[:-1] + 1), low[1:])
+        n = np.maximum(high - low + 1, 0)
+        start = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        item, key = np.repeat(item, n), np.repeat(key, n)
+        band = (key & ((1 << 40) - 1)) - 1
+        step = np.maximum(self.edits[item], 1)
+        return item, start, band * step - int(self.length.max()) - self.edits[item] + start
+
+    def search(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(item, begin, end, edits) of every confirmed window and band."""
+        items, starts, begins = self.candidates(codes)
+        out = [np.zeros((4, 0), np.int64)]
+        shape = self.size[items] * WINDOW + self.edits[items]
+        for s in np.unique(shape).tolist():
+            size, k = divmod(s, WINDOW)
+            chosen = np.flatnonzero(shape == s)
+            for i in range(0, len(chosen), 4096):
+                own = chosen[i : i + 4096]
+                pattern = self.codes[(self.begin[items[own]] + starts[own])[:, None] + np.arange(size)]
+                edits, b, e = aligned(pattern, codes, begins[own], 4 * k + 2)
+                hit = edits <= k
+                out.append(np.stack([items[own][hit], b[hit], e[hit], edits[hit]]))
+        return tuple(np.concatenate(out, axis=1))
 
 
 def aligned(pattern, codes, begin, width):
-    """Least edits of the whole pattern against text near each begin, in a band of `width`
-    diagonals; where the best alignment begins and ends."""
-    place = begin[:, None] + np.arange(width)
-    cost = np.zeros(place.shape, np.int64)
-    start = place.copy()
-    slope = np.arange(width)
-    for i, c in enumerate(pattern):
-        at = place + i
-        inside = (at >= 0) & (at < len(codes))
-        here = np.where(inside, codes[np.clip(at, 0, max(len(codes) - 1, 0))], _END)
-        match = cost + np.where(here == c, 0, np.where(here == _END, 1 << 20, 1))
+    """Least edits of the whole pattern (or one a row) against text near each begin, in a band
+    of `width` diagonals; where the best alignment begins and ends. No alignment passes an end
+    mark. A cell holds edits, then the diagonal it began on, so one minimum decides both."""
+    size, unit = np.shape(pattern)[-1], 1 << int(width).bit_length()
+    pattern = np.broadcast_to(pattern, (len(begin), size)).T
+    at = np.arange(width + size)[:, None] + begin
+    text = np.where((at >= 0) & (at < len(codes)), codes[np.clip(at, 0, max(len(codes) - 1, 0))], _END)
+    # edits of leaving out a text character, and those of all before it
+    left_out = np.where(text == _END, 1 << 10, 1).astype(np.int32) * unit
+    before = np.cumsum(left_out, axis=0, dtype=np.int32)
+    cell = np.repeat(np.arange(width, dtype=np.int32)[:, None], len(begin), axis=1)
+    for i in range(size):
+        best = cell + np.where(text[i : i + width] == pattern[i], 0, left_out[i : i + width])
         # a pattern character without a partner: same text place, one diagonal lower
-        skip = np.full_like(cost, 1 << 20)
-        skip[:, :-1] = cost[:, 1:] + 1
-        best = np.minimum(match, skip)
-        begun = start.copy()
-        begun[:, :-1] = np.where(skip[:, :-1] < match[:, :-1], start[:, 1:], start[:, :-1])
+        np.minimum(best[:-1], cell[1:] + unit, out=best[:-1])
         # text characters without a partner: from lower diagonals of the same row
-        carried = np.minimum.accumulate(best - slope, axis=1)
-        source = np.maximum.accumulate(np.where(best - slope == carried, slope, 0), axis=1)
-        cost = carried + slope
-        start = np.take_along_axis(begun, source, axis=1)
-    at = cost.argmin(axis=1)
-    rows = np.arange(len(begin))
-    return cost[rows, at], start[rows, at], begin + at + len(pattern)
+        best -= before[i : i + width]
+        cell = np.minimum.accumulate(best, axis=0)
+        cell += before[i : i + width]
+    end = cell.argmin(axis=0)
+    least = cell[end, np.arange(len(begin))].astype(np.int64)
+    return least // unit, begin + least % unit, begin + end + size
 
 
 def leaks(
@@ -210,7 +246,7 @@ def leaks(
     and how many bands of windows were confirmed."""
     id_type = docs.schema[id_col].dataType.simpleString()
     item_type = benchmark.schema[item_col].dataType.simpleString()
-    schema = f"id {id_type}, item {item_type}, begin long, end long, edits int"
+    schema = f"id {id_type}, item {item_type}, begin long, end long, edits int, places long"
     arrow = to_arrow(docs.sparkSession.createDataFrame([], schema))
     pairs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
@@ -221,15 +257,18 @@ def leaks(
                 for some, texts in text_chunks(batch, "text", 1 << 20):
                     codes, place, _, owner = normal(texts)
                     ids = some.column("id")
+                    item, begin, end, edits = patterns.search(codes)
+                    pair, inverse = np.unique(owner[begin] * (1 << 32) + item, return_inverse=True)
                     rows = [
                         {
-                            "id": ids[int(owner[b])].as_py(),
-                            "item": patterns.items[w],
-                            "begin": int(place[b]),
-                            "end": int(place[e - 1]) + 1,
-                            "edits": edits,
+                            "id": ids[int(pair[i] >> 32)].as_py(),
+                            "item": patterns.items[int(pair[i] & ((1 << 32) - 1))],
+                            "begin": int(place[begin[own].min()]),
+                            "end": int(place[end[own].max() - 1]) + 1,
+                            "edits": int(edits[own].min()),
+                            "places": int(own.sum()),
                         }
-                        for w, b, e, edits in patterns.search(codes)
+                        for i, own in ((i, inverse == i) for i in range(len(pair)))
                     ]
                     yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
@@ -246,7 +285,7 @@ def leaks(
         found = search_for(block) if found is None else found.union(search_for(block))
     return found.groupBy(F.col("id").alias(id_col), F.col("item").alias(item_col)).agg(
         F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("edits").alias("edits"),
-        F.count("*").alias("places"),
+        F.sum("places").alias("places"),
     )
 
 

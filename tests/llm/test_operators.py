@@ -139,6 +139,22 @@ def test_leaks(spark, docs, none, rows):
     assert decontamination.leaks(none, bench).count() == 0
 
 
+def test_leaks_are_found_at_every_offset():
+    rng = random.Random(11)
+    item = re.sub(" $", "x", sentence(rng, 50)[:224])
+    patterns = decontamination.Patterns.of([10], [item])
+    for size in (80, 81, 90, 100, 110, 118):
+        cuts = [item[at : at + size] for at in range(len(item) - size + 1)]
+        around = [(sentence(rng, 20) + " 1", "2 " + sentence(rng, 20)) for _ in cuts]
+        codes, _, _, owner = decontamination.normal([f"{a}{c}{b}" for c, (a, b) in zip(cuts, around, strict=True)])
+        _, begin, _, edits = patterns.search(codes)
+        assert set(owner[begin[edits <= 1]].tolist()) == set(range(len(cuts))), size
+        if size in (80, 110):
+            changed = [c[:10] + "7" + c[11:40] + c[41:60] + "99" + c[60:70] + "7" + c[71:] for c in cuts]
+            codes, _, _, owner = decontamination.normal([f"{a}{c}{b}" for c, (a, b) in zip(changed, around, strict=True)])
+            assert set(owner[patterns.search(codes)[1]].tolist()) == set(range(len(cuts))), size
+
+
 def test_banded_alignment_is_edit_distance():
     rng = random.Random(5)
     for _ in range(200):
