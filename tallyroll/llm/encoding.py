@@ -4,7 +4,8 @@ A byte-level BPE tokenizer first cuts a text at its pattern, and a single space
 visible characters is always such a cut. So words are encoded once by the tokenizers library
 and remembered; a text is its words' ids joined. Plain words are cut further at their
 punctuation, and the pieces go to the library already cut. Anything unusual (other white
-space, marks, apostrophes) goes to the library as it is.
+space, marks, apostrophes) goes to the library as it is, and so does a text that holds one of
+the tokenizer's added tokens, which the library takes out before all else.
 """
 
 from __future__ import annotations
@@ -40,7 +41,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: The library finds these anywhere, also inside words.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
         self.code, self.dtype = ("I", "<u4") if wide else ("H", "<u2")
         self.bare = Tokenizer(self.tokenizer.model)
@@ -61,7 +63,8 @@ class Encoder:
             if len(cache) > most:
                 for key in list(cache)[most // 2 :]:
                     del cache[key]
-        split = [t.split(" ") if t else [] for t in texts]
+        whole = [t is not None and any(a in t for a in self.added) for t in texts]
+        split = [t.split(" ") if t and not w else [] for t, w in zip(texts, whole, strict=True)]
         need: set[str] = set()
         for words in split:
             need.update(words[1:])
@@ -69,10 +72,10 @@ class Encoder:
         # a word that has white space at an end, or is empty, isn't learned: then a space near
         # it may be no cut, and the library gets the whole text
         out = []
-        for text, words in zip(texts, split, strict=True):
+        for text, words, as_it_is in zip(texts, split, whole, strict=True):
             first = words[0] if words else ""
             try:
-                if len(words) > 1 and (not first or first[-1].isspace()):
+                if as_it_is or (len(words) > 1 and (not first or first[-1].isspace())):
                     raise KeyError(first)
                 tail = b"".join(map(self.words.__getitem__, words[1:]))
                 out.append(self._library(first) + tail)

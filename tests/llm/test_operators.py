@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyroll.llm import decontamination, jaccard, language, packing, quality_crf, quality_rules, repeats, shards
+from tallyroll.llm import decontamination, encoding, jaccard, language, packing, quality_crf, quality_rules, repeats, shards
 from tallyroll.llm import token_files, toxicity
 from tallyroll.llm.components import components
 from tallyroll.llm.shared import new_path
@@ -243,6 +243,21 @@ def test_packing(docs, none, rows, tokenizer, window):
     assert packing.packed(none, TOKENIZER).count() == 0
 
 
+def test_added_tokens_are_encoded_as_by_the_library(spark):
+    plain = tokenizers.Tokenizer.from_file(TOKENIZER)
+    texts = ["a<|endoftext|>b", "one two <|endoftext|> three four", "<|endoftext|>", "x <|endoftext|><|endoftext|>\n y",
+             "a <|endoftext| > b", "one two three", "", None]
+    made = encoding.Encoder(TOKENIZER)
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, made.dtype).tolist() for b in made.encode_many(texts)] == want
+    assert 50256 in want[0]
+    own = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    packs = packing.packed(own, TOKENIZER).select("doc_id", "doc_tokens").distinct().collect()
+    files = token_files.read_token_files(token_files.write_token_files(own, new_path(spark, "test-added"), TOKENIZER, 2))
+    sizes = {i: len(ids) + 1 for i, ids in enumerate(want)}
+    assert dict(map(tuple, packs)) == sizes == {r.doc_id: r.n_tokens for r in files.collect()}
+
+
 # --- 5
 
 
