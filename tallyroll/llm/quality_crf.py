@@ -29,8 +29,6 @@ from tallyroll.llm.toxicity import logistic
 
 #: Features of one line, before neighbours: see `line_features`.
 N_OWN = 12
-#: Lines of a training document that are used at most (the scores use all lines).
-TRAINING_LINES = 100
 _KINDS = np.zeros(256, np.uint8)  # 0 other, 1 lower or beyond ASCII, 2 upper, 3 digit, 4 symbol, 5 mark
 _KINDS[[*range(97, 123), *range(128, 256)]] = 1
 _KINDS[65:91] = 2
@@ -201,7 +199,7 @@ def fit_field(documents: list[tuple[int, np.ndarray, np.ndarray]], shares: dict[
 
 
 def fitted_field(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, documents: int) -> Field:
-    """Fit on at most `documents` labelled rows of each kind, chosen by hash."""
+    """Fit on all lines of at most `documents` labelled rows of each kind, chosen by hash."""
     known = labels.filter(F.col("quality").isin(0, 1) & F.col(id_col).isNotNull())
     chosen = bounded_ids(known, id_col, ["quality"], documents).select(F.col(id_col).alias("_id"), "quality")
     sample = docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"])
@@ -209,12 +207,12 @@ def fitted_field(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in _chunks(batches):
             own, size, begin = line_features(some.column("text"))
-            cut = [slice(a, min(b, a + TRAINING_LINES)) for a, b in zip(begin, begin[1:], strict=False)]
+            lines = [slice(a, b) for a, b in zip(begin, begin[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [
                     some.column("quality"),
-                    pa.array([own[c].astype("<f4").tobytes() for c in cut], pa.binary()),
-                    pa.array([size[c].astype("<f4").tobytes() for c in cut], pa.binary()),
+                    pa.array([own[c].astype("<f4").tobytes() for c in lines], pa.binary()),
+                    pa.array([size[c].astype("<f4").tobytes() for c in lines], pa.binary()),
                 ],
                 names=["quality", "own", "size"],
             )

@@ -476,6 +476,15 @@ def test_quality_edges(docs, none, labels, rows):
     assert quality_crf.quality_scores(none, field).count() == 0
 
 
+def test_all_lines_are_fitted(spark, monkeypatch):
+    texts = {1: "a clean line of words\n" * 130 + "###!! $$ %%\n" * 70, 2: "good words here\n" * 40}
+    own = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    known = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")
+    monkeypatch.setattr(quality_crf, "fit_field", lambda documents, shares: documents)
+    fitted = quality_crf.fitted_field(own, known, "doc_id", "text", 50)
+    assert [(label, f.shape, len(size)) for label, f, size in fitted] == [(0, (200, 12), 200), (1, (40, 12), 40)]
+
+
 @pytest.mark.parametrize("name", ["op9_toxicity", "op10_quality", "op1_language"])
 def test_held_out(spark, name):
     from tallyroll.llm.queries import QUERIES
