@@ -198,6 +198,18 @@ def test_quality_rules_edges(docs, none, labels, rows):
     assert quality_rules.judged(none, labels).count() == 0
 
 
+def test_all_trusted_documents_count(spark):
+    seen = {}
+    for b in range(1, 5000):
+        a = seen.setdefault(zlib.crc32(str(b).encode()) % 16_384, b)
+        if a != b:
+            break
+    own = spark.createDataFrame([(a, "one two three " * 20), (b, "four five six " * 20)], "doc_id long, text string")
+    good = spark.createDataFrame([(a, 1), (b, 1), (b, 1)], "doc_id long, quality int")
+    # all text is trusted, so no gram is likelier in the target than in the whole
+    assert {r.score for r in quality_rules.judged(own, good).collect()} == {0}
+
+
 # --- 4
 
 
