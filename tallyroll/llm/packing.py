@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyroll.llm.encoding import encoder, text_chunks
+from tallyroll.llm.encoding import binary_column, encoder, text_chunks, with_end
 from tallyroll.llm.shared import Counter, running, stored, to_arrow
 
 
@@ -110,19 +110,12 @@ def packed(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        end = np.array([end_id], enc.dtype).tobytes()
-        width = int(enc.dtype[-1])
-        for batch in batches:
-            for some, texts in text_chunks(batch, "text"):
-                ids = [x + end for x in enc.encode_many(texts)]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "uid": some.column("uid"),
-                        "id": some.column("id"),
-                        "n": pa.array([len(x) // width for x in ids], pa.int64()),
-                        "ids": pa.array(ids, pa.binary()),
-                    }
-                )
+        for some in (x for batch in batches for x in text_chunks(batch, "text")):
+            ids, begin = with_end(*enc.encode_column(some.column("text")), end_id)
+            yield pa.RecordBatch.from_arrays(
+                [some.column("uid"), some.column("id"), pa.array(np.diff(begin)), binary_column(ids, begin)],
+                names=["uid", "id", "n", "ids"],
+            )
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
@@ -216,16 +209,21 @@ def packed(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = encoder(tokenizer).dtype
         for batch in batches:
-            out: dict[str, list] = {c.split()[0]: [] for c in columns.split(", ")}
-            for key, n, ids, own in zip(*(batch.column(c) for c in ("id", "n", "ids", "pieces")), strict=True):
-                all_ids, key, n = np.frombuffer(ids.as_buffer(), dtype), key.as_py(), n.as_py()
-                for piece in own.as_py():
-                    s, length = piece["start"], piece["length"]
-                    data = all_ids[s : s + length].astype("<u4").tobytes()
-                    row = (key, s, length, zlib.crc32(data), n, piece["sequence_id"], piece["offset"], data)
-                    for name, value in zip(out, row, strict=False):
-                        out[name].append(value)
-            yield pa.RecordBatch.from_pydict(out, schema=arrow)
+            pieces = batch.column("pieces")
+            owner = np.repeat(np.arange(len(pieces)), pieces.value_lengths().to_numpy())
+            each = dict(zip(("start", "length", "sequence_id", "offset"), pieces.flatten().flatten(), strict=True))
+            ids = [np.frombuffer(x.as_buffer(), dtype) for x in batch.column("ids")]
+            places = zip(owner.tolist(), each["start"].to_pylist(), each["length"].to_pylist(), strict=True)
+            data = [ids[i][s : s + n].astype("<u4").tobytes() for i, s, n in places]
+            made = {
+                **each,
+                "id": batch.column("id").take(pa.array(owner)),
+                "doc_tokens": batch.column("n").take(pa.array(owner)),
+                "ids_crc32": pa.array([zlib.crc32(x) for x in data], pa.int64()),
+            }
+            if with_ids:
+                made["ids"] = pa.array(data, pa.binary())
+            yield pa.RecordBatch.from_arrays([made[f.name] for f in arrow], schema=arrow)
 
     arrow = to_arrow(spark.createDataFrame([], columns))
     return tokens.join(by_doc, "uid").mapInArrow(cut, columns).withColumnRenamed("id", id_col)

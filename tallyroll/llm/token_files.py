@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroll.llm.encoding import encoder, text_chunks
+from tallyroll.llm.encoding import encoder, text_chunks, with_end
 from tallyroll.llm.shared import lookup, new_path, partitions_for, stored, to_arrow
 
 MAGIC = b"TRIDS001"
@@ -173,20 +173,20 @@ def write_token_files(
         part = TaskContext.get().partitionId()
         path = f"{folder}/shard-{part:06d}-{uuid.uuid4().hex}.ids"
         enc, out, last, copy = encoder(tokenizer), None, object(), 0
-        end = np.array([end_id], enc.dtype).tobytes()
-        width, hashes, lengths = int(enc.dtype[-1]), [], []
-        for some, texts in (x for batch in batches for x in text_chunks(batch, "text")):
-            ids, copies, sizes = some.column("id").to_pylist(), [], []
+        hashes, lengths = [], []
+        for some in (x for batch in batches for x in text_chunks(batch, "text")):
+            ids, copies = some.column("id").to_pylist(), []
             if out is None:
                 fs, where = pafs.FileSystem.from_uri(path)
                 fs.create_dir(where.rsplit("/", 1)[0], recursive=True)
                 out = fs.open_output_stream(where)
-            for key, encoded in zip(ids, enc.encode_many(texts), strict=True):
+            tokens, begin = with_end(*enc.encode_column(some.column("text")), end_id)
+            out.write(pa.py_buffer(tokens))
+            sizes = np.diff(begin).tolist()
+            for key in ids:
                 copy = copy + 1 if key == last else 0
                 last = key
                 copies.append(copy)
-                out.write(encoded + end)
-                sizes.append(len(encoded) // width + 1)
             hashes.append(key_hashes(ids, copies))
             lengths += sizes
             yield _rows(arrow, id=ids, shard=part, path=path, copy=copies, n_tokens=sizes, is_shard=False)
