@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from tallyroll.llm.best_fit import best_fit_packing
+from tallyroll.llm.conversation_repair import conversation_repair
 from tallyroll.llm.decontamination import decontamination
 from tallyroll.llm.jaccard import jaccard
 from tallyroll.llm.language import language
 from tallyroll.llm.oracles import ORACLES as ORACLES
 from tallyroll.llm.packing import packing
+from tallyroll.llm.periodic_runs import runs
 from tallyroll.llm.quality_crf import quality
 from tallyroll.llm.quality_rules import quality_rules
 from tallyroll.llm.repeats import repeats
@@ -25,4 +28,7 @@ QUERIES = {
     "op8_shards": shards,
     "op9_toxicity": toxicity,
     "op10_quality": quality,
+    "op11_best_fit": best_fit_packing,
+    "op12_conversations": conversation_repair,
+    "op13_runs": runs,
 }
