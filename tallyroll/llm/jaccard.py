@@ -1,11 +1,12 @@
 """Exact Jaccard join of shingle sets by prefix trees.
 
 1. Equal sets become one (their key is a checksum of the set).
-2. Sets that can link are brought together: by size class, a set's shingles are dealt into
-   more parts than a linked pair can differ in, so linked sets agree in a part. Sets sharing a
-   part are connected to the least of them; connected sets are one family. Frequent shingles
-   (known from a sample of documents; which ones they are doesn't change the result) stay out
-   of the parts, so that a passage many documents share doesn't join their families.
+2. All shingles are put in one global order, by the number of documents that have them and then
+   by hash. Two linked sets have one of their first n - t n + 1 shingles in common. Shingles of
+   one document alone can't be it, so only those of several are joined back to their sets; a
+   set whose first ones are all its own links with nothing, which settles most sets.
+   Sets with a first shingle in common, and sizes that allow a link, are connected to the least of
+   them; connected sets are one family.
 3. In a family the sets, ordered by how many members have a shingle, are stored in a prefix
    tree. A set walks the tree once, sharing overlaps of common beginnings, and leaves subtrees
    whose remaining lengths can't reach the threshold, or whose members it is already linked
@@ -18,7 +19,8 @@ memory is bounded and nothing is dropped. Shingles are 64-bit hashes.
 
 Defined cases. Text null or without words: no shingles, linked with nothing. Fewer than k
 words: one shingle of all. Repeated ids: each row goes by its own text. Id null: component null,
-and the row links nothing. Empty table: no rows. Other columns are not read.
+and the row links nothing. Ties of the global order go by hash. Very long texts: a set is held
+whole by one task. Empty table: no rows. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -28,8 +30,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyroll.llm.components import components
 from tallyroll.llm.shared import stored
@@ -47,52 +50,6 @@ def size_classes(num: int, den: int, most: int) -> list[int]:
     return [*out, max(out[-1] + 1, (out[-1] - 1) * den // num + 1)]
 
 
-def signatures(
-    h: np.ndarray, begin: np.ndarray, num: int, den: int, frequent: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """(set index, signature): two sets with Jaccard >= num/den share at least one."""
-    n = np.diff(begin)
-    border = np.array(size_classes(num, den, int(n.max(initial=1))))
-    own = np.searchsorted(border, n, side="right") - 1
-    slot = np.minimum(np.searchsorted(frequent, h), max(len(frequent) - 1, 0))
-    rare = frequent[slot] != h if len(frequent) else np.ones(len(h), bool)
-    every = np.ones(len(h), bool)
-    indices, sigs = [], []
-    for role in (0, 1):
-        c = own - role
-        use = np.flatnonzero((n > 0) & (c >= 0))
-        # symmetric difference of a linked pair: at most (1 - t) / (1 + t) of the sum of sizes
-        low, high = border[c[use] + 1] - 1, border[np.minimum(c[use] + 2, len(border) - 1)] - 1
-        parts = (den - num) * (low + high) // (den + num) + 1
-        members, index, sig = _parts(h, begin, use, parts, c[use], 3, rare)
-        indices.append(index[members > 0])
-        sigs.append(sig[members > 0])
-        # Empty parts say nothing. Sets that agree in empty parts alone have such a part both,
-        # and both get a second dealing, of all their shingles, which is as exact.
-        hollow = np.isin(use, index[members == 0])
-        _, index, sig = _parts(h, begin, use[hollow], parts[hollow], c[use][hollow], 5, every)
-        indices.append(index)
-        sigs.append(sig)
-    return np.concatenate(indices), np.concatenate(sigs)
-
-
-def _parts(h, begin, use, parts, tag, seed, chosen):
-    """Members, set index and signature of every part of the sets `use`."""
-    size = begin[use + 1] - begin[use]
-    row = np.repeat(np.arange(len(use)), size)
-    at = np.repeat(begin[use] - (np.cumsum(size) - size), size) + np.arange(len(row))
-    row, at = row[chosen[at]], at[chosen[at]]
-    base = np.cumsum(parts) - parts
-    own = mix(h[at], seed)
-    slot = base[row] + ((own >> np.uint64(33)) % parts[row].astype(np.uint64)).astype(np.int64)
-    total = int(parts.sum())
-    which = np.repeat(np.arange(len(use)), parts)
-    number = np.arange(total) - base[which]
-    place = mix(tag[which].astype(np.uint64) * np.uint64(1 << 32) + number.astype(np.uint64), seed + 1)
-    members = np.bincount(slot, minlength=total)
-    return members, use[which], mix(sums_by(slot, mix(own, seed), total) ^ place, 9)
-
-
 class _Node:
     __slots__ = ("segment", "children", "members", "least", "most", "one")
 
@@ -240,40 +197,28 @@ def jaccard_components(
     text_col: str = "text",
     block: int = 2_000_000,
     passes: int = 1,
-    most_frequent: int = 100_000,
 ) -> DataFrame:
     """(id, n_shingles, component_id): components of "Jaccard >= num/den" over all documents.
-    Candidates are found in `passes` shares of the signatures, to use less disk at a time."""
+    Shingles are counted in `passes` shares of their hashes, to use less disk at a time."""
     id_type = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
-    frequent = _frequent(own, k, most_frequent)
-
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in _chunks(batches):
             h, begin = shingle_sets(some.column("text"), k)
-            n = np.diff(begin)
-            owner = np.repeat(np.arange(len(n)), n)
-            index, sig = signatures(h, begin, num, den, frequent)
-            order = np.argsort(index, kind="stable")
-            ends = np.searchsorted(index[order], np.arange(len(n) + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(ends, pa.array(sig[order].view(np.int64)))
-            keys = [pa.array(sums_by(owner, mix(h, s), len(n)).view(np.int64)) for s in (20, 21)]
+            keys = [pa.array(key.view(np.int64)) for key in _set_keys(h, begin)]
             yield pa.RecordBatch.from_arrays(
-                [some.column("id"), pa.array(n, pa.int64()), *keys, lists], names=["id", "n", "k1", "k2", "sigs"]
+                [some.column("id"), pa.array(np.diff(begin), pa.int64()), *keys], names=["id", "n", "k1", "k2"]
             )
 
-    signed = stored(own.mapInArrow(sign, f"id {id_type}, n long, k1 long, k2 long, sigs array<long>"), "jaccard-signed")
+    signed = stored(own.mapInArrow(sign, f"id {id_type}, n long, k1 long, k2 long"), "jaccard-signed")
 
-    candidates = None
-    for share in range(passes):
-        rows = signed.select("k1", F.explode("sigs").alias("sig")).filter(F.pmod("sig", F.lit(passes)) == share)
-        shared = rows.groupBy("sig").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo < hi")
-        shared = stored(shared.select("sig", "lo"), "jaccard-shared")
-        # both sides shuffled on the signature at any size: shared ones grow with the input
-        found = rows.join(shared.hint("merge"), "sig").filter("k1 != lo")
-        found = stored(found.select(F.col("k1").alias("a"), F.col("lo").alias("b")).distinct(), "jaccard-pairs")
-        candidates = found if candidates is None else candidates.union(found)
+    first = _first_shingles(own, k, num, den, passes)
+    rows = stored(first.select("k1", F.explode(_signatures(num, den)).alias("sig")).distinct(), "jaccard-first")
+    shared = rows.groupBy("sig").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo < hi")
+    # both sides shuffled on the signature at any size: shared ones grow with the input
+    found = rows.join(shared.select("sig", "lo").hint("merge"), "sig").filter("k1 != lo")
+    candidates = stored(found.select(F.col("k1").alias("a"), F.col("lo").alias("b")).distinct(), "jaccard-pairs")
     families = stored(components(candidates), "jaccard-families")
 
     sets = signed.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"))
@@ -337,18 +282,58 @@ def jaccard_components(
     )
 
 
-def _frequent(own: DataFrame, k: int, most: int, share: int = 16, least: int = 3) -> np.ndarray:
-    """At most `most` shingles, ascending: the most frequent in one of `share` documents."""
+def _set_keys(h: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+    """Two checksums of each set."""
+    owner = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+    return [sums_by(owner, mix(h, s), len(begin) - 1) for s in (20, 21)]
 
-    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for some in _chunks(batches):
-            h, _ = shingle_sets(some.column("text"), k)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
-    sample = own.filter(F.pmod(F.xxhash64("id"), F.lit(share)) == 0)
-    counts = sample.select("text").mapInArrow(shingle, "h long").groupBy("h").agg(F.count("*").alias("n"))
-    top = counts.filter(F.col("n") >= least).orderBy(F.desc("n"), "h").limit(most).collect()
-    return np.sort(np.array([r.h for r in top], np.int64).view(np.uint64))
+def _first_shingles(own: DataFrame, k: int, num: int, den: int, passes: int) -> DataFrame:
+    """(k1, n, first): for each set with any, those of its first n - t n + 1 shingles in the global order
+    that several documents have.
+
+    Counts combine before the shuffle, so a shingle of very many documents costs one row a task;
+    the join back shuffles sets' shingles on the shingle, where Spark splits a skewed one."""
+
+    def shingles(share: int, with_set: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for some in _chunks(batches):
+                h, begin = shingle_sets(some.column("text"), k)
+                chosen = h % np.uint64(passes) == share if passes > 1 else slice(None)
+                made = {"h": pa.array(h[chosen].view(np.int64))}
+                if with_set:
+                    n = np.diff(begin)
+                    key = _set_keys(h, begin)[0]
+                    made["k1"] = pa.array(np.repeat(key, n)[chosen].view(np.int64))
+                    made["n"] = pa.array(np.repeat(n, n)[chosen], pa.int32())
+                yield pa.RecordBatch.from_pydict(made)
+
+        return own.select("text").mapInArrow(run, "h long, k1 long, n int" if with_set else "h long")
+
+    several = None
+    for share in range(passes):
+        counts = shingles(share, False).groupBy("h").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1")
+        counts = stored(counts, "jaccard-counts")
+        back = shingles(share, True).join(counts.hint("shuffle_hash"), "h").distinct()
+        back = stored(back.select("k1", "n", "docs", "h"), "jaccard-several")
+        several = back if several is None else several.union(back)
+    sets = several.groupBy("k1", "n").agg(F.sort_array(F.collect_list(F.struct("docs", "h"))).alias("several"))
+    # as many of the first ones as are no set's own; the others come before them
+    most = F.expr(f"n - (n * {num}L + {den - 1}) div {den} + 1 - (n - size(several))").cast("int")
+    return (
+        sets.withColumn("most", most)
+        .filter("most > 0")
+        .select("k1", "n", F.expr("transform(slice(several, 1, most), x -> x.h)").alias("first"))
+    )
+
+
+def _signatures(num: int, den: int) -> Column:
+    """For each of a set's first shingles, one value for its size class and one for the class
+    below: sizes of linked sets are in one class or in neighbours."""
+    borders = ", ".join(f"{b}L" for b in size_classes(num, den, 1 << 31))
+    # the class is worked out once, as the element of an array
+    both = f"c -> flatten(transform(first, h -> array(xxhash64(h, c), xxhash64(h, c - 1))))"
+    return F.expr(f"flatten(transform(array(size(filter(array({borders}), b -> b <= n))), {both}))")
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,12 +384,23 @@ def _joined(rows: DataFrame, id_type: str, num: int, den: int) -> DataFrame:
 
 def first_of_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Documents that are the first (least id) of their component, with all their columns.
-    Rows alike in id and text are one document; an id stays with all its texts if one of them
-    is first; rows with a null id stay."""
+    Rows with a null id stay. An id with several texts stays with those that are first. Of rows alike
+    in id and text one stays, by the least checksum of all columns."""
     found = jaccard_components(docs, id_col=id_col, text_col=text_col, **options)
-    later = found.groupBy(F.col(id_col).alias("_id")).agg(F.min(F.col("component_id") < F.col(id_col)).alias("_later"))
-    kept = docs.join(later.filter("_later").hint("merge"), docs[id_col] == F.col("_id"), "left_anti")
-    return kept.dropDuplicates([id_col, text_col])
+    by_id = stored(
+        found.filter(F.col(id_col).isNotNull())
+        .groupBy(F.col(id_col).alias("id"))
+        .agg(F.min(F.col("component_id") < F.col(id_col)).alias("later"), F.count(F.lit(1)).alias("rows"))
+        .filter("later OR rows > 1"),
+        "jaccard-later",
+    )
+    single = docs.join(by_id.hint("merge"), docs[id_col] == by_id["id"], "left_anti")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    own, text = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
+    several = docs.toDF(*names).join(by_id.filter("NOT later").select("id"), F.col(own) == F.col("id"), "left_semi")
+    order = Window.partitionBy(own, F.xxhash64(text), F.md5(F.col(text).cast("binary"))).orderBy("_row")
+    kept = several.withColumn("_row", F.xxhash64(*names)).withColumn("_first", F.row_number().over(order) == 1)
+    return single.unionByName(kept.filter("_first").select(*names).toDF(*docs.columns))
 
 
 def jaccard(spark, sf_dir: str) -> DataFrame:

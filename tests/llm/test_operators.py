@@ -315,9 +315,9 @@ def naive_components(rows, k, num, den):
     return {i: (len(s), None if i is None else find(i)) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize(("k", "num", "block", "frequent"), [(3, 90, 2_000_000, 100_000), (5, 80, 500, 0), (2, 60, 300, 50)])
-def test_jaccard(docs, none, rows, k, num, block, frequent):
-    got = jaccard.jaccard_components(docs, k, num, 100, block=block, passes=2, most_frequent=frequent).collect()
+@pytest.mark.parametrize(("k", "num", "block", "passes"), [(3, 90, 2_000_000, 1), (5, 80, 500, 2), (2, 60, 300, 3)])
+def test_jaccard(docs, none, rows, k, num, block, passes):
+    got = jaccard.jaccard_components(docs, k, num, 100, block=block, passes=passes).collect()
     want = naive_components(rows, k, num, 100)
     assert len(got) == len(rows)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
@@ -332,6 +332,36 @@ def test_first_of_group(docs, rows):
     assert None in ids and kept.columns == docs.columns
 
 
+def test_first_of_group_keeps_rows_without_id_and_one_of_repeated_rows(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, 5, "a", True, 0), (1, text, 4, "b", True, 0), (2, text, 1, "c", True, 0), (3, "another text", 1, "d", True, 0),
+            (3, "and one more of the same id", 1, "e", True, 0), (None, text, 1, "f", True, 0), (None, text, 1, "f", True, 0),
+            (None, None, 1, "g", True, 0), (4, None, 1, "h", True, 0), (4, None, 1, "h", True, 0)]
+    names = "doc_id long, text string, _id int, rows string, later boolean, _row int"
+    kept = [
+        sorted(map(str, jaccard.first_of_group(spark.createDataFrame(some, names), k=5, num=80).collect()))
+        for some in (rows, rows[::-1])
+    ]
+    assert kept[0] == kept[1]
+    assert sorted(re.search("rows='(.)'", r)[1] for r in kept[0])[-6:] == ["d", "e", "f", "f", "g", "h"]
+    assert len(kept[0]) == 7
+
+
+def test_passages_that_many_share_join_no_families(spark, monkeypatch):
+    """Families stay as small as the links make them, however many texts share a long passage."""
+    rng = random.Random(9)
+    passage = sentence(rng, 120)
+    texts = [f"{passage} {sentence(rng, 60)}" for _ in range(60)]
+    near = [texts[0] + " end", texts[0] + " other end", *(f"{t} x" for t in texts[1:4])]
+    made = spark.createDataFrame(list(enumerate([*texts, *near])), "doc_id long, text string")
+    pairs = []
+    plain = jaccard.components
+    monkeypatch.setattr(jaccard, "components", lambda edges: pairs.append(edges.count()) or plain(edges))
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(made, 5, 80, 100).collect()}
+    assert {i for i, c in got.items() if i != c} == {60, 61, 62, 63, 64}
+    assert pairs[0] <= 10
+
+
 def test_tree_finds_all_links():
     rng = np.random.default_rng(4)
     for _ in range(60):
