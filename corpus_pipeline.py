@@ -24,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, Jaccard 0.8): the first."""
-    return first_of_group(docs, k=5, num=80, den=100, passes=4)
+    return first_of_group(docs, k=5, num=80, den=100)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
