@@ -8,8 +8,9 @@ that a document shares with whole items are counted in overlapping bands of diag
 that hold too few in every band are dropped, and the rest are aligned within the band.
 k is `EDITS` of the window's length, less where the bound would say nothing.
 
-The benchmark is worked off in blocks of a fixed number of characters, each against all
-documents, so what is sent to the tasks has a bound whatever the benchmark's size.
+The benchmark is stored in the shared folder in blocks of about a number of characters. A task
+reads them from there, one after another for each chunk of texts, so documents are scanned once and what a
+task holds has a bound, whatever the benchmark's size; the driver holds their number.
 
 Defined cases. Text null or empty on either side: no match. Items of fewer than Q characters:
 too short to tell, no match. Repeated rows or ids: each row of documents is searched, hits are
@@ -25,11 +26,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.llm.encoding import text_chunks
-from tallyroll.llm.shared import to_arrow
+from tallyroll.llm.shared import new_path, to_arrow
 
 #: The hash below is made for Q = 10.
 Q, WINDOW, EDITS = 10, 80, 0.08
@@ -38,6 +41,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FILTER_BITS = 22
 #: Shared q-grams that are expanded at once.
 _HITS = 2_000_000
+#: Blocks of the benchmark that a task keeps at a time.
+_BLOCKS_HELD = 4
 
 
 @lru_cache(maxsize=1)
@@ -250,49 +255,66 @@ def leaks(
     arrow = to_arrow(docs.sparkSession.createDataFrame([], schema))
     pairs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
-    def search_for(block: list[tuple]) -> DataFrame:
-        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            patterns = Patterns.of([i for i, _ in block], [t for _, t in block])
-            for batch in batches:
-                for some, texts in text_chunks(batch, "text", 1 << 20):
-                    codes, place, _, owner = normal(texts)
-                    ids = some.column("id")
-                    item, begin, end, edits = patterns.search(codes)
-                    pair, inverse = np.unique(owner[begin] * (1 << 32) + item, return_inverse=True)
-                    rows = [
-                        {
-                            "id": ids[int(pair[i] >> 32)].as_py(),
-                            "item": patterns.items[int(pair[i] & ((1 << 32) - 1))],
-                            "begin": int(place[begin[own].min()]),
-                            "end": int(place[end[own].max() - 1]) + 1,
-                            "edits": int(edits[own].min()),
-                            "places": int(own.sum()),
-                        }
-                        for i, own in ((i, inverse == i) for i in range(len(pair)))
-                    ]
-                    yield pa.RecordBatch.from_pylist(rows, schema=arrow)
-
-        return pairs.mapInArrow(search, schema)
-
-    found, block, size = None, [], 0
-    for row in benchmark.select(item_col, item_text_col).toLocalIterator():
-        block.append(tuple(row))
-        size += len(row[1] or "")
-        if size >= block_characters:
-            found = search_for(block) if found is None else found.union(search_for(block))
-            block, size = [], 0
-    if block or found is None:
-        found = search_for(block) if found is None else found.union(search_for(block))
+    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"))
+    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    n_blocks = -(-total // block_characters)
+    folder = new_path(docs.sparkSession, "benchmark-blocks")
+    block = F.pmod(F.xxhash64("item", "text"), F.lit(max(1, n_blocks)))
+    items.withColumn("block", block).repartition("block").write.partitionBy("block").parquet(folder)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        load = lru_cache(maxsize=_BLOCKS_HELD)(lambda number: _patterns(f"{folder}/block={number}"))
+        for some in (x for batch in batches for x in text_chunks(batch, "text", 1 << 20)):
+            codes, place, _, owner = normal(some.column("text").to_pylist())
+            ids = some.column("id")
+            for number in range(n_blocks):
+                patterns = load(number)
+                if patterns is None:
+                    continue
+                item, begin, end, edits = patterns.search(codes)
+                pair, inverse = np.unique(owner[begin] * (1 << 32) + item, return_inverse=True)
+                rows = [
+                    {
+                        "id": ids[int(pair[i] >> 32)].as_py(),
+                        "item": patterns.items[int(pair[i] & ((1 << 32) - 1))],
+                        "begin": int(place[begin[own].min()]),
+                        "end": int(place[end[own].max() - 1]) + 1,
+                        "edits": int(edits[own].min()),
+                        "places": int(own.sum()),
+                    }
+                    for i, own in ((i, inverse == i) for i in range(len(pair)))
+                ]
+                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+    found = pairs.mapInArrow(search, schema)
     return found.groupBy(F.col("id").alias(id_col), F.col("item").alias(item_col)).agg(
         F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("edits").alias("edits"),
         F.sum("places").alias("places"),
     )
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """Documents without the ids that hold a benchmark passage; null ids are judged together."""
-    bad = leaks(docs, benchmark, id_col, **options).select(F.col(id_col).alias("_leaks")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_leaks"]), "left_anti")
+def _patterns(folder: str) -> Patterns | None:
+    """The patterns of one stored block of the benchmark, None where it holds none."""
+    store, path = pafs.FileSystem.from_uri(folder)
+    if store.get_file_info(path).type != pafs.FileType.Directory:
+        return None
+    files = store.get_file_info(pafs.FileSelector(path))
+    names = sorted(f.path for f in files if f.path.endswith(".parquet"))
+    rows = [r for name in names for r in pq.read_table(name, filesystem=store).to_pylist()]
+    rows.sort(key=lambda r: (str(r["item"]), r["text"] or ""))
+    return Patterns.of([r["item"] for r in rows], [r["text"] for r in rows])
+
+
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
+    """Documents without a benchmark passage. Rows go by id and text, so that of rows that share an
+    id, or have none, those with a passage go and the others stay."""
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"))
+    own = docs.select(key.alias("key"), F.col(text_col).alias("text"))
+    bad = leaks(own, benchmark, "key", "text", **options).select("key.id", "key.text_hash").distinct()
+    same = docs[id_col].eqNullSafe(bad["id"]) & (F.xxhash64(docs[text_col]) == bad["text_hash"])
+    return docs.join(bad, same, "left_anti")
 
 
 def decontamination(spark, sf_dir: str) -> DataFrame:
