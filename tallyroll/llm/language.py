@@ -193,7 +193,8 @@ def languages(
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = parser(samples)
         for batch in batches:
-            for some, texts in text_chunks(batch, "text", 1 << 21):
+            for some in text_chunks(batch, "text", 1 << 21):
+                texts = some.column("text").to_pylist()
                 names, scores = own.predict([t or "" for t in texts])
                 yield pa.RecordBatch.from_arrays([some.column("id"), pa.array(names), pa.array(scores)], schema=arrow)
 

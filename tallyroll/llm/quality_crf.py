@@ -202,7 +202,8 @@ def fitted_field(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     """Fit on all lines of at most `documents` labelled rows of each kind, chosen by hash."""
     known = labels.filter(F.col("quality").isin(0, 1) & F.col(id_col).isNotNull())
     chosen = bounded_ids(known, id_col, ["quality"], documents).select(F.col(id_col).alias("_id"), "quality")
-    sample = docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"])
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sample = own.join(F.broadcast(chosen), own["id"] == chosen["_id"])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in _chunks(batches):
@@ -217,7 +218,7 @@ def fitted_field(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
                 names=["quality", "own", "size"],
             )
 
-    rows = sample.select(F.col("quality").cast("int").alias("quality"), F.col(text_col).alias("text"))
+    rows = sample.select(F.col("quality").cast("int").alias("quality"), "text")
     found = rows.mapInArrow(features, "quality int, own binary, size binary").collect()
     shares = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
     read = lambda b: np.frombuffer(b, "<f4").astype(float)

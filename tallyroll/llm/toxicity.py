@@ -143,8 +143,9 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, docum
     """Fit on at most `documents` labelled rows of each class, chosen by hash."""
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull())
     chosen = bounded_ids(known, id_col, ["toxic"], documents).select(F.col(id_col).alias("_id"), "toxic")
-    sample = docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"])
-    rows = [(r[0], words(r[1])) for r in sample.select("toxic", text_col).collect()]
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sample = own.join(F.broadcast(chosen), own["id"] == chosen["_id"])
+    rows = [(r[0], words(r[1])) for r in sample.select("toxic", "text").collect()]
     if len({toxic for toxic, _ in rows}) < 2:
         return Model({})
     # a place counts once however often its neighbourhood is copied, or the words of a copied
@@ -190,7 +191,8 @@ def toxicity_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = Weights(model.weights)
         for batch in batches:
-            for some, texts in text_chunks(batch, "text", 1 << 21):
+            for some in text_chunks(batch, "text", 1 << 21):
+                texts = some.column("text").to_pylist()
                 own = [words(t) for t in texts]
                 found = [segments(w, weights) for w in own]
                 scores = [model.score(len(w), f) for w, f in zip(own, found, strict=True)]
