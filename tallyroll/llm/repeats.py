@@ -355,10 +355,16 @@ _COUNTS = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept
 
 
 def without_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_rows: int = 50_000, bucket_rows: int = 50_000
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    block_rows: int = 50_000,
+    bucket_rows: int = 50_000,
+    whole_characters: bool = False,
 ) -> DataFrame:
     """(row, n_bytes, n_removed, n_spans, kept_sha256, kept) of every document; `row` is the
-    whole row, `kept` are the bytes left (a cut may split a character)."""
+    whole row, `kept` are the bytes left. A cut may split a character, unless `whole_characters`:
+    then a character goes with any of its bytes."""
     spans = stored(repeated_spans(docs, id_col, text_col, block_rows, bucket_rows), "repeat-spans")
     whole = _keyed(docs, id_col, text_col, F.struct("*").alias("row")).drop("id", "text")
     own = whole.join(spans, ["id_", "text_hash"], "left").withColumn("text", F.col(f"row.`{text_col}`"))
@@ -369,6 +375,9 @@ def without_repeats(
         for some in _chunks(batches):
             raw, begin = text_bytes(some.column("text"))
             covered = _covered(some.column("spans"), begin, len(raw))
+            if whole_characters and len(raw):
+                character = np.flatnonzero((raw & 0xC0) != 0x80)
+                covered = np.repeat(np.logical_or.reduceat(covered, character), np.diff(np.append(character, len(raw))))
             before = np.zeros(len(raw), bool)
             before[1:] = covered[:-1]
             before[begin[:-1][begin[:-1] < len(raw)]] = False
@@ -385,13 +394,11 @@ def without_repeats(
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents with what is left of their texts (null stays null; parts of a character
-    that a cut split go too), and all other columns."""
-    found = without_repeats(docs, id_col, text_col, **options)
-    left = F.when(F.col(f"row.`{text_col}`").isNotNull(), F.try_validate_utf8(F.col("kept").cast("string")))
-    repaired = F.coalesce(left, F.when(F.col(f"row.`{text_col}`").isNotNull(), F.make_valid_utf8(F.col("kept").cast("string"))))
-    repaired = F.replace(repaired, F.lit("\ufffd"), F.lit(""))
-    return found.select(*((repaired if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
+    """The documents with what is left of their texts (null stays null; characters that a cut would
+    split go whole, all others stay), and all other columns."""
+    found = without_repeats(docs, id_col, text_col, whole_characters=True, **options)
+    left = F.when(F.col(f"row.`{text_col}`").isNotNull(), F.col("kept").cast("string"))
+    return found.select(*((left if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def repeats(spark, sf_dir: str) -> DataFrame:

@@ -19,10 +19,13 @@ _own_dir: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
+    """The folder that driver and executors share. Where none is set, one of our own if all run on
+    this machine, and an error otherwise."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
     if not _own_dir:
         _own_dir.append("file://" + tempfile.mkdtemp(prefix="tallyroll-"))
     return _own_dir[0]

@@ -21,7 +21,7 @@ tokenizers = pytest.importorskip("tokenizers")
 public_tokenizers = pytest.importorskip("public_tokenizers")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: Names that the operators use for columns of their own.
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, id_ string, row string, score string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, id_ string, row string, score string, toxic int, quality int, _id string, key string, block int"
 
 
 def sentence(rng, n):
@@ -38,8 +38,8 @@ def rows():
     shared = [f"{sentence(rng, 30)} {passage} {sentence(rng, 30)}" for _ in range(8)]
     odd = [None, "", " ", "\n\n", "a", "a b", "12 34", "é", "x" * 5000, "ab " * 700, "a\tb  c d\r\n", "日本語 の テキスト"]
     every = [*texts, long, long + " end", *near, *shared, *texts[:5], *odd]
-    out = [(i, t, ["en", "de", None][i % 3], "s", None if t is None else len(t), "x", "y", "z", "w") for i, t in enumerate(every)]
-    out += [out[3], out[3], (None, "no id here", None, None, None, None, None, None, None)]
+    out = [(i, t, ["en", "de", None][i % 3], "s", None if t is None else len(t), "x", "y", "z", "w", 1, 0, "v", "u", 3) for i, t in enumerate(every)]
+    out += [out[3], out[3], (None, "no id here", *[None] * 12)]
     return out
 
 
@@ -136,6 +136,8 @@ def test_leaks(spark, docs, none, rows):
     kept = decontamination.without_leaks(own, bench)
     assert sorted(r.doc_id for r in kept.collect()) == [4, 5, 7, 8] and kept.columns == own.columns
     assert decontamination.without_leaks(docs, bench).count() == len(rows)
+    alike = own.withColumn("doc_id", F.lit(None).cast("long"))  # rows without an id are judged one by one
+    assert Counter(r.text for r in decontamination.without_leaks(alike, bench).collect()) == Counter(r.text for r in kept.collect())
     assert decontamination.without_leaks(docs, bench.limit(0)).count() == len(rows)
     assert decontamination.leaks(none, bench).count() == 0
 
@@ -421,6 +423,15 @@ def test_repeats(docs, none, rows, limits):
     assert repeats.without_repeats(none).count() == 0
 
 
+def test_cuts_take_whole_characters_and_leave_others(spark):
+    passage = "été 日本 " * 12
+    texts = [f"a\ufffdb {passage}", f"\ufffd zé{passage}日x \ufffd", "no cut \ufffd here"]
+    own = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r.doc_id: r.text for r in repeats.cut_repeats(own).collect()}
+    assert (left[0], left[2]) == (texts[0], texts[2])
+    assert left[1].startswith("\ufffd z") and left[1].endswith("日x \ufffd") and len(left[1]) < 20
+
+
 def test_cover_is_a_difference_cover():
     found = {(a - b) % repeats.PERIOD for a in repeats.COVER for b in repeats.COVER}
     assert found == set(range(repeats.PERIOD))
