@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 
@@ -24,28 +26,28 @@ _BYTE = mix(np.arange(256, dtype=np.uint64))
 _P = 0x9E3779B97F4A7C15 | 1
 
 
-#: Powers that are kept between chunks, up to so many of each base.
-_KEPT = 1 << 22
-_kept: dict[int, np.ndarray] = {}
+#: Powers are multiplied in blocks of so many, so that long texts need no table of their length.
+_BLOCK = 1 << 14
 
 
+@lru_cache(maxsize=16)
 def _powers(base: int, n: int) -> np.ndarray:
     """1, base, base**2, ... modulo 2**64."""
-    known = _kept.get(base)
-    if known is not None and len(known) >= n:
-        return known[:n]
     out = np.ones(max(n, 1), np.uint64)
     done = 1
     while done < n:
-        step = np.uint64(pow(base, done, 1 << 64))
         some = min(done, n - done)
-        out[done : done + some] = out[:some] * step
+        out[done : done + some] = out[:some] * np.uint64(pow(base, done, 1 << 64))
         done += some
-    if n <= _KEPT:
-        _kept[base] = out
     return out
 
 
+def _power_at(base: int, places: np.ndarray, n: int) -> np.ndarray:
+    """base**place of places below n."""
+    far = _powers(pow(base, _BLOCK, 1 << 64), max(_BLOCK, n // _BLOCK + 1))
+    return far[places // _BLOCK] * _powers(base, _BLOCK)[places % _BLOCK]
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column (null: none) and where each text begins, with the end."""
     column = column.cast(pa.large_string()).fill_null("")
@@ -74,9 +76,17 @@ def hashes_of(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int =
     divided by the power of the stretch's place."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * _powers(base, len(raw)))])
-    back = _powers(pow(base, -1, 1 << 64), len(raw))
-    return mix((sums[ends] - sums[starts]) * back[starts])
+    sums = _BYTE[raw]
+    near = _powers(base, _BLOCK)
+    for at in range(0, len(raw), _BLOCK):
+        some = sums[at : at + _BLOCK]
+        some *= near[: len(some)] * np.uint64(pow(base, at, 1 << 64))
+    np.cumsum(sums, out=sums)
+    out = sums[ends - 1]
+    later = starts > 0
+    out[later] -= sums[starts[later] - 1]
+    del sums
+    return mix(out * _power_at(pow(base, -1, 1 << 64), starts, len(raw)))
 
 
 def word_hashes(column: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
