@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyroll.functions import blank, deal_name, file_name, report_date, strip, vendor_name
 from tallyroll.schemas import FILE_KEY
@@ -34,6 +35,13 @@ def one_per_identity(files: DataFrame) -> DataFrame:
     )
 
 
+def repeated_identity(files: DataFrame) -> DataFrame:
+    """Add `repeats`: the path that is taken instead, for all but the first path of one identity.
+    An identity has as many rows as there are roots."""
+    first = F.min("path").over(Window.partitionBy(*FILE_KEY))
+    return files.withColumn("repeats", F.when(F.col("path") != first, first))
+
+
 def pending(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files the ledger does not hold."""
     return files.join(ledger.select(*FILE_KEY), FILE_KEY, "left_anti")

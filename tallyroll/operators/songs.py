@@ -2,22 +2,28 @@
 
 A song is ISRC, artist, track and album. Its current version is the one with the earliest
 date seen so far, so the current versions do not depend on the order or grouping in which
-files arrive.
+files arrive. Files take effect one after another, in `FILE_ORDER`: a file that knows an earlier
+date makes a version, and retires the one before.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyroll.functions import blank, key_text, title_ascii
-from tallyroll.schemas import SONG_COLUMNS, SONG_KEY
+from tallyroll.schemas import SONG, SONG_COLUMNS, SONG_KEY
+
+#: Files in the order in which they take effect.
+FILE_ORDER = ["report_date", "file_path"]
 
 
-def song_id() -> Column:
+def song_id(date: str = "Release_Date") -> Column:
     """A version's id, from its key and date: the same in every run."""
-    fields = [*SONG_KEY, F.col("Release_Date").cast("string")]
+    fields = [*SONG_KEY, F.col(date).cast("string")]
     return F.md5(F.concat_ws("\x01", *fields).cast("binary"))
 
 
@@ -43,21 +49,22 @@ def _never_null(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.coalesce(c, F.lit(" ")) for c in SONG_KEY})
 
 
-def candidates(payments: DataFrame, normalised: bool = False) -> DataFrame:
-    """Songs named by payment rows, each with its earliest date.
+def candidates(payments: DataFrame, normalised: bool = False, by: Sequence[str] = ()) -> DataFrame:
+    """Songs named by payment rows, each with its earliest date (in each file, given the file's
+    columns `by`).
 
     Rows without artist, track or date name no song. The minimum is taken before the
     shuffle as well, so a song holding much of the data costs one row per task. Stored
     payments are in title case already (`normalised`).
     """
-    named = payments.where(~blank(F.col("Artist")) & ~blank(F.col("Track"))).select(*SONG_KEY, "song_date")
+    named = payments.where(~blank(F.col("Artist")) & ~blank(F.col("Track"))).select(*SONG_KEY, "song_date", *by)
     if normalised:
         keyed = _never_null(named.withColumns({c: key_text(F.col(c)) for c in ("ISRC", "Album")}))
     else:
         keyed = normalise_keys(named)
     # Rows without a date are dropped by way of the minimum: a filter on the date itself
     # would be pushed below the parsing of it and parse twice.
-    earliest = keyed.groupBy(*SONG_KEY).agg(F.min("song_date").alias("Release_Date"))
+    earliest = keyed.groupBy(*SONG_KEY, *by).agg(F.min("song_date").alias("Release_Date"))
     return earliest.where("Release_Date is not null")
 
 
@@ -99,6 +106,32 @@ def song_delta(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
+def song_versions(stored: DataFrame, incoming: DataFrame, order: Sequence[str] = tuple(FILE_ORDER)) -> DataFrame:
+    """New version rows of files that take effect one after another.
+
+    `stored` holds current versions, `incoming` candidates by file. A file's row makes a version
+    where its date is earlier than the stored one and all of the files before it. There is one
+    row a song and file, so a window holds at most as many rows as a batch has files, however
+    many lines name the song. The join and both windows share one shuffle, on the key.
+    """
+    held = stored.select(*SONG_KEY, F.col("Release_Date").alias("held_date"))
+    song = Window.partitionBy(*SONG_KEY)
+    earlier = song.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    seen = incoming.join(held, SONG_KEY, "left").withColumns(
+        {
+            "before": F.least(F.min("Release_Date").over(earlier), F.col("held_date")),
+            "earliest": F.min("Release_Date").over(song),
+        }
+    )
+    return seen.where("before is null or Release_Date < before").select(
+        song_id().alias("id"),
+        *SONG_KEY,
+        "Release_Date",
+        F.when(F.col("Release_Date") == F.col("earliest"), "Y").otherwise("N").alias("is_latest"),
+        F.when(F.col("before").isNotNull(), song_id("before")).alias("replaces_id"),
+    )
+
+
 def inserts(delta: DataFrame) -> DataFrame:
     return delta.where("replaces_id is null")
 
@@ -169,13 +202,18 @@ def latest_flags(versions: DataFrame) -> DataFrame:
     )
 
 
-def apply_delta(versions: DataFrame, delta: DataFrame) -> DataFrame:
-    """The song table after a delta of `song_delta`.
+def snapshot(versions: DataFrame, delta: DataFrame) -> DataFrame:
+    """All versions of some songs after a delta: those that it supersedes are retired.
 
-    Its versions share their key with those they replace and are earlier, so the latest
+    New versions share their key with those they replace and are earlier, so the latest
     version is the key's earliest; a song has few versions, so a window per key is small.
     """
-    both = versions.select(*delta.columns).unionByName(delta)
+    both = versions.select(*SONG.fieldNames()).unionByName(delta.select(*SONG.fieldNames()))
     earliest = F.min("Release_Date").over(Window.partitionBy(*SONG_KEY))
     kept = (F.col("is_latest") == "Y") & (F.col("Release_Date") == earliest)
-    return both.withColumn("is_latest", F.when(kept, "Y").otherwise("N")).select(*SONG_COLUMNS)
+    return both.withColumn("is_latest", F.when(kept, "Y").otherwise("N"))
+
+
+def apply_delta(versions: DataFrame, delta: DataFrame) -> DataFrame:
+    """The song table after a delta, in its public columns."""
+    return snapshot(versions, delta).select(*SONG_COLUMNS)

@@ -3,20 +3,28 @@
 A run lists the pending files and resolves their headers once, writes that plan next to
 the tables, and works through it in batches. A batch is bounded in files and bytes, so
 what the driver holds (paths) and what is broadcast (one small row per file) is bounded
-too, however many files a run finds. Batches go in order of report date and each commits
-on its own; a run that dies is continued by the next one.
+too, however many files a run finds. Files go in order of report date and path, whatever the
+batches, so the tables do not depend on the limits. Each batch commits on its own; a run that dies
+is continued by the next one.
+
+A file that can't be read once its batch is under way is set apart, with an error row, and the
+others load: files are probed again, and if that finds none, the batch is halved until the file
+stands alone.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyroll.operators import manifest, payments, rejects, songs
 from tallyroll.operators.conform import conform
@@ -26,6 +34,8 @@ from tallyroll.sources.tables import Tables
 
 # Row width up to which files share one scan; beyond it the width doubles per scan.
 _NARROW = 32
+# How Spark names a file that can't be read, while planning and while scanning (fixed values).
+_READ_FAILURES = ("PATH_NOT_FOUND", "FAILED_READ_FILE", "CANNOT_READ_FILE", "FileNotFoundException")
 
 
 class Limits(NamedTuple):
@@ -35,19 +45,23 @@ class Limits(NamedTuple):
     bytes: int = 1 << 40
 
 
-class Batch(NamedTuple):
-    """Files with report dates `first..last` whose path hash falls on `part` of `parts`."""
+class Slice(NamedTuple):
+    """Neighbouring files in load order, the smallest piece that batches are made of."""
 
-    first: object
-    last: object
     part: int
-    parts: int
+    by_files: int
+    by_bytes: int
+
+
+class Batch(NamedTuple):
+    """The files of all slices from `first` to `last`."""
+
+    first: Slice
+    last: Slice
 
     def of(self, files: DataFrame) -> DataFrame:
-        chosen = files.where(F.col("report_date").between(F.lit(self.first), F.lit(self.last)))
-        if self.parts > 1:
-            chosen = chosen.where(F.pmod(F.xxhash64("file_path"), F.lit(self.parts)) == self.part)
-        return chosen
+        bounds = [F.struct(*[F.lit(v).alias(n) for n, v in zip(Slice._fields, s, strict=True)]) for s in self]
+        return files.where(F.struct(*Slice._fields).between(*bounds))
 
 
 class Run(NamedTuple):
@@ -57,32 +71,38 @@ class Run(NamedTuple):
     loads: list[str]
 
 
-def plan_batches(months: Sequence, limits: Limits) -> Iterator[Batch]:
-    """Batches from the number and bytes of files per report date, in date order.
-
-    Small neighbouring dates are joined up to the limits; a date above them is split.
-    """
-    group: list = []
+def in_slices(files: DataFrame, limits: Limits, count: int) -> DataFrame:
+    """Files in load order, cut into slices within the limits: a range partition of the order each
+    in pieces by its running numbers of files and bytes."""
+    parts = max(1, math.ceil(count / max(1, limits.files)))
+    ordered = files.repartitionByRange(parts, *songs.FILE_ORDER).withColumn("part", F.spark_partition_id())
+    upto = Window.partitionBy("part").orderBy(*songs.FILE_ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.count(F.lit(1)).over(upto), F.coalesce(F.sum("bytes").over(upto), F.lit(0))
+    return ordered.withColumns(
+        {
+            "by_files": F.floor(before[0] / F.lit(limits.files)),
+            "by_bytes": F.floor(before[1] / F.lit(limits.bytes)),
+        }
+    )
 
-    def whole(dates: list) -> Batch:
-        return Batch(dates[0].report_date, dates[-1].report_date, 0, 1)
 
-    for month in months:
-        held_files = sum(m.files for m in group) + month.files
-        held_bytes = sum(m.bytes for m in group) + month.bytes
+def plan_batches(slices: Sequence, limits: Limits) -> Iterator[Batch]:
+    """Batches of neighbouring slices up to the limits, from the number and bytes of each one's files."""
+    group: list = []
+    for own in slices:
+        held_files = sum(s.files for s in group) + own.files
+        held_bytes = sum(s.bytes for s in group) + own.bytes
         if group and (held_files > limits.files or held_bytes > limits.bytes):
-            yield whole(group)
+            yield _batch(group)
             group = []
-        if month.files > limits.files or month.bytes > limits.bytes:
-            # A quarter more parts than needed, as a hash does not split evenly.
-            share = max(month.files / limits.files, month.bytes / limits.bytes)
-            parts = min(month.files, math.ceil(1.25 * share))
-            for part in range(parts):
-                yield Batch(month.report_date, month.report_date, part, parts)
-        else:
-            group.append(month)
+        group.append(own)
     if group:
-        yield whole(group)
+        yield _batch(group)
+
+
+def _batch(slices: Sequence) -> Batch:
+    first, last = (Slice(s.part, s.by_files, s.by_bytes) for s in (slices[0], slices[-1]))
+    return Batch(first, last)
 
 
 def used_positions(files: DataFrame, mapping: Mapping[str, Sequence[str]]) -> list:
@@ -118,44 +138,104 @@ def batch_payments(spark: SparkSession, files: DataFrame, mapping: Mapping[str,
 
 def plan_files(tables: Tables, mapping: Mapping[str, Sequence[str]], files: DataFrame) -> DataFrame:
     """Files not in the ledger, with identity, layout, sale category and any problem."""
-    known = manifest.one_per_identity(manifest.with_identity(files))
-    waiting = manifest.pending(known, tables.read("file_summary"))
-    resolved = resolve(with_headers(waiting), mapping)
-    return payments.with_sale_category(resolved, tables.read("sales_category_lookup"))
-
-
-def load_batch(tables: Tables, mapping: Mapping[str, Sequence[str]], files: DataFrame, load_id: str) -> str:
-    """Load one batch and commit it; gives the id under which it was committed."""
-    tables.stage("payment", load_id, batch_payments(tables.spark, files, mapping))
-    outcomes_path = f"{tables.base}/runs/{load_id}-outcomes"
-    payments.file_outcomes(tables.staged("payment", load_id)).write.parquet(outcomes_path)
-    outcomes = tables.spark.read.parquet(outcomes_path)
-    errors = rejects.error_rows(rejects.row_problems(outcomes))
-
-    draft = None
-    if not errors.isEmpty():
-        # Some file has a bad row: keep the others' rows, under an id of their own.
-        draft, load_id = load_id, f"{load_id}-clean"
-        tables.stage("error_summary", load_id, errors)
-        tables.stage("payment", load_id, rejects.accepted(tables.staged("payment", draft), errors))
-        files = rejects.accepted(files, errors)
-
-    rows = tables.staged("payment", load_id)
-    tables.stage(
-        "metadata_management",
-        load_id,
-        manifest.header_versions(files, tables.read("metadata_management")),
-    )
-    tables.stage(
-        "song",
-        load_id,
-        songs.song_delta(songs.current(tables.read("song")), songs.candidates(rows, normalised=True)),
+    if "list_problem" not in files.columns:
+        files = files.withColumn("list_problem", F.lit(None).cast("string"))
+    waiting = manifest.pending(manifest.with_identity(files), tables.read("file_summary"))
+    marked = manifest.repeated_identity(waiting)
+    resolved = resolve(with_headers(marked), mapping)
+    twice = F.when(F.col("repeats").isNotNull(), F.concat(F.lit("same deal, vendor and name as "), "repeats"))
+    known = resolved.withColumn("problem", F.coalesce("list_problem", twice, "problem")).drop("list_problem", "repeats")
+    return payments.with_sale_category(known, tables.read("sales_category_lookup"))
+
+
+def stage_songs(tables: Tables, load_id: str, rows: DataFrame) -> None:
+    """Stage the song buckets that a load's payment rows change, with the versions they retire.
+
+    Only buckets of songs in the rows are read, and only those with a new version are written.
+    """
+    bucket = tables.song_bucket()
+    by_file = rows.withColumn("report_date", F.col("Report_Date"))
+    incoming = songs.candidates(by_file, normalised=True, by=songs.FILE_ORDER).withColumn("bucket", bucket)
+    incoming = _kept(tables, f"{load_id}-songs", incoming)
+    named = _buckets(incoming)
+    delta = songs.song_versions(songs.current(tables.songs(named)), incoming.drop("bucket"))
+    delta = _kept(tables, f"{load_id}-versions", delta.withColumn("bucket", bucket))
+    changed = _buckets(delta)
+    if changed:
+        tables.stage_songs(load_id, songs.snapshot(tables.songs(changed), delta), changed)
+
+
+def _kept(tables: Tables, name: str, rows: DataFrame) -> DataFrame:
+    path = f"{tables.base}/runs/{name}"
+    rows.write.mode("overwrite").parquet(path)
+    return tables.spark.read.schema(rows.schema).parquet(path)
+
+
+def _buckets(rows: DataFrame) -> list[int]:
+    """At most as many numbers as the song table has buckets."""
+    return [r.bucket for r in rows.select("bucket").distinct().collect()]
+
+
+def load_batch(tables: Tables, mapping: Mapping[str, Sequence[str]], files: DataFrame, load_id: str) -> str | None:
+    """Load one batch and commit it; gives the id under which it was committed.
+
+    Payment rows are written once. Files with a bad row get an error row, which also keeps their
+    payment rows out of what is read. Where another run commits first, its files are taken out and
+    the batch starts again; nothing is committed where none are left.
+    """
+    for attempt in itertools.count():
+        own_id = load_id if not attempt else f"{load_id}-{attempt}"
+        after = tables.last_commit()
+        waiting = manifest.pending(files, tables.read("file_summary"))
+        if waiting.isEmpty():
+            return None
+        tables.stage("payment", own_id, batch_payments(tables.spark, waiting, mapping))
+        outcomes = _kept(tables, f"{own_id}-outcomes", payments.file_outcomes(tables.staged("payment", own_id)))
+        tables.stage("error_summary", own_id, rejects.error_rows(rejects.row_problems(outcomes)))
+        errors = tables.staged("error_summary", own_id)
+        rows = rejects.accepted(tables.staged("payment", own_id), errors)
+        accepted = rejects.accepted(waiting, errors)
+        registry = tables.read("metadata_management")
+        tables.stage("metadata_management", own_id, manifest.header_versions(accepted, registry))
+        stage_songs(tables, own_id, rows)
+        totals = payments.ledger_totals(outcomes)
+        tables.stage("file_summary", own_id, payments.ledger_rows(accepted, totals))
+        if tables.commit(own_id, after):
+            return own_id
+
+
+def _is_read_failure(error: PySparkException) -> bool:
+    return any(name in str(error) for name in _READ_FAILURES)
+
+
+def load_apart(tables: Tables, mapping: Mapping[str, Sequence[str]], files: DataFrame, load_id: str) -> list[str]:
+    """Load a batch; files that can't be read any more get an error row and the others load."""
+    try:
+        done = load_batch(tables, mapping, files, load_id)
+        return [done] if done else []
+    except PySparkException as error:
+        if not _is_read_failure(error):
+            raise
+        reason = f"unreadable file: {error.getCondition() or type(error).__name__}"
+
+    def record(bad: DataFrame, name: str) -> str:
+        tables.append("error_summary", name, rejects.error_rows(bad))
+        return name
+
+    probed = with_headers(files.select("file_path")).where("header_problem is not null")
+    gone = _kept(tables, f"{load_id}-gone", probed.select("file_path", F.col("header_problem").alias("reason")))
+    if not gone.isEmpty():
+        done = [record(gone, f"{load_id}-gone")]
+        left = rejects.accepted(files, gone)
+        return done if left.isEmpty() else done + load_apart(tables, mapping, left, f"{load_id}-rest")
+    order = [tuple(r) for r in files.select(*songs.FILE_ORDER).orderBy(*songs.FILE_ORDER).collect()]
+    if len(order) == 1:
+        return [record(files.select("file_path", F.lit(reason).alias("reason")), f"{load_id}-unread")]
+    middle = F.struct(*[F.lit(v).alias(n) for n, v in zip(songs.FILE_ORDER, order[len(order) // 2], strict=True)])
+    at = F.struct(*songs.FILE_ORDER)
+    return load_apart(tables, mapping, files.where(at < middle), f"{load_id}-a") + load_apart(
+        tables, mapping, files.where(at >= middle), f"{load_id}-b"
     )
-    tables.stage("file_summary", load_id, payments.ledger_rows(files, payments.ledger_totals(outcomes)))
-    tables.commit(load_id)
-    if draft:
-        tables.clear("payment", draft)
-    return load_id
 
 
 def load_files(
@@ -166,9 +246,7 @@ def load_files(
 ) -> Run:
     """Load listed files (`path`, `file_path`, `bytes`) that are not loaded yet."""
     run_id = uuid.uuid4().hex
-    plan_path = f"{tables.base}/runs/{run_id}"
-    plan_files(tables, mapping, files).write.parquet(plan_path)
-    planned = tables.spark.read.parquet(plan_path)
+    planned = _kept(tables, run_id, plan_files(tables, mapping, files))
 
     loads = []
     ruled_out = rejects.file_problems(planned)
@@ -177,16 +255,15 @@ def load_files(
         tables.append("error_summary", loads[0], rejects.error_rows(ruled_out))
 
     loadable = rejects.loadable(planned)
-    months = (
-        loadable.groupBy("report_date")
+    sliced = _kept(tables, f"{run_id}-slices", in_slices(loadable, limits, loadable.count()))
+    slices = (
+        sliced.groupBy(*Slice._fields)
         .agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
-        .orderBy("report_date")
+        .orderBy(*Slice._fields)
         .collect()
     )
-    for number, batch in enumerate(plan_batches(months, limits)):
-        batch_files = batch.of(loadable)
-        if not batch_files.isEmpty():
-            loads.append(load_batch(tables, mapping, batch_files, f"{run_id}-{number:06d}"))
+    for number, batch in enumerate(plan_batches(slices, limits)):
+        loads += load_apart(tables, mapping, batch.of(sliced), f"{run_id}-{number:06d}")
     return Run(run_id, loads)
 
 

@@ -82,6 +82,11 @@ SONG = T.StructType(
     ]
 )
 
+# Which song buckets a load has written anew, and the number of buckets.
+SONG_BUCKETS = T.StructType(
+    [T.StructField("bucket", T.IntegerType()), T.StructField("buckets", T.IntegerType())]
+)
+
 METADATA_MANAGEMENT = T.StructType(
     _strings(["deal_name", "vendor_name"])
     + [

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import codecs
 import csv
+import fnmatch
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator, Sequence
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -17,28 +20,92 @@ _LINE_END = re.compile(rb"[\r\n]")
 _CHUNK = 64 * 1024
 csv.field_size_limit(1 << 30)
 
-# A listing reads no content, so its tasks need not follow the sizes of the files.
-_LISTING_TASKS = "512"
+_LISTING = "path string, bytes long, file_path string, list_problem string"
+_LISTED = pa.schema(
+    [("path", pa.string()), ("bytes", pa.int64()), ("file_path", pa.string()), ("list_problem", pa.string())]
+)
+_URI_KEEPS = re.compile(r"[^A-Za-z0-9_.!~'()*,;:$&+=@/-]")
+
+
+def reported_path(path: str) -> str:
+    """A file's path as `_metadata` reports it for its rows: an escaped URI. Letters of other
+    scripts stay, other characters that a URI may not have are escaped."""
+
+    def escaped(found: re.Match) -> str:
+        c = found[0]
+        plain = ord(c) >= 128 and unicodedata.category(c) not in ("Cc", "Zs", "Zl", "Zp")
+        return c if plain else quote(c, safe="")
+
+    scheme, _, rest = path.partition(":")
+    return f"{scheme}:{_URI_KEEPS.sub(escaped, rest)}"
 
 
 def list_files(spark: SparkSession, *roots: str, folders: str = "*/*") -> DataFrame:
     """Every `.csv` file in the `<deal>/<vendor>` folders of the roots, as rows.
 
     `folders=""` lists one vendor folder itself. The suffix is case-sensitive and files
-    further down are not taken. Folders are listed by Spark in parallel; the content
-    column is pruned, so no file is opened.
+    further down are not taken. Folders are rows: each level is listed by tasks, which see every
+    name, and no file is opened. Files that Spark's readers pass over (names that begin with
+    `_` or `.`) and folders that can't be listed are there too, with a `list_problem`.
 
     Two columns name a file: `path` is what a reader takes, `file_path` is what
     `_metadata` reports for its rows (percent-encoded), the key rows are joined by.
     """
-    lister = spark.newSession()
-    lister.conf.set("spark.sql.files.maxPartitionNum", _LISTING_TASKS)
-    return (
-        lister.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .load([f"{root.rstrip('/')}/{folders}".rstrip("/") for root in roots])
-        .select("path", F.col("length").alias("bytes"), "_metadata.file_path")
-    )
+    starts = [(_qualified(spark, root), None, None, None) for root in roots]
+    found = spark.createDataFrame(starts, _LISTING)
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for level in [part for part in folders.split("/") if part]:
+        found = found.mapInArrow(_lister(level, True), _LISTING).repartition(tasks)
+    return found.mapInArrow(_lister("*.csv", False), _LISTING)
+
+
+def _qualified(spark: SparkSession, root: str) -> str:
+    """A root with its scheme, which a bare path takes from the session's default."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root.rstrip("/") or "/")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def _lister(pattern: str, want_folders: bool):
+    """Children of each folder row whose names fit the pattern; rows with a problem pass."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stores = _Stores()
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["list_problem"]:
+                    yield pa.RecordBatch.from_pylist([row], schema=_LISTED)
+                    continue
+                folder, out = row["path"].rstrip("/"), []
+                try:
+                    store, place = stores.of(reported_path(folder))
+                    children = store.get_file_info(pafs.FileSelector(place))
+                except (OSError, pa.ArrowException) as error:
+                    out.append(
+                        {
+                            "path": folder,
+                            "file_path": reported_path(folder),
+                            "list_problem": f"unreadable folder: {type(error).__name__}",
+                        }
+                    )
+                    children = []
+                for child in children:
+                    name = child.base_name
+                    is_folder = child.type == pafs.FileType.Directory
+                    if is_folder == want_folders and fnmatch.fnmatchcase(name, pattern):
+                        path = f"{folder}/{name}"
+                        hidden = not is_folder and name[0] in "_."
+                        out.append(
+                            {
+                                "path": path,
+                                "bytes": None if is_folder else child.size,
+                                "file_path": reported_path(path),
+                                "list_problem": "file name begins with _ or ." if hidden else None,
+                            }
+                        )
+                if out:
+                    yield pa.RecordBatch.from_pylist(out, schema=_LISTED)
+
+    return run
 
 
 def header_of(stream) -> list[str] | None:
@@ -58,30 +125,36 @@ def header_of(stream) -> list[str] | None:
         pending = lines[-1]
 
 
-def _file_systems():
-    """Open `file_path` URIs, keeping one client per store within a task."""
-    clients: dict[str, pafs.FileSystem] = {}
+class _Stores:
+    """One client a store within a task."""
+
+    def __init__(self):
+        self.clients: dict[str, pafs.FileSystem] = {}
 
-    def open_uri(uri: str):
+    def of(self, uri: str) -> tuple[pafs.FileSystem, str]:
+        """The client for a URI, and the place in its store."""
         uri = re.sub(r"^s3[an]://", "s3://", uri)
         uri = re.sub(r"^file:/(?!//)", "file:///", uri)
-        store = "/".join(uri.split("/", 3)[:3])
-        client, path = pafs.FileSystem.from_uri(uri)
-        return clients.setdefault(store, client).open_input_stream(path, buffer_size=_CHUNK)
-
-    return open_uri
+        scheme, _, rest = uri.partition("://")
+        store, _, place = rest.partition("/")
+        if (scheme, store) not in self.clients:
+            self.clients[scheme, store] = pafs.FileSystem.from_uri(f"{scheme}://{store}/")[0]
+        place = unquote(place)
+        # object stores name their bucket in the place, the others begin at the root
+        return self.clients[scheme, store], f"{store}/{place}" if scheme in ("s3", "gs", "gcs", "abfs", "abfss") else f"/{place}"
 
 
 def _probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    open_uri = _file_systems()
+    stores = _Stores()
     for batch in batches:
         headers, problems = [], []
         for uri in batch.column("file_path").to_pylist():
             header, problem = None, None
             try:
-                with open_uri(uri) as stream:
+                store, place = stores.of(uri)
+                with store.open_input_stream(place, buffer_size=_CHUNK) as stream:
                     header = header_of(stream)
-            except (OSError, csv.Error) as error:
+            except (OSError, csv.Error, pa.ArrowException) as error:
                 problem = f"unreadable file: {type(error).__name__}"
             headers.append(header)
             problems.append(problem)

@@ -1,13 +1,22 @@
 """Destination tables as Parquet, written per load and visible once committed.
 
-A load writes its own `load_id=<id>` folder in each table and is committed last, by one
-row in `commits`. A load that dies part-way is therefore never seen: its files are still
-pending and the next run loads them under a new id, without duplicates.
+A load writes its own `load_id=<id>` folder in each table. It is committed last, by a numbered file
+in `commits` that holds its id and is only created where that number is not taken. A load that
+dies part-way is therefore never seen: its files are still pending and the next run loads them
+under a new id, without duplicates. Of two runs at once, one gets the number; the other sees that
+it worked from an older state and has to start its load again.
+
+Songs are kept in buckets of their key. A load writes whole buckets anew, those in which
+something changed, with the versions it retired; a reader takes the last commit of each bucket.
+Payment rows of files that the same load rejected stay in storage and are left out on reading.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,22 +25,29 @@ from tallyroll import schemas
 SCHEMAS = {
     "payment": schemas.PAYMENT,
     "song": schemas.SONG,
+    "song_buckets": schemas.SONG_BUCKETS,
     "metadata_management": schemas.METADATA_MANAGEMENT,
     "file_summary": schemas.FILE_SUMMARY,
     "error_summary": schemas.ERROR_SUMMARY,
     "sales_category_lookup": schemas.SALES_CATEGORY_LOOKUP,
-    "commits": T.StructType([T.StructField("committed_at", T.TimestampType())]),
 }
-PARTITIONS = {"payment": ["Report_Date"]}
+PARTITIONS = {"payment": ["Report_Date"], "song": ["bucket"]}
 _LOAD = T.StructField("load_id", T.StringType())
+_BUCKET = T.StructField("bucket", T.IntegerType())
 
 
 class Tables:
-    """The tables under one base path of shared storage."""
+    """The tables under one base path of shared storage.
+
+    `song_buckets` is the number of buckets of a new song table; an existing one keeps its own.
+    The driver lists that many rows, so choose it by the table's size (a bucket is rewritten when one
+    of its songs changes), not by the number of songs.
+    """
 
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, song_buckets: int = 256):
         self.spark = spark
         self.base = base.rstrip("/")
+        self._song_buckets = song_buckets
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -39,12 +55,25 @@ class Tables:
     def create(self) -> Tables:
         """Make the tables that are not there yet; existing ones are left alone."""
         for name, schema in SCHEMAS.items():
-            empty = self.spark.createDataFrame([], T.StructType([*schema.fields, _LOAD]))
+            more = [_LOAD, *([_BUCKET] if name == "song" else [])]
+            empty = self.spark.createDataFrame([], T.StructType([*schema.fields, *more]))
             empty.write.mode("ignore").partitionBy("load_id", *PARTITIONS.get(name, [])).parquet(
                 self.path(name)
             )
+        folder = self._java_path(self.path("commits"))
+        self._file_system(folder).mkdirs(folder)
         return self
 
+    # --- storage -----------------------------------------------------------------------
+
+    def _java_path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _file_system(self, path):
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    # --- loads -------------------------------------------------------------------------
+
     def stage(self, name: str, load_id: str, rows: DataFrame) -> None:
         """Write a load's rows of one table; writing the same load again replaces them."""
         rows.select(
@@ -57,24 +86,86 @@ class Tables:
         """What a load has written to one table, committed or not."""
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path(name)}/load_id={load_id}")
 
-    def clear(self, name: str, load_id: str) -> None:
-        """Empty a load's folder, such as a draft that a cleaned load replaces."""
-        self.stage(name, load_id, self.spark.createDataFrame([], SCHEMAS[name]))
-
-    def commit(self, load_id: str) -> None:
-        self.stage(
-            "commits", load_id, self.spark.range(1, numPartitions=1).select(F.now().alias("committed_at"))
+    def last_commit(self) -> int:
+        """The number of the last commit, 0 before the first."""
+        folder = self._java_path(self.path("commits"))
+        names = [s.getPath().getName() for s in self._file_system(folder).listStatus(folder)]
+        return max((int(n) for n in names if n.isdigit()), default=0)
+
+    def commit(self, load_id: str, after: int | None = None) -> bool:
+        """Make a load visible. Given the commit it worked from, only as the very next one: false
+        where another has come between, and the load stays unseen."""
+        while True:
+            number = (self.last_commit() if after is None else after) + 1
+            path = self._java_path(f"{self.path('commits')}/{number:012d}")
+            try:
+                out = self._file_system(path).create(path, False)
+            except Py4JJavaError as error:
+                if "FileAlreadyExists" not in str(error.java_exception.getClass()):
+                    raise
+                if after is not None:
+                    return False
+                continue
+            out.write(bytearray(load_id.encode()))
+            out.close()
+            return True
+
+    def commits(self) -> DataFrame:
+        """Committed loads and their numbers."""
+        files = self.spark.read.text(self.path("commits"), wholetext=True)
+        return files.select(
+            F.col("value").alias("load_id"), F.col("_metadata.file_name").cast("long").alias("number")
         )
 
     def read(self, name: str) -> DataFrame:
         """Rows of committed loads, with their `load_id`."""
+        if name == "song":
+            return self.songs()
         schema = T.StructType([*SCHEMAS[name].fields, _LOAD])
         rows = self.spark.read.schema(schema).parquet(self.path(name))
-        if name == "commits":
-            return rows
-        return rows.join(self.read("commits").select("load_id"), "load_id", "left_semi")
+        rows = rows.join(self.commits().select("load_id"), "load_id", "left_semi")
+        if name == "payment":
+            rejected = self.read("error_summary").select("load_id", "file_path")
+            rows = rows.join(rejected, ["load_id", "file_path"], "left_anti")
+        return rows
 
     def append(self, name: str, load_id: str, rows: DataFrame) -> None:
         """A load of one table on its own, such as new lookup rows."""
         self.stage(name, load_id, rows)
         self.commit(load_id)
+
+    # --- songs -------------------------------------------------------------------------
+
+    def _last_buckets(self) -> list:
+        """For each bucket that holds songs, the last load that wrote it: one row a bucket."""
+        written = self.read("song_buckets").join(self.commits(), "load_id")
+        return (
+            written.groupBy("bucket").agg(F.max_by("load_id", "number").alias("load_id"), F.max("buckets").alias("buckets"))
+        ).collect()
+
+    def song_bucket(self) -> Column:
+        """The bucket of a song, by its key."""
+        for row in self._last_buckets()[:1]:
+            self._song_buckets = row.buckets
+        return F.pmod(F.xxhash64(*schemas.SONG_KEY), F.lit(self._song_buckets)).cast("int")
+
+    def songs(self, buckets: Sequence[int] | None = None) -> DataFrame:
+        """All versions as of the last commit, or those of some buckets; other folders are not read."""
+        schema = T.StructType([*schemas.SONG.fields, _LOAD, _BUCKET])
+        paths = [
+            f"{self.path('song')}/load_id={r.load_id}/bucket={r.bucket}"
+            for r in self._last_buckets()
+            if buckets is None or r.bucket in buckets
+        ]
+        if not paths:
+            return self.spark.createDataFrame([], schema).drop("bucket")
+        return self.spark.read.schema(schema).option("basePath", self.path("song")).parquet(*paths).drop("bucket")
+
+    def stage_songs(self, load_id: str, rows: DataFrame, buckets: Sequence[int]) -> None:
+        """Write all versions of the given buckets anew."""
+        number = self.song_bucket()
+        rows.select(*schemas.SONG.fieldNames(), number.alias("bucket")).repartition("bucket").write.mode(
+            "overwrite"
+        ).partitionBy("bucket").parquet(f"{self.path('song')}/load_id={load_id}")
+        touched = self.spark.createDataFrame([(b, self._song_buckets) for b in buckets], schemas.SONG_BUCKETS)
+        self.stage("song_buckets", load_id, touched.coalesce(1))

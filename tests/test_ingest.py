@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import Row
 
-from tallyroll.plans.ingest import Batch, Limits, ingest, plan_batches
+from tallyroll.plans.ingest import Batch, Limits, Slice, ingest, plan_batches
 from tallyroll.schemas import PAYMENT_COLUMNS
 
 PLAIN = "Artist,Track,Album,ISRC,Play_Date,Quantity,Net_Payment,Territory"
@@ -190,16 +190,30 @@ def test_small_batches_give_the_same_tables(spark, mapping, write, tmp_path, son
     assert len(seen[0][2]) == 2
 
 
-def test_plan_batches_covers_every_date_within_limits():
-    months = [Row(report_date=d, files=f, bytes=b) for d, f, b in
-              [(1, 3, 10), (2, 4, 10), (3, 4, 10), (4, 25, 10), (5, 1, 500), (6, 1, 1), (7, 2, 150)]]
-    batches = list(plan_batches(months, Limits(files=10, bytes=100)))
-    assert batches == [
-        Batch(1, 2, 0, 1), Batch(3, 3, 0, 1), *[Batch(4, 4, i, 4) for i in range(4)],
-        Batch(5, 5, 0, 1), Batch(6, 6, 0, 1), Batch(7, 7, 0, 2), Batch(7, 7, 1, 2),
+def test_batches_are_neighbouring_slices_within_limits():
+    sizes = [(0, 0, 0, 3, 10), (0, 1, 0, 4, 10), (1, 0, 0, 4, 10), (1, 0, 1, 10, 10), (2, 0, 0, 1, 500), (3, 0, 0, 1, 1)]
+    slices = [Row(part=p, by_files=f, by_bytes=b, files=n, bytes=s) for p, f, b, n, s in sizes]
+    at = [Slice(*s[:3]) for s in sizes]
+    assert list(plan_batches(slices, Limits(files=10, bytes=100))) == [
+        Batch(at[0], at[1]), Batch(at[2], at[2]), Batch(at[3], at[3]), Batch(at[4], at[4]), Batch(at[5], at[5])
     ]
 
 
+@pytest.mark.parametrize("limits", [Limits(files=1), Limits(files=3), Limits(bytes=150), Limits()])
+def test_slices_keep_the_order_of_files(spark, limits):
+    from tallyroll.plans.ingest import in_slices
+
+    days = [dt.date(2016, 1 + i % 3, 1) for i in range(20)]
+    files = spark.createDataFrame([(d, f"file:///p{i:02d}", 50) for i, d in enumerate(days)], "report_date date, file_path string, bytes long")
+    rows = in_slices(files, limits, 20).collect()
+    key = lambda r: (r.part, r.by_files, r.by_bytes)
+    order = sorted(rows, key=lambda r: (r.report_date, r.file_path))
+    assert [key(r) for r in order] == sorted(map(key, rows)) and len(rows) == 20
+    for own in {key(r) for r in rows}:
+        some = [r for r in rows if key(r) == own]
+        assert len(some) <= limits.files and sum(r.bytes for r in some) < limits.bytes + 50
+
+
 def test_uncommitted_load_is_invisible_and_repeated(spark, tables, mapping, write, monkeypatch):
     root = write("D/V1/x_Apr_2016.csv", PLAIN, "a,t,al,IS1,,1,2,")
 
