@@ -158,6 +158,28 @@ _DELTA = f"""
   SELECT {_version('new_date')}, {_FINAL}, {_iso('new_date')} AS Release_Date, 'Y' AS is_latest
   FROM both_sides WHERE new_date IS NOT NULL"""
 
+# The odd orders' files upon the even orders' songs: each takes effect after those before it.
+_HISTORY = f"""{_SIDES},
+by_file AS (
+  SELECT ISRC, {_title('Artist')} AS Artist, {_title('Track')} AS Track, {_title('Album')} AS Album,
+    report_date, path, min(d) AS d
+  FROM (
+    SELECT {_key('ISRC')} AS ISRC, Artist, Track, Album, report_date,
+      deal_name || '/' || vendor_name || '/' || file_name AS path,
+      min(coalesce({_play("nullif(Play_Date, '')")}, report_date)) AS d
+    FROM lines WHERE order_key % 2 = 1 GROUP BY ALL)
+  GROUP BY ALL),
+in_turn AS (
+  SELECT by_file.*, least(h.Release_Date, min(d) OVER (PARTITION BY by_file.ISRC, by_file.Artist,
+      by_file.Track, by_file.Album ORDER BY report_date, path
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS before
+  FROM by_file LEFT JOIN held h ON h.ISRC = by_file.ISRC AND h.Artist = by_file.Artist
+    AND h.Track = by_file.Track AND h.Album = by_file.Album),
+history AS (
+  SELECT {_FINAL}, d, before,
+    CASE WHEN d = min(d) OVER (PARTITION BY {_FINAL}) THEN 'Y' ELSE 'N' END AS is_latest
+  FROM in_turn WHERE before IS NULL OR d < before)"""
+
 _PLANNED = f"""
 planned AS (
   SELECT DISTINCT deal_name, vendor_name, file_name, vendor_key % 3 AS k FROM lines
@@ -282,6 +304,13 @@ SELECT {_version('held_date')}, {_FINAL}, {_iso('held_date')} AS Release_Date,
   CASE WHEN new_date < held_date THEN 'N' ELSE 'Y' END AS is_latest
 FROM both_sides WHERE held_date IS NOT NULL
 UNION ALL {_DELTA} AND (held_date IS NULL OR new_date < held_date)""",
+    "song_history": f"""{_HISTORY}
+SELECT {_version('d')}, {_FINAL}, {_iso('d')} AS Release_Date, is_latest,
+  CASE WHEN before IS NOT NULL THEN {_version('before').removesuffix(' AS id')} END AS replaces_id FROM history""",
+    "song_history_after": f"""{_HISTORY}
+SELECT {_version('Release_Date')}, {_FINAL}, {_iso('Release_Date')} AS Release_Date,
+  CASE WHEN ({_FINAL}) IN (SELECT ({_FINAL}) FROM history) THEN 'N' ELSE 'Y' END AS is_latest FROM held
+UNION ALL SELECT {_version('d')}, {_FINAL}, {_iso('d')}, is_latest FROM history""",
     "song_current_after": f"""{_SIDES}
 SELECT {_FINAL}, {_iso('least(held_date, new_date)')} AS Release_Date FROM both_sides""",
     "isrc_backfills": f"""WITH {_LINES}, {_SONG_ROWS},

@@ -468,6 +468,34 @@ def _delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return songs.song_delta(songs.current(_stored(spark, sf_dir)), _incoming(spark, sf_dir))
 
 
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions that the odd orders' files make one after another, upon those of the even orders."""
+    lines = statement_lines(spark, sf_dir, "order_key", *SONG_KEY, "Play_Date", "report_date", *FILE_KEY)
+    odd = lines.where("order_key % 2 = 1")
+    raw = F.when(blank(F.col("Play_Date")), F.col("report_date").cast("string")).otherwise(F.col("Play_Date"))
+    dated = odd.withColumn("play_text", raw).select(
+        *SONG_KEY,
+        any_date(F.col("play_text")).alias("song_date"),
+        "report_date",
+        F.concat_ws("/", *FILE_KEY).alias("file_path"),
+    )
+    by_file = songs.candidates(dated, by=songs.FILE_ORDER)
+    return songs.song_versions(songs.current(_stored(spark, sf_dir)), by_file)
+
+
+@query
+def song_history(spark, sf_dir):
+    """A running minimum per song over the files, in order of report date and path."""
+    return _texts(_history(spark, sf_dir), "Release_Date")
+
+
+@query
+def song_history_after(spark, sf_dir):
+    """All stored versions after those files, with the superseded ones retired."""
+    after = songs.snapshot(_stored(spark, sf_dir), _history(spark, sf_dir))
+    return _texts(after.drop("replaces_id"), "Release_Date")
+
+
 @query
 def song_candidates_play(spark, sf_dir):
     return _texts(songs.candidates(_song_rows(spark, sf_dir)), "Release_Date")
