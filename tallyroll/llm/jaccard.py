@@ -196,10 +196,10 @@ def jaccard_components(
     id_col: str = "doc_id",
     text_col: str = "text",
     block: int = 2_000_000,
-    passes: int = 1,
+    passes: int = 2,
 ) -> DataFrame:
     """(id, n_shingles, component_id): components of "Jaccard >= num/den" over all documents.
-    Shingles are counted in `passes` shares of their hashes, to use less disk at a time."""
+    Shingles are joined back to their sets in `passes` shares, to use less disk at a time."""
     id_type = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
@@ -295,11 +295,11 @@ def _first_shingles(own: DataFrame, k: int, num: int, den: int, passes: int) ->
     Counts combine before the shuffle, so a shingle of very many documents costs one row a task;
     the join back shuffles sets' shingles on the shingle, where Spark splits a skewed one."""
 
-    def shingles(share: int, with_set: bool):
+    def shingles(share: int, shares: int, with_set: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for some in _chunks(batches):
                 h, begin = shingle_sets(some.column("text"), k)
-                chosen = h % np.uint64(passes) == share if passes > 1 else slice(None)
+                chosen = h % np.uint64(shares) == share if shares > 1 else slice(None)
                 made = {"h": pa.array(h[chosen].view(np.int64))}
                 if with_set:
                     n = np.diff(begin)
@@ -310,11 +310,11 @@ def _first_shingles(own: DataFrame, k: int, num: int, den: int, passes: int) ->
 
         return own.select("text").mapInArrow(run, "h long, k1 long, n int" if with_set else "h long")
 
+    counts = shingles(0, 1, False).groupBy("h").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1")
+    counts = stored(counts, "jaccard-counts")
     several = None
     for share in range(passes):
-        counts = shingles(share, False).groupBy("h").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1")
-        counts = stored(counts, "jaccard-counts")
-        back = shingles(share, True).join(counts.hint("shuffle_hash"), "h").distinct()
+        back = shingles(share, passes, True).join(counts.hint("shuffle_hash"), "h").distinct()
         back = stored(back.select("k1", "n", "docs", "h"), "jaccard-several")
         several = back if several is None else several.union(back)
     sets = several.groupBy("k1", "n").agg(F.sort_array(F.collect_list(F.struct("docs", "h"))).alias("several"))
@@ -332,7 +332,7 @@ def _signatures(num: int, den: int) -> Column:
     below: sizes of linked sets are in one class or in neighbours."""
     borders = ", ".join(f"{b}L" for b in size_classes(num, den, 1 << 31))
     # the class is worked out once, as the element of an array
-    both = f"c -> flatten(transform(first, h -> array(xxhash64(h, c), xxhash64(h, c - 1))))"
+    both = "c -> flatten(transform(first, h -> array(xxhash64(h, c), xxhash64(h, c - 1))))"
     return F.expr(f"flatten(transform(array(size(filter(array({borders}), b -> b <= n))), {both}))")
 
 
