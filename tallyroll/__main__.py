@@ -19,15 +19,19 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("roots", nargs="+", help="folders holding <deal>/<vendor>/<file>.csv")
     parser.add_argument("--mapping", required=True, help="JSON file {target: [alias, ...]}")
     parser.add_argument("--tables", required=True, help="base path of the destination tables")
+    parser.add_argument("--payment-columns", nargs="+", help="columns that the payment table is to have from now on")
     parser.add_argument("--one-folder", action="store_true", help="a root is one vendor's folder")
     parser.add_argument("--max-files", type=int, default=Limits().files)
     parser.add_argument("--max-bytes", type=int, default=Limits().bytes)
     args = parser.parse_args(argv)
 
     spark = build_session()
+    tables = Tables(spark, args.tables).create()
+    if args.payment_columns and tuple(args.payment_columns) != tables.destination().columns:
+        tables.set_payment_columns(args.payment_columns)
     run = ingest(
         spark,
-        Tables(spark, args.tables).create(),
+        tables,
         load_mapping(spark, args.mapping),
         *args.roots,
         folders="" if args.one_folder else "*/*",

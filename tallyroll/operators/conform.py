@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from tallyroll.functions import amount_text, ascii_clean, blank, combined_amount, plain_number
 from tallyroll.operators.layout import (
-    FILE_COLUMNS,
     aliases_of,
     layout_columns,
     parts_name,
     position_name,
     summed_columns,
 )
+from tallyroll.schemas import PAYMENT, Destination
 from tallyroll.sources.mapping import header_key
 
 # About a kilobyte each, so at most some twenty megabytes.
@@ -31,13 +31,13 @@ def _part_columns(target: str, size: int) -> list[str]:
     return [f"part{i}_{target}" for i in range(size)]
 
 
-def _cleaned_cells(rows: DataFrame, sums: Mapping[str, int]) -> DataFrame:
+def _cleaned_cells(rows: DataFrame, sums: Mapping[str, int], to: Destination) -> DataFrame:
     """Add `text_<column>` for every column and `part<i>_<column>` for sums, all cleaned.
 
     In two steps, so that a cell is taken out and cleaned once however often it is used.
     """
     cells = F.col("cells")
-    raw = {f"text_{t}": F.get(cells, F.col(position_name(t))) for t in FILE_COLUMNS}
+    raw = {f"text_{t}": F.get(cells, F.col(position_name(t))) for t in to.file_columns}
     for t, size in sums.items():
         for i, name in enumerate(_part_columns(t, size)):
             raw[name] = F.get(cells, F.get(F.col(parts_name(t)), F.lit(i)))
@@ -51,12 +51,12 @@ def _sum_of_parts(target: str, size: int) -> Column:
     return F.when(F.col(parts_name(target)).isNotNull(), total)
 
 
-def _part_of_sum(target: str, mapping: Mapping[str, Sequence[str]]) -> list[str]:
+def _part_of_sum(target: str, mapping: Mapping[str, Sequence[str]], to: Destination) -> list[str]:
     """Summed columns that use the column `target` as a part."""
     name = header_key(target)
     return [
         t
-        for t, aliases in aliases_of(mapping).items()
+        for t, aliases in aliases_of(mapping, to).items()
         if any(a.is_sum and name in a.parts for a in aliases)
     ]
 
@@ -68,16 +68,18 @@ def _broadcast_if_few(facts: DataFrame) -> DataFrame:
     return F.broadcast(facts) if few else facts
 
 
-def conform(rows: DataFrame, layouts: DataFrame, mapping: Mapping[str, Sequence[str]]) -> DataFrame:
+def conform(
+    rows: DataFrame, layouts: DataFrame, mapping: Mapping[str, Sequence[str]], to: Destination = PAYMENT
+) -> DataFrame:
     """Rows (`cells`, `file_path`) as destination columns plus their file's facts.
 
     Every column a file can supply is there, as cleaned text, null where the file lacks
     it; only `Source` is then the vendor. `bad_amount` names a summed column with a part that is not a number.
     """
-    sums = summed_columns(mapping)
-    facts = layouts.select(*FILE_FACTS, *layout_columns(mapping))
+    sums = summed_columns(mapping, to)
+    facts = layouts.select(*FILE_FACTS, *layout_columns(mapping, to))
     joined = rows.join(_broadcast_if_few(facts), "file_path")
-    cleaned = _cleaned_cells(joined, sums)
+    cleaned = _cleaned_cells(joined, sums, to)
     if sums:
         cleaned = cleaned.withColumns({f"sum_{t}": _sum_of_parts(t, n) for t, n in sums.items()})
 
@@ -87,7 +89,7 @@ def conform(rows: DataFrame, layouts: DataFrame, mapping: Mapping[str, Sequence[
     def value(target: str) -> Column:
         text = F.col(f"text_{target}")
         value = F.when(text != "", text)
-        users = [t for t in _part_of_sum(target, mapping) if t != target]
+        users = [t for t in _part_of_sum(target, mapping, to) if t != target]
         if users:
             # A column that was summed stays as the plain number that went into the sum.
             at = F.col(position_name(target))
@@ -106,4 +108,4 @@ def conform(rows: DataFrame, layouts: DataFrame, mapping: Mapping[str, Sequence[
     bad = F.lit(None).cast("string")
     for t in reversed(list(sums)):
         bad = F.when(by_sum(t) & F.col(f"sum_{t}").isNull(), F.lit(t)).otherwise(bad)
-    return cleaned.select(*FILE_FACTS, *[value(t) for t in FILE_COLUMNS], bad.alias("bad_amount"))
+    return cleaned.select(*FILE_FACTS, *[value(t) for t in to.file_columns], bad.alias("bad_amount"))

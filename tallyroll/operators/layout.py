@@ -11,12 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.operators.manifest import header_names, header_signature
-from tallyroll.schemas import ENGINE_COLUMNS, PAYMENT_COLUMNS, TYPE_COLUMN
+from tallyroll.schemas import PAYMENT, Destination
 from tallyroll.sources.mapping import Alias, check_mapping, header_key
 
-# Columns a file can supply.
-FILE_COLUMNS = [c for c in PAYMENT_COLUMNS if c not in ENGINE_COLUMNS] + [TYPE_COLUMN]
-
 
 def position_name(target: str) -> str:
     return f"at_{target}"
@@ -26,32 +23,32 @@ def parts_name(target: str) -> str:
     return f"parts_{target}"
 
 
-def aliases_of(mapping: Mapping[str, Sequence[str]]) -> dict[str, list[Alias]]:
+def aliases_of(mapping: Mapping[str, Sequence[str]], to: Destination = PAYMENT) -> dict[str, list[Alias]]:
     """Aliases of each column a file can supply, the column's own name first.
 
     A target that is no such column is an error: its values would be lost without a trace.
     """
     parsed = {header_key(t): aliases for t, aliases in check_mapping(mapping).items()}
-    unknown = parsed.keys() - {header_key(t) for t in FILE_COLUMNS}
+    unknown = parsed.keys() - {header_key(t) for t in to.file_columns}
     if unknown:
         raise ValueError(f"mapping for columns that the destination lacks: {', '.join(sorted(unknown))}")
     return {
-        t: [Alias((header_key(t),), False), *parsed.get(header_key(t), [])] for t in FILE_COLUMNS
+        t: [Alias((header_key(t),), False), *parsed.get(header_key(t), [])] for t in to.file_columns
     }
 
 
-def summed_columns(mapping: Mapping[str, Sequence[str]]) -> dict[str, int]:
+def summed_columns(mapping: Mapping[str, Sequence[str]], to: Destination = PAYMENT) -> dict[str, int]:
     """Columns that some alias fills by a sum, with the largest number of parts."""
     sizes = {
         t: max((len(a.parts) for a in aliases if a.is_sum), default=0)
-        for t, aliases in aliases_of(mapping).items()
+        for t, aliases in aliases_of(mapping, to).items()
     }
     return {t: n for t, n in sizes.items() if n}
 
 
-def layout_columns(mapping: Mapping[str, Sequence[str]]) -> list[str]:
+def layout_columns(mapping: Mapping[str, Sequence[str]], to: Destination = PAYMENT) -> list[str]:
     """Columns that `resolve` adds and `conform` reads."""
-    return [position_name(t) for t in FILE_COLUMNS] + [parts_name(t) for t in summed_columns(mapping)]
+    return [position_name(t) for t in to.file_columns] + [parts_name(t) for t in summed_columns(mapping, to)]
 
 
 def _position(names: Column, name: str) -> Column:
@@ -59,7 +56,7 @@ def _position(names: Column, name: str) -> Column:
     return (F.array_position(names, F.lit(name)) - 1).cast("int")
 
 
-def resolve(files: DataFrame, mapping: Mapping[str, Sequence[str]]) -> DataFrame:
+def resolve(files: DataFrame, mapping: Mapping[str, Sequence[str]], to: Destination = PAYMENT) -> DataFrame:
     """Add signature and layout to files with a `header`.
 
     For each column the first alias found in the header wins. `at_<column>` is its
@@ -67,10 +64,10 @@ def resolve(files: DataFrame, mapping: Mapping[str, Sequence[str]]) -> DataFrame
     """
     named = files.withColumn("_names", header_names(F.col("header")))
     names = F.col("_names")
-    sums = summed_columns(mapping)
+    sums = summed_columns(mapping, to)
 
     layout = {}
-    for target, aliases in aliases_of(mapping).items():
+    for target, aliases in aliases_of(mapping, to).items():
         at, parts = F.when(F.lit(False), F.lit(None).cast("int")), None
         if target in sums:
             parts = F.when(F.lit(False), F.lit(None).cast("array<int>"))

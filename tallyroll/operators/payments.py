@@ -15,7 +15,7 @@ from tallyroll.functions import (
     or_else,
     title_ascii,
 )
-from tallyroll.schemas import FILE_KEY, PAYMENT_COLUMNS, TITLE_COLUMNS, TOTAL
+from tallyroll.schemas import FILE_KEY, PAYMENT, TITLE_COLUMNS, TOTAL, Destination
 
 
 def with_sale_category(files: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -58,7 +58,7 @@ def reject_reason() -> Column:
     )
 
 
-def payment_rows(filled: DataFrame) -> DataFrame:
+def payment_rows(filled: DataFrame, to: Destination = PAYMENT) -> DataFrame:
     """Destination columns in table order, all text, plus the engine's typed columns."""
     value = {
         "Deal": F.col("deal_name"),
@@ -67,10 +67,10 @@ def payment_rows(filled: DataFrame) -> DataFrame:
         "File_Name": F.col("file_name"),
         "Play_Date": iso_text(F.col("play_day")),
         "ISRC": blank_to_null(F.col("ISRC")),
-        **{c: title_ascii(F.col(c)) for c in TITLE_COLUMNS},
+        **{c: title_ascii(F.col(c)) for c in TITLE_COLUMNS if c in to.columns},
     }
     return filled.select(
-        *[value.get(c, blank_to_null(F.col(c))).cast("string").alias(c) for c in PAYMENT_COLUMNS],
+        *[(value[c] if c in value else blank_to_null(F.col(c))).cast("string").alias(c) for c in to.columns],
         "deal_name",
         "vendor_name",
         "file_path",

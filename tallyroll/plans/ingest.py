@@ -29,6 +29,7 @@ from pyspark.sql.window import Window
 from tallyroll.operators import manifest, payments, rejects, songs
 from tallyroll.operators.conform import conform
 from tallyroll.operators.layout import layout_columns, resolve
+from tallyroll.schemas import PAYMENT, Destination
 from tallyroll.sources.statements import list_files, scan_statements, with_headers
 from tallyroll.sources.tables import Tables
 
@@ -105,9 +106,9 @@ def _batch(slices: Sequence) -> Batch:
     return Batch(first, last)
 
 
-def used_positions(files: DataFrame, mapping: Mapping[str, Sequence[str]]) -> list:
+def used_positions(files: DataFrame, mapping: Mapping[str, Sequence[str]], to: Destination = PAYMENT) -> list:
     """Path and needed cell positions of each of a batch's files."""
-    places = [F.array(c) if c.startswith("at_") else F.col(c) for c in layout_columns(mapping)]
+    places = [F.array(c) if c.startswith("at_") else F.col(c) for c in layout_columns(mapping, to)]
     used = F.array_distinct(F.flatten(F.filter(F.array(*places), lambda p: p.isNotNull())))
     return files.select("path", F.filter(used, lambda p: p.isNotNull()).alias("used")).collect()
 
@@ -125,15 +126,17 @@ def scan_batch(spark: SparkSession, chosen: Sequence) -> DataFrame:
     return reduce(DataFrame.unionByName, scans)
 
 
-def batch_payments(spark: SparkSession, files: DataFrame, mapping: Mapping[str, Sequence[str]]) -> DataFrame:
+def batch_payments(
+    spark: SparkSession, files: DataFrame, mapping: Mapping[str, Sequence[str]], to: Destination = PAYMENT
+) -> DataFrame:
     """Payment rows of a batch, with reject reasons; no shuffle, no Python.
 
     The file side of the join is one small row of facts and positions per file, broadcast up
     to a number of files that the default limits stay below (`conform`).
     """
-    chosen = used_positions(files, mapping)
-    rows = conform(scan_batch(spark, chosen), files, mapping)
-    return payments.payment_rows(payments.fill_defaults(rows))
+    chosen = used_positions(files, mapping, to)
+    rows = conform(scan_batch(spark, chosen), files, mapping, to)
+    return payments.payment_rows(payments.fill_defaults(rows), to)
 
 
 def plan_files(tables: Tables, mapping: Mapping[str, Sequence[str]], files: DataFrame) -> DataFrame:
@@ -142,7 +145,7 @@ def plan_files(tables: Tables, mapping: Mapping[str, Sequence[str]], files: Data
         files = files.withColumn("list_problem", F.lit(None).cast("string"))
     waiting = manifest.pending(manifest.with_identity(files), tables.read("file_summary"))
     marked = manifest.repeated_identity(waiting)
-    resolved = resolve(with_headers(marked), mapping)
+    resolved = resolve(with_headers(marked), mapping, tables.destination())
     twice = F.when(F.col("repeats").isNotNull(), F.concat(F.lit("same deal, vendor and name as "), "repeats"))
     known = resolved.withColumn("problem", F.coalesce("list_problem", twice, "problem")).drop("list_problem", "repeats")
     return payments.with_sale_category(known, tables.read("sales_category_lookup"))
@@ -189,7 +192,8 @@ def load_batch(tables: Tables, mapping: Mapping[str, Sequence[str]], files: Data
         waiting = manifest.pending(files, tables.read("file_summary"))
         if waiting.isEmpty():
             return None
-        tables.stage("payment", own_id, batch_payments(tables.spark, waiting, mapping))
+        rows = batch_payments(tables.spark, waiting, mapping, tables.destination())
+        tables.stage("payment", own_id, rows)
         outcomes = _kept(tables, f"{own_id}-outcomes", payments.file_outcomes(tables.staged("payment", own_id)))
         tables.stage("error_summary", own_id, rejects.error_rows(rejects.row_problems(outcomes)))
         errors = tables.staged("error_summary", own_id)
@@ -245,6 +249,7 @@ def load_files(
     limits: Limits = Limits(),
 ) -> Run:
     """Load listed files (`path`, `file_path`, `bytes`) that are not loaded yet."""
+    tables.refresh()
     run_id = uuid.uuid4().hex
     planned = _kept(tables, run_id, plan_files(tables, mapping, files))
 

@@ -114,7 +114,7 @@ loaded AS (
     coalesce(Artist, deal_name) AS Artist, coalesce(Track, Type) AS Track, Album, ISRC,
     {_iso(_play('coalesce(Play_Date, ' + _iso('report_date') + ')'))} AS Play_Date, Release_Date,
     sale_category AS Sale_Category, Quantity, Net_Payment, Service_Provider, Service_Type, Territory,
-    k <> 2 AND spoiled AS bad,
+    CASE WHEN k = 1 THEN coalesce({_FEE}, '0.0') END AS Fee, k <> 2 AND spoiled AS bad,
     money + CASE WHEN k = 1 AND line_number % 3 <> 0 THEN tax ELSE 0 END AS net
   FROM conformed JOIN lookup USING (vendor_name)
 )"""
@@ -258,6 +258,12 @@ SELECT Deal, Source, Report_Date, {_title('Artist')} AS Artist, {_title('Track')
   {_title('Album')} AS Album, ISRC, Play_Date, Release_Date, Sale_Category, Quantity, Net_Payment,
   {_title('Service_Provider')} AS Service_Provider, {_title('Service_Type')} AS Service_Type,
   {_title('Territory')} AS Territory, file_name AS File_Name, count(*) AS lines
+FROM loaded GROUP BY ALL""",
+    "payment_rows_wide": f"""{_LOAD}
+SELECT Deal, Source, Report_Date, {_title('Artist')} AS Artist, {_title('Track')} AS Track,
+  {_title('Album')} AS Album, ISRC, Play_Date, Release_Date, Sale_Category, Quantity, Net_Payment,
+  {_title('Service_Provider')} AS Service_Provider, {_title('Service_Type')} AS Service_Type,
+  file_name AS File_Name, Fee, Territory AS Market, CAST(NULL AS VARCHAR) AS Currency, count(*) AS lines
 FROM loaded GROUP BY ALL""",
     "ledger_totals": f"""WITH {_LINES}
 SELECT deal_name, vendor_name, file_name, CAST(sum(money) AS DOUBLE) AS total_net_payment

@@ -24,9 +24,9 @@ from tallyroll.functions import (
 )
 from tallyroll.operators import manifest, payments, rejects, songs
 from tallyroll.operators.conform import conform
-from tallyroll.operators.layout import FILE_COLUMNS, resolve
+from tallyroll.operators.layout import resolve
 from tallyroll.plans.star_lines import day, spread, statement_file, statement_lines, table
-from tallyroll.schemas import FILE_KEY, PAYMENT_COLUMNS, SONG_KEY
+from tallyroll.schemas import FILE_KEY, PAYMENT, PAYMENT_COLUMNS, SONG_KEY, Destination, destination
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -271,7 +271,15 @@ def _header() -> Column:
     return header
 
 
-def _planned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+# A payment table without territories, and with columns of its own: one that a file's column fills
+# (and a sum uses), one that an alias fills, and one that no file has.
+WIDE = destination([*[c for c in PAYMENT_COLUMNS if c != "Territory"], "Fee", "Market", "Currency"])
+_WIDE_MAPPING = {"Market" if t == "Territory" else t: aliases for t, aliases in MAPPING.items()}
+
+
+def _planned_files(
+    spark: SparkSession, sf_dir: str, mapping: dict = MAPPING, to: Destination = PAYMENT
+) -> DataFrame:
     """The statement files behind the lines, planned as a load plans them."""
     lines = statement_lines(spark, sf_dir, "deal_name", "vendor_name", "file_name", "vendor_key")
     path = _path(F.col("deal_name"), F.col("vendor_name"), F.col("file_name"))
@@ -282,7 +290,7 @@ def _planned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         _header().alias("header"),
         F.lit(None).cast("string").alias("header_problem"),
     )
-    resolved = resolve(manifest.with_identity(with_header), MAPPING)
+    resolved = resolve(manifest.with_identity(with_header), mapping, to)
     return payments.with_sale_category(resolved, _lookup(spark, sf_dir))
 
 
@@ -295,11 +303,13 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(_cells().alias("cells"), path.alias("file_path"))
 
 
-def _loaded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _loaded_rows(
+    spark: SparkSession, sf_dir: str, mapping: dict = MAPPING, to: Destination = PAYMENT
+) -> DataFrame:
     """Payment rows of all files that have a vendor category, bad rows among them."""
-    files = _planned_files(spark, sf_dir)
-    conformed = conform(_rows(spark, sf_dir), rejects.loadable(files), MAPPING)
-    return payments.payment_rows(payments.fill_defaults(conformed))
+    files = _planned_files(spark, sf_dir, mapping, to)
+    conformed = conform(_rows(spark, sf_dir), rejects.loadable(files), mapping, to)
+    return payments.payment_rows(payments.fill_defaults(conformed), to)
 
 
 @query
@@ -315,7 +325,7 @@ def header_layouts(spark, sf_dir):
 def conform_aliases(spark, sf_dir):
     """Lines of all layouts as destination columns; equal lines are counted."""
     conformed = conform(_rows(spark, sf_dir), _planned_files(spark, sf_dir), MAPPING)
-    return conformed.groupBy(*FILE_KEY, *FILE_COLUMNS).agg(F.count(F.lit(1)).alias("lines"))
+    return conformed.groupBy(*FILE_KEY, *PAYMENT.file_columns).agg(F.count(F.lit(1)).alias("lines"))
 
 
 @query
@@ -364,6 +374,13 @@ def payment_rows(spark, sf_dir):
     return rows.groupBy(*PAYMENT_COLUMNS).agg(F.count(F.lit(1)).alias("lines"))
 
 
+@query
+def payment_rows_wide(spark, sf_dir):
+    """Destination rows of a payment table that has other columns; equal rows are counted."""
+    rows = _loaded_rows(spark, sf_dir, _WIDE_MAPPING, WIDE)
+    return rows.groupBy(*WIDE.columns).agg(F.count(F.lit(1)).alias("lines"))
+
+
 def _totals(rows: DataFrame) -> DataFrame:
     totals = payments.ledger_totals(payments.file_outcomes(rows))
     return totals.select(*FILE_KEY, _double("total_net_payment"))

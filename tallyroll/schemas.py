@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from typing import NamedTuple
+
 from pyspark.sql import types as T
 
-# Destination columns of the payment fact table, in table order.
+# Destination columns of a new payment fact table, in table order.
 PAYMENT_COLUMNS = [
     "Deal",
     "Source",
@@ -60,17 +63,62 @@ def _total():
     return T.DecimalType(38, 10)
 
 
-# Stored form of the payment table: the destination columns plus the file identity,
-# the typed amount, the typed song date and the reject reason.
-PAYMENT = T.StructType(
-    _strings(PAYMENT_COLUMNS)
-    + _strings(["deal_name", "vendor_name", "file_path"])
-    + [
-        T.StructField("net_amount", T.DecimalType(28, 10)),
-        T.StructField("song_date", T.DateType()),
-        T.StructField("reject", T.StringType()),
-    ]
-)
+# What a payment row has beside the destination columns: the file identity, the typed amount,
+# the typed song date and the reject reason.
+_PAYMENT_FACTS = [
+    *_strings(["deal_name", "vendor_name", "file_path"]),
+    T.StructField("net_amount", T.DecimalType(28, 10)),
+    T.StructField("song_date", T.DateType()),
+    T.StructField("reject", T.StringType()),
+]
+
+# Destination columns that loads work with, which no destination can do without.
+_NEEDED = [*SONG_KEY, "Play_Date", "Release_Date", "Net_Payment", "Report_Date", "File_Name"]
+# Names that rows carry on their way, beside destination columns.
+_TAKEN = [*FILE_KEY[:2], "file_path", "net_amount", "song_date", "reject", "load_id", "bad_amount", "play_day", "release_day"]
+
+
+class Destination(NamedTuple):
+    """The payment table's columns, in table order.
+
+    A column that the engine does not set is filled from a file's column of that name or by the
+    mapping, and is null where a file has neither.
+    """
+
+    columns: tuple[str, ...]
+
+    @property
+    def file_columns(self) -> list[str]:
+        """Columns a file can supply."""
+        return [c for c in self.columns if c not in ENGINE_COLUMNS] + [TYPE_COLUMN]
+
+    @property
+    def schema(self) -> T.StructType:
+        """Stored form of the payment table."""
+        return T.StructType([*_strings(self.columns), *_PAYMENT_FACTS])
+
+
+def destination(columns: Iterable[str]) -> Destination:
+    """A destination with these columns; refuses names that loads could not keep apart."""
+    made = Destination(tuple(columns))
+    lower = [c.strip().lower() for c in made.columns]
+    missing = [c for c in _NEEDED if c not in made.columns]
+    if missing:
+        raise ValueError(f"the destination lacks {', '.join(missing)}")
+    if len(set(lower)) < len(lower):
+        raise ValueError("two destination columns differ only in case")
+    odd = [c for c, name in zip(made.columns, lower, strict=True) if not name or "." in c or "`" in c]
+    odd += [c for c, name in zip(made.columns, lower, strict=True) if name in [*_TAKEN, TYPE_COLUMN.lower()]]
+    odd += [c for c in made.columns if c not in ENGINE_COLUMNS and c.lower() in [e.lower() for e in ENGINE_COLUMNS]]
+    if odd:
+        raise ValueError(f"no name for a destination column: {', '.join(map(repr, odd))}")
+    return made
+
+
+PAYMENT = destination(PAYMENT_COLUMNS)
+
+# Names and places of the payment table's columns; a later load of it takes the place of an earlier.
+PAYMENT_LAYOUT = T.StructType([T.StructField("place", T.IntegerType()), T.StructField("name", T.StringType())])
 
 # Stored form of the song table: `replaces_id` names the version a row supersedes.
 SONG = T.StructType(
@@ -108,4 +156,7 @@ ERROR_SUMMARY = T.StructType(
     _strings(["file_path", "reason"]) + [T.StructField("error_date", T.DateType())]
 )
 
+# Loads of a table whose rows another load holds now.
+MERGED_LOADS = T.StructType(_strings(["table_name", "merged_id"]))
+
 SALES_CATEGORY_LOOKUP = T.StructType(_strings(["vendor_name", "sales_category"]))

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 _GLOB_CHARS = re.compile(r"([{}\[\]*?\\])")
 _LINE_END = re.compile(rb"[\r\n]")
 _CHUNK = 64 * 1024
+_QUOTE, _COMMA, _BACKSLASH = b'",\\'
+# The longest header line that is taken, some tens of thousands of names.
+HEADER_BYTES = 1 << 20
 csv.field_size_limit(1 << 30)
 
 _LISTING = "path string, bytes long, file_path string, list_problem string"
@@ -108,21 +111,63 @@ def _lister(pattern: str, want_folders: bool):
     return run
 
 
-def header_of(stream) -> list[str] | None:
-    """Fields of the first non-blank line of an open binary stream."""
-    pending = b""
-    while True:
-        chunk = stream.read(_CHUNK)
-        pending = (pending + chunk).removeprefix(codecs.BOM_UTF8)
-        lines = _LINE_END.split(pending)
-        whole = lines if not chunk else lines[:-1]
-        for line in whole:
-            if line.strip():
-                text = line.decode("utf-8", "replace")
-                return next(csv.reader([text], escapechar="\\"))
-        if not chunk:
-            return None
-        pending = lines[-1]
+class HeaderError(ValueError):
+    """A first line that rows cannot be read by."""
+
+
+def _ends_quoted(line: bytes) -> bool:
+    """Whether a line ends inside a quoted field. A quote opens where a field begins; a backslash
+    and a doubled quote stand for the character after them."""
+    at_start, quoted, at = True, False, 0
+    while at < len(line):
+        c = line[at]
+        if c == _BACKSLASH or (quoted and line[at : at + 2] == b'""'):
+            at, at_start = at + 2, False
+            continue
+        if c == _QUOTE and (quoted or at_start):
+            quoted = not quoted
+        at_start = c == _COMMA and not quoted
+        at += 1
+    return quoted
+
+
+def _fields(line: bytes) -> list[str]:
+    if _ends_quoted(line):
+        raise HeaderError("line end inside a quoted header name")
+    return next(csv.reader([line.decode("utf-8", "replace")], escapechar="\\"))
+
+
+def _lines(stream, limit: int) -> Iterator[bytes]:
+    """Non-blank lines of a binary stream; holds one chunk and at most `limit` bytes of a line."""
+    line, first = bytearray(), True
+
+    def whole() -> bytes:
+        text = bytes(line)
+        return text.removeprefix(codecs.BOM_UTF8) if first else text
+
+    while chunk := stream.read(_CHUNK):
+        at = 0
+        while at < len(chunk):
+            end = _LINE_END.search(chunk, at)
+            line += chunk[at : end.start() if end else len(chunk)]
+            if len(line) > limit and line.strip():
+                raise HeaderError(f"header line longer than {limit} bytes")
+            if end and (text := whole()).strip():
+                yield text
+            if end or len(line) > limit:
+                line, first = bytearray(), False
+            at = end.end() if end else len(chunk)
+    if (text := whole()).strip():
+        yield text
+
+
+def header_of(stream, limit: int = HEADER_BYTES) -> list[str] | None:
+    """Fields of the first non-blank line of an open binary stream.
+
+    A line beyond the limit is an error, and so is one that ends inside quotes: rows are split at
+    line ends, so the rest of such a name would be read as a row.
+    """
+    return next((_fields(line) for line in _lines(stream, limit)), None)
 
 
 class _Stores:
@@ -154,6 +199,8 @@ def _probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 store, place = stores.of(uri)
                 with store.open_input_stream(place, buffer_size=_CHUNK) as stream:
                     header = header_of(stream)
+            except HeaderError as error:
+                problem = str(error)
             except (OSError, csv.Error, pa.ArrowException) as error:
                 problem = f"unreadable file: {type(error).__name__}"
             headers.append(header)

@@ -12,7 +12,8 @@ from tallyroll.operators.conform import conform
 from tallyroll.operators.layout import layout_columns, resolve
 from tallyroll.sources import jdbc
 from tallyroll.sources.mapping import check_mapping, load_mapping, mapping_table
-from tallyroll.sources.statements import header_of, list_files
+from tallyroll.schemas import PAYMENT_COLUMNS, destination
+from tallyroll.sources.statements import HeaderError, header_of, list_files
 
 SONG = "ISRC string, Artist string, Track string, Album string, song_date date"
 
@@ -51,6 +52,54 @@ def test_header_of(content, expected):
     assert header_of(io.BytesIO(content)) == expected
 
 
+class Endless(io.RawIOBase):
+    """A stream that repeats one byte and counts what is read of it."""
+
+    def __init__(self, byte):
+        self.byte, self.taken = byte, 0
+
+    def read(self, size=-1):
+        self.taken += size
+        return self.byte * size
+
+
+def test_a_header_line_is_read_up_to_its_limit():
+    stream = Endless(b"x")
+    with pytest.raises(HeaderError, match="longer than 300000 bytes"):
+        header_of(stream, 300_000)
+    assert stream.taken < 400_000
+    assert header_of(io.BytesIO(b"a" * 1000 + b"\nrow"), 1000) == ["a" * 1000]
+    with pytest.raises(HeaderError):
+        header_of(io.BytesIO(b"a" * 1001 + b"\nrow"), 1000)
+    assert header_of(io.BytesIO(b" " * 200_000 + b"\n\na,b\n" + b"x" * 200_000), 1000) == ["a", "b"]
+    long = b",".join(b"name %d" % i for i in range(20_000))
+    assert len(header_of(io.BytesIO(b"\n" + long + b"\r\n1,2"))) == 20_000
+
+
+@pytest.mark.parametrize(
+    "line, quoted",
+    [(b'a,"b', True), (b'"a\nb",c', True), (b'a,"b""', True), (b'a,"b\\"', True), (b'a,"b"",c"', False),
+     (b'a,b"c', False), (b'a\\"b,"c"', False), (b'"",""', False)],
+)
+def test_a_header_name_does_not_span_lines(line, quoted):
+    if quoted:
+        with pytest.raises(HeaderError, match="inside a quoted"):
+            header_of(io.BytesIO(line))
+    else:
+        assert len(header_of(io.BytesIO(line))) >= 1
+
+
+def test_destinations_that_loads_cannot_fill_are_refused():
+    for columns in (PAYMENT_COLUMNS[1:3], [*PAYMENT_COLUMNS, "artist"], [*PAYMENT_COLUMNS, "Type"],
+                    [*PAYMENT_COLUMNS, "reject"], [*PAYMENT_COLUMNS, "a.b"], [*PAYMENT_COLUMNS, ""],
+                    [*[c for c in PAYMENT_COLUMNS if c != "Deal"], "deal"]):
+        with pytest.raises(ValueError):
+            destination(columns)
+    with pytest.raises(ValueError, match="currency"):
+        layout_columns({"Currency": ["Cur"]})
+    assert "at_Currency" in layout_columns({"Currency": ["Cur"]}, destination([*PAYMENT_COLUMNS, "Currency"]))
+
+
 def test_signature_keeps_order_and_names_blank_headers(spark):
     rows = spark.createDataFrame([(["B.x ", "", "\tA"],), (["A", "B x", ""],)], "header array<string>")
     got = [r[0] for r in rows.select(manifest.header_signature(F.col("header"))).collect()]
