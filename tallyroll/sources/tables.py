@@ -155,7 +155,7 @@ class Tables:
         return commits.select("load_id").join(merged, "load_id", "left_anti")
 
     def read(self, name: str) -> DataFrame:
-        """Rows of committed loads, with their `load_id`."""
+        """Rows of committed loads in the table's columns, and their `load_id`."""
         if name == "song":
             return self.songs()
         # Commits are listed before data: what they name is there, and later loads are left out.
@@ -165,7 +165,7 @@ class Tables:
         if name == "payment":
             rejected = self.read("error_summary").select("load_id", "file_path")
             rows = rows.join(rejected, ["load_id", "file_path"], "left_anti")
-        return rows
+        return rows.select(*[F.col(f"`{f.name}`") for f in schema.fields])
 
     def append(self, name: str, load_id: str, rows: DataFrame) -> None:
         """A load of one table on its own, such as new lookup rows."""

@@ -37,7 +37,7 @@ def test_columns_of_the_payment_table_are_data(spark, tables, mapping, write):
 
     later = Tables(spark, tables.base).create()
     ingest(spark, later, {**mapping, "Currency": ["Cur"]}, root)
-    assert [c for c in later.read("payment").columns if c in later.destination().columns] == list(later.destination().columns)
+    assert later.read("payment").columns[:17] == list(later.destination().columns)
     assert later.destination().columns[-2:] == ("Currency", "Tax") and "Territory" not in later.read("payment").columns
     assert rows(later, "File_Name", "Artist", "Currency", "Tax") == [
         ("a_Apr_2016.csv", "Ann", None, None), ("b_May_2016.csv", "Bob", "usd", "2"), ("c_May_2016.csv", "Cy", "a ,b", None)
