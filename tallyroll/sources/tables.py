@@ -201,7 +201,8 @@ class Tables:
         hold neighbouring rows; gives its id, or None where another commit came first.
 
         Rows are spread by range over the cluster columns and, within them, by a hash of the row,
-        so that a date or file that holds much of the table is shared among tasks.
+        so that a date or file that holds much of the table is shared among tasks. Only the payment
+        table's present columns are kept.
         """
         if name not in CLUSTERS:
             raise ValueError(f"{name} is not a table to compact; these are: {', '.join(CLUSTERS)}")
