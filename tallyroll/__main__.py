@@ -23,6 +23,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--one-folder", action="store_true", help="a root is one vendor's folder")
     parser.add_argument("--max-files", type=int, default=Limits().files)
     parser.add_argument("--max-bytes", type=int, default=Limits().bytes)
+    parser.add_argument("--backfill-isrc", action="store_true", help="songs without ISRC take over one of their title")
     args = parser.parse_args(argv)
 
     spark = build_session()
@@ -36,6 +37,7 @@ def main(argv: list[str] | None = None) -> None:
         *args.roots,
         folders="" if args.one_folder else "*/*",
         limits=Limits(args.max_files, args.max_bytes),
+        backfill_isrc=args.backfill_isrc,
     )
     print(f"run {run.run_id}: {len(run.loads)} load(s) committed")
 

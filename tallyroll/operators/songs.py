@@ -17,6 +17,9 @@ from pyspark.sql.window import Window
 from tallyroll.functions import blank, key_text, title_ascii
 from tallyroll.schemas import SONG, SONG_COLUMNS, SONG_KEY
 
+#: What a song without ISRC is known by.
+TITLE = [c for c in SONG_KEY if c != "ISRC"]
+
 #: Files in the order in which they take effect.
 FILE_ORDER = ["report_date", "file_path"]
 
@@ -113,7 +116,9 @@ def song_versions(stored: DataFrame, incoming: DataFrame, order: Sequence[str] =
     where its date is earlier than the stored one and all of the files before it. There is one
     row a song and file, so a window holds at most as many rows as a batch has files, however
     many lines name the song. The join and both windows share one shuffle, on the key.
+    A song's first version may supersede another song's: the id in `fills_id`, if there is one.
     """
+    fills = F.col("fills_id") if "fills_id" in incoming.columns else F.lit(None).cast("string")
     held = stored.select(*SONG_KEY, F.col("Release_Date").alias("held_date"))
     song = Window.partitionBy(*SONG_KEY)
     earlier = song.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -128,7 +133,7 @@ def song_versions(stored: DataFrame, incoming: DataFrame, order: Sequence[str] =
         *SONG_KEY,
         "Release_Date",
         F.when(F.col("Release_Date") == F.col("earliest"), "Y").otherwise("N").alias("is_latest"),
-        F.when(F.col("before").isNotNull(), song_id("before")).alias("replaces_id"),
+        F.when(F.col("before").isNotNull(), song_id("before")).otherwise(fills).alias("replaces_id"),
     )
 
 
@@ -163,8 +168,8 @@ def reconcile(stored: DataFrame, incoming: DataFrame) -> DataFrame:
 def isrc_backfills(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     """Version rows that would give stored songs without ISRC their ISRC.
 
-    Not part of a load: there the ISRC is part of the key, so a song with an ISRC never
-    meets one without. Matched by artist, track and album instead; where several new ISRCs
+    The difference of two whole song tables; a load, where files take effect one after another,
+    does it by `heirs`. Matched by artist, track and album instead; where several new ISRCs
     come in for one such song the least is used. The row carries the earliest date known.
     """
     title = ["Artist", "Track", "Album"]
@@ -190,6 +195,61 @@ def isrc_backfills(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
+def heirs(stored: DataFrame, incoming: DataFrame, order: Sequence[str] = tuple(FILE_ORDER)) -> DataFrame:
+    """Which ISRC stands in for none, by title and file, in files that know one for the title.
+
+    `stored` holds current versions, `incoming` candidates by file. The `heir` of a title is the
+    least ISRC known before the file, or else the file's least. `blank_date` is the date of the file's
+    own song without ISRC. `taken` is the date of the current version without ISRC, which the heir takes
+    over: in the first file with an heir, and null where there is none.
+
+    Each file's songs of a title are one row, so a window holds at most as many rows as a batch has
+    files, whatever the number of ISRCs.
+    """
+    known, date = ~blank(F.col("ISRC")), F.col("Release_Date")
+    isrc, without = F.min(F.when(known, F.col("ISRC"))), F.min(F.when(~known, date))
+    held = stored.groupBy(*TITLE).agg(isrc.alias("held_isrc"), without.alias("held_date"))
+    named = incoming.groupBy(*TITLE, *order).agg(isrc.alias("own_isrc"), without.alias("blank_date"))
+    files = Window.partitionBy(*TITLE).orderBy(*order)
+    earlier = files.rowsBetween(Window.unboundedPreceding, -1)
+    seen = named.join(held, TITLE, "left").withColumns(
+        {
+            "heir": F.coalesce(F.least(F.min("own_isrc").over(earlier), F.col("held_isrc")), "own_isrc"),
+            "left": F.least(F.min("blank_date").over(earlier), F.col("held_date")),
+        }
+    )
+    # No ISRC is known up to the first file with an heir, so what came without one was a song until then.
+    first = F.lag("heir").over(files).isNull()
+    seen = seen.withColumn("taken", F.when(first, F.col("left")))
+    return seen.where("heir is not null").select(*TITLE, *order, "heir", "blank_date", "taken")
+
+
+def backfilled(incoming: DataFrame, heirs: DataFrame, order: Sequence[str] = tuple(FILE_ORDER)) -> DataFrame:
+    """Candidates by file in which songs without ISRC have gone over to the `heirs`.
+
+    `fills_id` names the version that a row takes over.
+    """
+    at = [*TITLE, *order]
+    stay = incoming.where(~blank(F.col("ISRC"))).unionByName(
+        incoming.where(blank(F.col("ISRC"))).join(heirs.select(*at), at, "left_anti")
+    )
+    moved = (
+        heirs.withColumn("ISRC", F.lit(" "))
+        .withColumn("fills_id", F.when(F.col("taken").isNotNull(), song_id("taken")))
+        .select(F.col("heir").alias("ISRC"), *at, F.least("blank_date", "taken").alias("Release_Date"), "fills_id")
+        .where("Release_Date is not null")
+    )
+    both = stay.withColumn("fills_id", F.lit(None).cast("string")).unionByName(moved)
+    return both.groupBy(*SONG_KEY, *order).agg(
+        F.min("Release_Date").alias("Release_Date"), F.min("fills_id").alias("fills_id")
+    )
+
+
+def filled_keys(heirs: DataFrame) -> DataFrame:
+    """Keys of the songs without ISRC that heirs have taken over."""
+    return heirs.where("taken is not null").select(F.lit(" ").alias("ISRC"), *TITLE)
+
+
 def latest_flags(versions: DataFrame) -> DataFrame:
     """All versions as the song table shows them: superseded ones are not latest."""
     superseded = versions.where("replaces_id is not null").select(
@@ -202,16 +262,24 @@ def latest_flags(versions: DataFrame) -> DataFrame:
     )
 
 
-def snapshot(versions: DataFrame, delta: DataFrame) -> DataFrame:
-    """All versions of some songs after a delta: those that it supersedes are retired.
+def snapshot(versions: DataFrame, delta: DataFrame, filled: DataFrame | None = None) -> DataFrame:
+    """All versions of some songs after a delta: those that it supersedes are retired, and all
+    of the `filled` keys.
 
     New versions share their key with those they replace and are earlier, so the latest
-    version is the key's earliest; a song has few versions, so a window per key is small.
+    version is the earliest of the key's that are not retired; a song has few versions, so a window
+    per key is small.
     """
     both = versions.select(*SONG.fieldNames()).unionByName(delta.select(*SONG.fieldNames()))
-    earliest = F.min("Release_Date").over(Window.partitionBy(*SONG_KEY))
-    kept = (F.col("is_latest") == "Y") & (F.col("Release_Date") == earliest)
-    return both.withColumn("is_latest", F.when(kept, "Y").otherwise("N"))
+    live = F.col("is_latest") == "Y"
+    earliest = F.min(F.when(live, F.col("Release_Date"))).over(Window.partitionBy(*SONG_KEY))
+    kept = live & (F.col("Release_Date") == earliest)
+    after = both.withColumn("is_latest", F.when(kept, "Y").otherwise("N"))
+    if filled is None:
+        return after
+    gone = filled.withColumn("gone", F.lit("N"))
+    flagged = after.join(gone, SONG_KEY, "left").withColumn("is_latest", F.coalesce("gone", "is_latest"))
+    return flagged.select(*SONG.fieldNames())
 
 
 def apply_delta(versions: DataFrame, delta: DataFrame) -> DataFrame:

@@ -151,21 +151,32 @@ def plan_files(tables: Tables, mapping: Mapping[str, Sequence[str]], files: Data
     return payments.with_sale_category(known, tables.read("sales_category_lookup"))
 
 
-def stage_songs(tables: Tables, load_id: str, rows: DataFrame) -> None:
+def stage_songs(tables: Tables, load_id: str, rows: DataFrame, backfill_isrc: bool = False) -> None:
     """Stage the song buckets that a load's payment rows change, with the versions they retire.
 
-    Only buckets of songs in the rows are read, and only those with a new version are written.
+    Only buckets of songs in the rows are read, and only those with a new version are written. The
+    backfill has to know a title's ISRCs, which are in any bucket, so with it the keys and dates of
+    the whole song table are read.
     """
     bucket = tables.song_bucket()
     by_file = rows.withColumn("report_date", F.col("Report_Date"))
     incoming = songs.candidates(by_file, normalised=True, by=songs.FILE_ORDER).withColumn("bucket", bucket)
     incoming = _kept(tables, f"{load_id}-songs", incoming)
+    filled = None
+    if backfill_isrc:
+        heirs = songs.heirs(songs.current(tables.songs()), incoming)
+        heirs = _kept(tables, f"{load_id}-heirs", heirs)
+        incoming = songs.backfilled(incoming.drop("bucket"), heirs).withColumn("bucket", bucket)
+        incoming = _kept(tables, f"{load_id}-backfilled", incoming)
+        filled = songs.filled_keys(heirs)
     named = _buckets(incoming)
     delta = songs.song_versions(songs.current(tables.songs(named)), incoming.drop("bucket"))
     delta = _kept(tables, f"{load_id}-versions", delta.withColumn("bucket", bucket))
-    changed = _buckets(delta)
+    changed = set(_buckets(delta))
+    if filled is not None:
+        changed.update(_buckets(filled.withColumn("bucket", bucket)))
     if changed:
-        tables.stage_songs(load_id, songs.snapshot(tables.songs(changed), delta), changed)
+        tables.stage_songs(load_id, songs.snapshot(tables.songs(sorted(changed)), delta, filled), sorted(changed))
 
 
 def _kept(tables: Tables, name: str, rows: DataFrame) -> DataFrame:
@@ -179,7 +190,9 @@ def _buckets(rows: DataFrame) -> list[int]:
     return [r.bucket for r in rows.select("bucket").distinct().collect()]
 
 
-def load_batch(tables: Tables, mapping: Mapping[str, Sequence[str]], files: DataFrame, load_id: str) -> str | None:
+def load_batch(
+    tables: Tables, mapping: Mapping[str, Sequence[str]], files: DataFrame, load_id: str, backfill_isrc: bool = False
+) -> str | None:
     """Load one batch and commit it; gives the id under which it was committed.
 
     Payment rows are written once. Files with a bad row get an error row, which also keeps their
@@ -201,7 +214,7 @@ def load_batch(tables: Tables, mapping: Mapping[str, Sequence[str]], files: Data
         accepted = rejects.accepted(waiting, errors)
         registry = tables.read("metadata_management")
         tables.stage("metadata_management", own_id, manifest.header_versions(accepted, registry))
-        stage_songs(tables, own_id, rows)
+        stage_songs(tables, own_id, rows, backfill_isrc)
         totals = payments.ledger_totals(outcomes)
         tables.stage("file_summary", own_id, payments.ledger_rows(accepted, totals))
         if tables.commit(own_id, after):
@@ -212,10 +225,12 @@ def _is_read_failure(error: PySparkException) -> bool:
     return any(name in str(error) for name in _READ_FAILURES)
 
 
-def load_apart(tables: Tables, mapping: Mapping[str, Sequence[str]], files: DataFrame, load_id: str) -> list[str]:
+def load_apart(
+    tables: Tables, mapping: Mapping[str, Sequence[str]], files: DataFrame, load_id: str, backfill_isrc: bool = False
+) -> list[str]:
     """Load a batch; files that can't be read any more get an error row and the others load."""
     try:
-        done = load_batch(tables, mapping, files, load_id)
+        done = load_batch(tables, mapping, files, load_id, backfill_isrc)
         return [done] if done else []
     except PySparkException as error:
         if not _is_read_failure(error):
@@ -231,14 +246,14 @@ def load_apart(tables: Tables, mapping: Mapping[str, Sequence[str]], files: Data
     if not gone.isEmpty():
         done = [record(gone, f"{load_id}-gone")]
         left = rejects.accepted(files, gone)
-        return done if left.isEmpty() else done + load_apart(tables, mapping, left, f"{load_id}-rest")
+        return done if left.isEmpty() else done + load_apart(tables, mapping, left, f"{load_id}-rest", backfill_isrc)
     order = [tuple(r) for r in files.select(*songs.FILE_ORDER).orderBy(*songs.FILE_ORDER).collect()]
     if len(order) == 1:
         return [record(files.select("file_path", F.lit(reason).alias("reason")), f"{load_id}-unread")]
     middle = F.struct(*[F.lit(v).alias(n) for n, v in zip(songs.FILE_ORDER, order[len(order) // 2], strict=True)])
     at = F.struct(*songs.FILE_ORDER)
-    return load_apart(tables, mapping, files.where(at < middle), f"{load_id}-a") + load_apart(
-        tables, mapping, files.where(at >= middle), f"{load_id}-b"
+    return load_apart(tables, mapping, files.where(at < middle), f"{load_id}-a", backfill_isrc) + load_apart(
+        tables, mapping, files.where(at >= middle), f"{load_id}-b", backfill_isrc
     )
 
 
@@ -247,6 +262,7 @@ def load_files(
     mapping: Mapping[str, Sequence[str]],
     files: DataFrame,
     limits: Limits = Limits(),
+    backfill_isrc: bool = False,
 ) -> Run:
     """Load listed files (`path`, `file_path`, `bytes`) that are not loaded yet."""
     tables.refresh()
@@ -268,7 +284,7 @@ def load_files(
         .collect()
     )
     for number, batch in enumerate(plan_batches(slices, limits)):
-        loads += load_apart(tables, mapping, batch.of(sliced), f"{run_id}-{number:06d}")
+        loads += load_apart(tables, mapping, batch.of(sliced), f"{run_id}-{number:06d}", backfill_isrc)
     return Run(run_id, loads)
 
 
@@ -279,6 +295,11 @@ def ingest(
     *roots: str,
     folders: str = "*/*",
     limits: Limits = Limits(),
+    backfill_isrc: bool = False,
 ) -> Run:
-    """Load what is new under `<root>/<deal>/<vendor>/`."""
-    return load_files(tables, mapping, list_files(spark, *roots, folders=folders), limits)
+    """Load what is new under `<root>/<deal>/<vendor>/`.
+
+    With `backfill_isrc`, a song without ISRC goes over to the first ISRC that a file knows for its
+    artist, track and album, and later lines without one count for it (`songs.heirs`).
+    """
+    return load_files(tables, mapping, list_files(spark, *roots, folders=folders), limits, backfill_isrc)

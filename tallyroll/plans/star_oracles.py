@@ -340,4 +340,52 @@ filled AS (
   FROM chosen c JOIN held h ON h.ISRC = ' ' AND h.Artist = c.Artist AND h.Track = c.Track
     LEFT JOIN fresh b ON b.ISRC = ' ' AND b.Artist = c.Artist AND b.Track = c.Track)
 SELECT {_version('new_date')}, {_FINAL}, {_iso('new_date')} AS Release_Date, replaces_id FROM filled""",
+    "song_history_backfilled": f"""WITH {_LINES},
+named AS (
+  SELECT side, ISRC, {_title('Artist')} AS Artist, {_title('Track')} AS Track, ' ' AS Album, report_date, path,
+    min(d) AS d
+  FROM (
+    SELECT order_key % 2 AS side, Artist, Track, report_date,
+      CASE WHEN line_number IN (2, 6) AND ISRC <> '' THEN ISRC || '-' || line_number ELSE ' ' END AS ISRC,
+      deal_name || '/' || vendor_name || '/' || file_name AS path,
+      min(coalesce({_play("nullif(Play_Date, '')")}, report_date)) AS d
+    FROM lines WHERE order_key % 2 = 1 OR order_key % 8 = 0 GROUP BY ALL)
+  GROUP BY ALL),
+held AS (SELECT {_FINAL}, min(d) AS d FROM named WHERE side = 0 GROUP BY ALL),
+held_titles AS (
+  SELECT Artist, Track, min(ISRC) FILTER (ISRC <> ' ') AS isrc, min(d) FILTER (ISRC = ' ') AS d
+  FROM held GROUP BY ALL),
+titles AS (
+  SELECT Artist, Track, report_date, path, min(ISRC) FILTER (ISRC <> ' ') AS own, min(d) FILTER (ISRC = ' ') AS d
+  FROM named WHERE side = 1 GROUP BY ALL),
+turns AS (
+  SELECT t.Artist, t.Track, report_date, path, t.d, coalesce(least(min(own) OVER before, h.isrc), own) AS heir,
+    least(min(t.d) OVER before, h.d) AS held_d
+  FROM titles t LEFT JOIN held_titles h ON h.Artist = t.Artist AND h.Track = t.Track
+  WINDOW before AS (PARTITION BY t.Artist, t.Track ORDER BY report_date, path
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+firsts AS (
+  SELECT * FROM turns WHERE heir IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY Artist, Track ORDER BY report_date, path) = 1),
+taken AS (SELECT * FROM firsts WHERE held_d IS NOT NULL),
+by_file AS (
+  SELECT {_FINAL}, report_date, path, min(d) AS d, min(fill) AS fill
+  FROM (
+    SELECT {_FINAL}, report_date, path, d, NULL AS fill FROM named WHERE side = 1 AND ISRC <> ' '
+    UNION ALL SELECT coalesce(heir, ' '), Artist, Track, ' ', report_date, path, d, NULL FROM turns WHERE d IS NOT NULL
+    UNION ALL SELECT heir, Artist, Track, ' ', report_date, path, held_d, held_d FROM taken)
+  GROUP BY ALL),
+in_turn AS (
+  SELECT by_file.*, least(h.d, min(by_file.d) OVER (PARTITION BY by_file.ISRC, by_file.Artist, by_file.Track
+      ORDER BY report_date, path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS before
+  FROM by_file LEFT JOIN held h ON h.ISRC = by_file.ISRC AND h.Artist = by_file.Artist AND h.Track = by_file.Track),
+versions AS (
+  SELECT {_FINAL}, d, NULL AS before, NULL AS fill FROM held
+  UNION ALL SELECT {_FINAL}, d, before, fill FROM in_turn WHERE before IS NULL OR d < before)
+SELECT {_version('d')}, {_FINAL}, {_iso('d')} AS Release_Date,
+  CASE WHEN d = min(d) OVER (PARTITION BY {_FINAL})
+    AND NOT (ISRC = ' ' AND (Artist, Track) IN (SELECT (Artist, Track) FROM taken)) THEN 'Y' ELSE 'N' END AS is_latest,
+  CASE WHEN before IS NOT NULL THEN {_version('before').removesuffix(' AS id')}
+    WHEN fill IS NOT NULL THEN {_version('fill').replace('ISRC, ', "' ', ").removesuffix(' AS id')} END AS replaces_id
+FROM versions""",
 }

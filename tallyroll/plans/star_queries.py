@@ -485,17 +485,23 @@ def _delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return songs.song_delta(songs.current(_stored(spark, sf_dir)), _incoming(spark, sf_dir))
 
 
-def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Versions that the odd orders' files make one after another, upon those of the even orders."""
-    lines = statement_lines(spark, sf_dir, "order_key", *SONG_KEY, "Play_Date", "report_date", *FILE_KEY)
-    odd = lines.where("order_key % 2 = 1")
+def _dated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with the columns candidates by file are taken from."""
+    numbers = "order_key", "line_number"
+    lines = statement_lines(spark, sf_dir, *numbers, *SONG_KEY, "Play_Date", "report_date", *FILE_KEY)
     raw = F.when(blank(F.col("Play_Date")), F.col("report_date").cast("string")).otherwise(F.col("Play_Date"))
-    dated = odd.withColumn("play_text", raw).select(
+    return lines.withColumn("play_text", raw).select(
+        *numbers,
         *SONG_KEY,
         any_date(F.col("play_text")).alias("song_date"),
         "report_date",
         F.concat_ws("/", *FILE_KEY).alias("file_path"),
     )
+
+
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions that the odd orders' files make one after another, upon those of the even orders."""
+    dated = _dated_lines(spark, sf_dir).where("order_key % 2 = 1")
     by_file = songs.candidates(dated, by=songs.FILE_ORDER)
     return songs.song_versions(songs.current(_stored(spark, sf_dir)), by_file)
 
@@ -579,3 +585,22 @@ def isrc_backfills(spark, sf_dir):
     stored = songs.candidates(strip_isrc(rows.where("order_key % 2 = 0"))).withColumn("id", songs.song_id())
     incoming = songs.candidates(rows.where("order_key % 2 = 1").withColumn("Album", F.lit("")))
     return _texts(songs.isrc_backfills(stored, incoming).drop("is_latest"), "Release_Date")
+
+
+@query
+def song_history_backfilled(spark, sf_dir):
+    """All versions after the odd orders' files, one after another, where songs without ISRC go over
+    to one that a file knows. A quarter of the lines keeps an ISRC, and a title has several; the
+    songs stored before are those of every eighth order."""
+    isrc = F.concat_ws("-", F.when(~blank(F.col("ISRC")), F.col("ISRC")), F.col("line_number"))
+    lines = _dated_lines(spark, sf_dir).withColumns(
+        {"Album": F.lit(""), "ISRC": F.when(F.col("line_number").isin(2, 6) & ~blank(F.col("ISRC")), isrc).otherwise("")}
+    )
+    stored = songs.candidates(lines.where("order_key % 8 = 0")).withColumns(
+        {"id": songs.song_id(), "is_latest": F.lit("Y"), "replaces_id": F.lit(None).cast("string")}
+    )
+    held = songs.current(stored)
+    incoming = songs.candidates(lines.where("order_key % 2 = 1"), by=songs.FILE_ORDER)
+    heirs = songs.heirs(held, incoming)
+    delta = songs.song_versions(held, songs.backfilled(incoming, heirs))
+    return _texts(songs.snapshot(stored, delta, songs.filled_keys(heirs)), "Release_Date")

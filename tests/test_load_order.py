@@ -56,6 +56,80 @@ def test_history_is_one_version_a_file_whatever_the_batches(spark, mapping, writ
         assert (latest == "Y") == (date == min(r[1] for r in seen[0] if r[0] == track))
 
 
+def titled(song, isrc, date):
+    return f"a,t{song},al,{isrc},{date},1,2,"
+
+
+def after_backfill(files):
+    """Song table rows by a walk over files and songs: (track, isrc, date, flag)."""
+    rows, live, known = [], {}, {}
+    for lines in files:
+        least = {}
+        for song, isrc, date in lines:
+            least[song, isrc] = min(date, least.get((song, isrc), date))
+        for song in sorted({s for s, _ in least}):
+            own = {i: d for (s, i), d in least.items() if s == song}
+            heir = min(known.get(song, set()) or {i for i in own if i} or {""})
+            known.setdefault(song, set()).update(i for i in own if i)
+            if heir:
+                dates = [d for d in (own.pop("", None), live.pop((song, ""), None)) if d]
+                own.update({heir: min([*dates, own[heir]] if heir in own else dates)} if dates else {})
+            for isrc, date in own.items():
+                if date < live.get((song, isrc), "9"):
+                    live[song, isrc] = date
+                    rows.append((song, isrc, date))
+    return sorted((f"T{s}", i or " ", d, "Y" if live.get((s, i)) == d else "N") for s, i, d in rows)
+
+
+BACKFILL_FILES = {
+    "D/V1/a_Apr_2016.csv": [(1, "", "2016-04-05"), (2, "", "2016-04-05"), (3, "Z3", "2016-04-05"), (4, "", "2016-04-09")],
+    "D/V1/b_Apr_2016.csv": [(1, "", "2016-04-03"), (2, "B2", "2016-04-09"), (2, "A2", "2016-04-08"), (3, "", "2016-04-01")],
+    "D/V1/c_May_2016.csv": [(1, "X1", "2016-04-30"), (1, "", "2016-05-01"), (2, "", "2016-04-02"), (3, "A3", "2016-03-01")],
+    "D/V1/d_May_2016.csv": [(1, "", "2016-04-01"), (2, "B2", "2016-01-01"), (3, "", "2016-02-01"), (5, "", "2016-05-01")],
+    "D/V1/e_Jun_2016.csv": [(1, "W1", "2016-01-01"), (4, "", "2016-04-01"), (5, "V5", "2016-06-01"), (5, "", "2016-04-01")],
+}
+
+
+def test_isrc_backfill_is_the_same_whatever_the_batches(spark, mapping, write, tmp_path):
+    for where, lines in BACKFILL_FILES.items():
+        root = write(where, PLAIN, *[titled(*line) for line in lines])
+    seen = []
+    for name, limits in {"one": Limits(files=1), "three": Limits(files=3), "all": Limits()}.items():
+        tables = new_tables(spark, tmp_path / name, song_buckets=4)
+        ingest(spark, tables, mapping, root, limits=limits, backfill_isrc=True)
+        rows = tables.read("song").select("Track", "ISRC", "Release_Date", "is_latest", "id", "replaces_id").collect()
+        seen.append(sorted((r.Track, r.ISRC, str(r.Release_Date), r.is_latest, r.id, r.replaces_id or "") for r in rows))
+    assert seen[0] == seen[1] == seen[2]
+    assert [r[:4] for r in seen[0]] == after_backfill(BACKFILL_FILES.values())
+    # the song without ISRC of title 1 has gone over to X1, which keeps its date
+    by_id = {r[4]: r for r in seen[0]}
+    (went_over,) = [r for r in seen[0] if r[:3] == ("T1", "X1", "2016-04-03")]
+    assert by_id[went_over[5]][:4] == ("T1", " ", "2016-04-03", "N")
+    assert [r[:4] for r in seen[0] if r[0] == "T4" and r[3] == "Y"] == [("T4", " ", "2016-04-01", "Y")]
+    again = ingest(spark, tables, mapping, root, backfill_isrc=True)
+    assert again.loads == []
+
+
+def test_isrc_backfill_over_songs_loaded_without_it(spark, mapping, write, tmp_path):
+    """Songs stored with and without ISRC: the next file of the title merges them, and later loads
+    without the option may have both again."""
+    tables = new_tables(spark, tmp_path / "t", song_buckets=4)
+    root = write("D/V1/a_Apr_2016.csv", PLAIN, titled(1, "", "2016-04-01"), titled(1, "M1", "2016-04-03"))
+    ingest(spark, tables, mapping, root)
+
+    def latest():
+        rows = tables.read("song").where("is_latest = 'Y'").collect()
+        return sorted((r.ISRC, str(r.Release_Date)) for r in rows)
+
+    assert latest() == [(" ", "2016-04-01"), ("M1", "2016-04-03")]
+    write("D/V1/b_May_2016.csv", PLAIN, titled(1, "", "2016-05-01"))
+    ingest(spark, tables, mapping, root, backfill_isrc=True)
+    assert latest() == [("M1", "2016-04-01")]
+    write("D/V1/c_Jun_2016.csv", PLAIN, titled(1, "", "2016-06-01"))
+    ingest(spark, tables, mapping, root)
+    assert latest() == [(" ", "2016-06-01"), ("M1", "2016-04-01")]
+
+
 def test_versions_take_one_shuffle(spark):
     key = "ISRC string, Artist string, Track string, Album string"
     stored = spark.createDataFrame([], f"id string, {key}, Release_Date date")
