@@ -1,8 +1,8 @@
 """Statement files as they arrive.
 
-The stream carries files, not rows: a file source lists what is new, and each micro-batch
-goes through the batch load. The ledger stays the source of truth, so a replayed
-micro-batch adds nothing.
+A stream of ticks: at each one the folders are listed again, by tasks, and what the ledger doesn't
+hold goes through the batch load. The ledger is the only state. The driver remembers no files,
+a file of any age is taken, and a tick that is replayed after a crash adds nothing.
 """
 
 from __future__ import annotations
@@ -14,29 +14,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyroll.plans.ingest import Limits, load_files
+from tallyroll.sources.statements import list_files
 from tallyroll.sources.tables import Tables
 
-# The schema of Spark's binary file source.
-_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
-_ANY_AGE = "36500d"
+def unsettled(listed: DataFrame, errors: DataFrame) -> DataFrame:
+    """Listed files without an error row that would come again; what could not be read is tried again."""
+    settled = errors.where(~F.col("reason").startswith("unreadable")).select("file_path")
+    return listed.join(settled, "file_path", "left_anti").select(*listed.columns)
 
 
-def arriving_files(spark: SparkSession, root: str, files_per_batch: int) -> DataFrame:
-    """New statement files under `<root>/<deal>/<vendor>/`; contents are not read.
-
-    Files of any age count (Spark's default leaves out what is a week older than the newest):
-    the ledger decides what has been loaded.
-    """
-    return (
-        spark.readStream.format("binaryFile")
-        .schema(_FILE_SCHEMA)
-        .option("pathGlobFilter", "*.csv")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("maxFileAge", _ANY_AGE)
-        .load(f"{root.rstrip('/')}/*/*")
-        .select("path", F.col("length").alias("bytes"), "_metadata.file_path")
-    )
+def ticks(spark: SparkSession) -> DataFrame:
+    """One row a trigger, and one in all with `availableNow`."""
+    return spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load()
 
 
 def ingest_arrivals(
@@ -47,15 +37,21 @@ def ingest_arrivals(
     checkpoint: str,
     limits: Limits = Limits(),
     interval: str | None = None,
+    backfill_isrc: bool = False,
 ) -> StreamingQuery:
-    """Start loading arrivals: all that is there now, or forever at an `interval`."""
+    """Start loading arrivals: all that is there now, or forever at an `interval`.
+
+    Every tick lists all folders under the root. A file that was rejected gets one error row and is
+    left to the batch load from then on; one that could not be read is tried again at each tick.
+    """
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
 
-    def load(files: DataFrame, batch_id: int) -> None:
-        load_files(tables, mapping, files, limits)
+    def load(tick: DataFrame, tick_id: int) -> None:
+        arrived = unsettled(list_files(spark, root), tables.read("error_summary"))
+        load_files(tables, mapping, arrived, limits, backfill_isrc)
 
     return (
-        arriving_files(spark, root, limits.files)
+        ticks(spark)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)

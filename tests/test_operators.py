@@ -239,7 +239,10 @@ def test_jdbc_options_hold_only_what_the_caller_gives():
     assert jdbc.write_options("Song", connection, connections=4)["numPartitions"] == "4"
 
 
-def test_arrivals_load_once(spark, tables, mapping, write, tmp_path):
+def test_arrivals_load_once_whatever_their_age(spark, tables, mapping, write, tmp_path):
+    """Restarted over one checkpoint; nothing but the tables remembers files."""
+    import os
+
     from tallyroll.streaming.arrivals import ingest_arrivals
 
     def run():
@@ -247,8 +250,22 @@ def test_arrivals_load_once(spark, tables, mapping, write, tmp_path):
         query.awaitTermination()
         return sorted(r.file_name for r in tables.read("file_summary").collect())
 
-    root = write("Deal A/V1/x_Apr_2016.csv", "Track,Net_Payment", "t,1")
+    write("Deal A/V1/x_Apr_2016.csv", "Track,Net_Payment", "t,1")
+    root = write("Deal A/V1/nodate.csv", "Track,Net_Payment", "t,1")
     assert run() == ["x_Apr_2016.csv"]
     write("Deal A/V1/y_May_2016.csv", "Track,Net_Payment", "t,1")
+    os.utime(f"{root}/Deal A/V1/y_May_2016.csv", (1_000_000, 1_000_000))
     assert run() == ["x_Apr_2016.csv", "y_May_2016.csv"]
     assert tables.read("payment").count() == 2
+    assert [r.file_path.rsplit("/", 1)[1] for r in tables.read("error_summary").collect()] == ["nodate.csv"]
+    logs = [p.read_text() for p in (tmp_path / "stream").rglob("*") if p.is_file() and not p.name.endswith(".crc")]
+    assert logs and not any("_2016" in log for log in logs)
+
+
+def test_unreadable_arrivals_are_tried_again(spark):
+    from tallyroll.streaming.arrivals import unsettled
+
+    listed = spark.createDataFrame([("a", 1), ("b", 1), ("c", 1)], "file_path string, bytes long")
+    rows = [("a", "no report date"), ("b", "unreadable file: FileNotFoundError"), ("z", "no report date")]
+    errors = spark.createDataFrame(rows, "file_path string, reason string")
+    assert sorted(r.file_path for r in unsettled(listed, errors).collect()) == ["b", "c"]
