@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry
 from tallyroll.plans.star_oracles import ORACLES
+from tallyroll.plans.star_lines import statement_lines
 from tallyroll.plans.star_queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -52,3 +53,26 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_entry_runs(spark):
     assert entry(spark).count() > 0
+
+
+def test_small_tables_are_joined_before_lines(spark):
+    """Lines are shuffled once for each key of their own, whatever hangs on what."""
+    lines = statement_lines(spark, SF_DIR, "deal_name", "file_name", "Track", "vendor_name", "Territory")
+    plan = lines._jdf.queryExecution().optimizedPlan()
+    joins = [line for line in plan.toString().splitlines() if "Join Inner" in line]
+    assert len(joins) == 6
+    assert sum("(l_" in line or "= l_" in line for line in joins) == 3
+    first = plan.toString().index("o_custkey#")
+    assert "c_custkey" in plan.toString()[first : first + 400]
+
+
+def on_lines(plan):
+    return sum("l_orderkey#" in line and "Relation" in line for line in plan.splitlines())
+
+
+@pytest.mark.parametrize("name", ["accepted_totals", "payment_rows", "payment_rows_wide", "conform_aliases"])
+def test_files_are_planned_once(spark, name):
+    """The plan of the files takes all lines; it is kept between its count and its use."""
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().withCachedData().toString()
+    assert on_lines(plan) == 1
+    assert "InMemoryRelation" in plan
