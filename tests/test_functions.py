@@ -178,3 +178,11 @@ def test_functions_need_no_python_worker_and_no_codegen_break(spark):
     )._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
     assert plan.startswith("*(1) Project")
+
+
+def test_cleaning_trims_only_where_an_end_is_blank(values):
+    """Most texts are whole; only others are taken apart."""
+    texts = ["ab", " ab", "ab\x1f", "a b", "", " ", None, "é", "aé", "a é", "\xa0a", "~"]
+    assert values(fn.ascii_clean, texts) == ["ab", "ab", "ab", "a b", "", "", None, "", "a", "a", "a", "~"]
+    assert values(fn.unreadable_amount, ["1.12345678901", "$1.12345678900", "12345678.5", "1,2,3", None, " "]) == [
+        True, False, False, False, False, False]
