@@ -3,7 +3,7 @@
 1. Equal sets become one (their key is a checksum of the set).
 2. All shingles are put in one global order, by the number of documents that have them and then
    by hash. Two linked sets have one of their first n - t n + 1 shingles in common. Shingles of
-   one document alone can't be it, so only those of several are joined back to their sets; a
+   one document alone can't be it, so only those of several are kept with their sets; a
    set whose first ones are all its own links with nothing, which settles most sets.
    Sets with a first shingle in common, and sizes that allow a link, are connected to the least of
    them; connected sets are one family.
@@ -199,7 +199,7 @@ def jaccard_components(
     passes: int = 2,
 ) -> DataFrame:
     """(id, n_shingles, component_id): components of "Jaccard >= num/den" over all documents.
-    Shingles are joined back to their sets in `passes` shares, to use less disk at a time."""
+    Shingles are counted in `passes` shares, to use less disk at a time."""
     id_type = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
@@ -292,31 +292,30 @@ def _first_shingles(own: DataFrame, k: int, num: int, den: int, passes: int) ->
     """(k1, n, first): for each set with any, those of its first n - t n + 1 shingles in the global order
     that several documents have.
 
-    Counts combine before the shuffle, so a shingle of very many documents costs one row a task;
-    the join back shuffles sets' shingles on the shingle, where Spark splits a skewed one."""
+    Each share of the shingles is shuffled once, on the shingle, and counted where it arrives: a
+    count beforehand would shuffle all of them a second time. A window spills what a frequent
+    shingle has too many of."""
 
-    def shingles(share: int, shares: int, with_set: bool):
+    def shingles(share: int) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for some in _chunks(batches):
                 h, begin = shingle_sets(some.column("text"), k)
-                chosen = h % np.uint64(shares) == share if shares > 1 else slice(None)
-                made = {"h": pa.array(h[chosen].view(np.int64))}
-                if with_set:
-                    n = np.diff(begin)
-                    key = _set_keys(h, begin)[0]
-                    made["k1"] = pa.array(np.repeat(key, n)[chosen].view(np.int64))
-                    made["n"] = pa.array(np.repeat(n, n)[chosen], pa.int32())
-                yield pa.RecordBatch.from_pydict(made)
-
-        return own.select("text").mapInArrow(run, "h long, k1 long, n int" if with_set else "h long")
-
-    counts = shingles(0, 1, False).groupBy("h").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1")
-    counts = stored(counts, "jaccard-counts")
+                n, key = np.diff(begin), _set_keys(h, begin)[0]
+                owner = np.repeat(np.arange(len(n), dtype=np.int32), n)
+                if passes > 1:
+                    chosen = h % np.uint64(passes) == share
+                    h, owner = h[chosen], owner[chosen]
+                columns = [h.view(np.int64), key.view(np.int64)[owner], n.astype(np.int32)[owner]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "k1", "n"])
+
+        return own.select("text").mapInArrow(run, "h long, k1 long, n int")
+
     several = None
     for share in range(passes):
-        back = shingles(share, passes, True).join(counts.hint("shuffle_hash"), "h").distinct()
-        back = stored(back.select("k1", "n", "docs", "h"), "jaccard-several")
-        several = back if several is None else several.union(back)
+        docs = F.count(F.lit(1)).over(Window.partitionBy("h"))
+        found = shingles(share).withColumn("docs", docs).filter("docs > 1").select("k1", "n", "docs", "h").distinct()
+        found = stored(found, "jaccard-several")
+        several = found if several is None else several.union(found)
     sets = several.groupBy("k1", "n").agg(F.sort_array(F.collect_list(F.struct("docs", "h"))).alias("several"))
     # as many of the first ones as are no set's own; the others come before them
     most = F.expr(f"n - (n * {num}L + {den - 1}) div {den} + 1 - (n - size(several))").cast("int")

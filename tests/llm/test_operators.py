@@ -572,3 +572,22 @@ def test_held_out(spark, name):
         pairs = got.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
         right = pairs.select(F.avg((F.col(column) == F.col("predicted")).cast("int")))
     assert right.first()[0] > (0.85 if name == "op9_toxicity" else 0.95)
+
+
+def test_shingles_are_shuffled_once(spark, monkeypatch):
+    """Each share of the shingles is counted where it arrives, without a join back to the sets."""
+    from tallyroll.llm import jaccard as module
+
+    plans = []
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df
+
+    monkeypatch.setattr(module, "stored", seen)
+    rows = [(1, "a b c d e"), (2, "a b c d f"), (3, "a b c d e"), (4, "x y z"), (5, None)]
+    docs = spark.createDataFrame(rows, "id long, text string").select("text")
+    first = {r.n: len(r.first) for r in module._first_shingles(docs, 3, 50, 100, 2).collect()}
+    assert first == {3: 2}
+    assert len(plans) == 2
+    assert all(p.count("MapInArrow") == 1 and "Join" not in p for p in plans)
