@@ -6,6 +6,9 @@ smaller id. Passages (windows) are found in three steps.
 1. Buckets. Every window is named by the least-hashed `SEED`-byte string in it, so equal
    windows, wherever they are, have the same name at the same place. Names found in one
    document only are dropped: their windows can't repeat.
+   Names are shuffled once, with their places, packed by shares of the hashes, and judged where
+   they arrive. What has more than the least id among the names that a task packs together is
+   known to have company, so of a very frequent name few are held to be judged.
    Long stretches (from one rarer name to the second next) that a smaller id has too are settled
    as a whole by their 128-bit checksum; what is left are the borders of repeated text, and
    short passages. A document that is the least to have a name has nothing to drop there; its
@@ -49,56 +52,162 @@ COVER, PERIOD = (0, 1, 2, 5, 8), 16
 #: Columns of a bucket's row: the name begins at column `_PLACES - 1`.
 _WIDTH = _PLACES - 1 + LENGTH
 _BYTE = mix(np.arange(256, dtype=np.uint64), 40)
+#: Bytes that are hashed at a time.
+_SOME = 1 << 16
 _BASE, _BASE_2 = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 #: One in so many names is a rarer one.
 _RARER = 8
+#: Names are dealt into so many shares at least; a task packs so many at a time.
+_SHARES, _PACK = 1024, 1 << 19
+#: Columns of a packed name: hash, second checksum, id, hash of the text, spot.
+_CLAIM = 5
 
 
 def seeds(raw: np.ndarray) -> np.ndarray:
     """Hash of the SEED bytes from each place."""
-    base = lambda n: np.uint64(pow(_BASE, n, 1 << 64))
     n = max(len(raw) - SEED + 1, 0)
-    h1 = _BYTE[raw]
-    h2 = h1[:-1] * base(1) + h1[1:]
-    h4 = h2[:-2] * base(2) + h2[2:]
-    h8 = h4[:-4] * base(4) + h4[4:]
-    h16 = h8[:-8] * base(8) + h8[8:]
-    return mix(h16[:n] * base(8) + h8[16 : 16 + n])
-
-
-def names(raw: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begins of all windows within one text each; where the naming seed is; its hash."""
-    none = np.zeros(0, np.int64)
-    if len(raw) < LENGTH:
-        return none, none, np.zeros(0, np.uint64)
+    h = np.empty(n, np.uint64)
+    # some at a time, so that all steps find them in the processor's cache
+    for at in range(0, n, _SOME):
+        out = h[at : at + _SOME]
+        x = _BYTE[raw[at : at + len(out) + SEED - 1]]
+        for step in (1, 2, 4):
+            x = x[:-step] * np.uint64(pow(_BASE, step, 1 << 64)) + x[step:]
+        # x has eight bytes each now
+        x16 = x[:-8] * np.uint64(pow(_BASE, 8, 1 << 64)) + x[8:]
+        x = x16[: len(out)] * np.uint64(pow(_BASE, 8, 1 << 64)) + x[16 : 16 + len(out)]
+        out[:] = mix(x)
+    return h
+
+
+def runs(raw: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with the same naming seed, each within one text: begin of the first window,
+    number of windows, where the seed is, its hash, and the number of the text."""
+    last = len(raw) - LENGTH + 1
+    if last < 1:
+        none = np.zeros(0, np.int64)
+        return none, none, none, np.zeros(0, np.uint64), none
     h = seeds(raw)
     # the least hash and, of equal ones, the first place: the place is in the low bits
     bits = np.uint64(len(h).bit_length())
-    least = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64)
-    span = 1
-    while span < _PLACES:
-        step = min(span, _PLACES - span)
-        least = np.minimum(least[:-step], least[step:])
-        span += step
-    place = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    size = np.maximum(np.diff(begin) - LENGTH + 1, 0)
-    inside = np.repeat(begin[:-1] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-    place = place[inside]
-    return inside, place, h[place]
-
-
-def stretches(raw: np.ndarray, begin: np.ndarray, place: np.ndarray, h: np.ndarray, both: bool = True) -> tuple:
-    """Begin, end and two checksums (or one) of the stretches between rarer names of one text."""
-    new = np.ones(len(place), bool)
-    new[1:] = place[1:] != place[:-1]
-    at = place[new][h[new] % np.uint64(_RARER) == 0]
+    least = np.empty(last, np.uint64)
+    for at in range(0, last, _SOME):
+        x = h[at : at + _SOME + _PLACES - 1] >> bits << bits
+        x |= np.arange(at, at + len(x), dtype=np.uint64)
+        span = 1
+        while span < _PLACES:
+            step = min(span, _PLACES - span)
+            x = np.minimum(x[:-step], x[step:])
+            span += step
+        least[at : at + _SOME] = x
+    new = np.ones(last, bool)
+    new[1:] = least[1:] != least[:-1]
+    # where a text begins, and where its windows would reach into the next
+    for cut in (begin[:-1], np.maximum(begin[1:] - LENGTH + 1, begin[:-1])):
+        new[cut[cut < last]] = True
+    first = np.flatnonzero(new)
+    count = np.diff(first, append=last)
+    owner = np.searchsorted(begin, first, side="right") - 1
+    whole = first + LENGTH <= begin[owner + 1]
+    first, count, owner = first[whole], count[whole], owner[whole]
+    place = (least[first] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    return first, count, place, h[place], owner
+
+
+def stretches(raw: np.ndarray, begin: np.ndarray, place: np.ndarray, h: np.ndarray) -> tuple:
+    """Begin, end and two checksums of the stretches between rarer names of one text."""
+    at = place[h % np.uint64(_RARER) == 0]
     low, high = at[:-2], at[2:] + SEED
     same = np.searchsorted(begin, low, side="right") == np.searchsorted(begin, high - 1, side="right")
     use = same & (high - low >= LENGTH)
     low, high = low[use], high[use]
     length = mix((high - low).astype(np.uint64), 43)
-    second = hashes_of(raw, low, high, _BASE_2) ^ length if both else None
-    return low, high, hashes_of(raw, low, high) ^ length, second
+    return low, high, hashes_of(raw, low, high) ^ length, hashes_of(raw, low, high, _BASE_2) ^ length
+
+
+def grouped(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows (columns of h, second checksum, id and more) in order of hash and checksum, where
+    each pair begins, and the least id of each row's pair."""
+    order = np.argsort(rows[0])
+    h, second = rows[0][order], rows[1][order]
+    if ((h[1:] == h[:-1]) & (second[1:] != second[:-1])).any():
+        order = np.lexsort((rows[1], rows[0]))
+    rows = np.stack([v[order] for v in rows])
+    new = np.ones(rows.shape[1], bool)
+    new[1:] = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])
+    begin = np.flatnonzero(new)
+    lo = np.minimum.reduceat(rows[2].view(np.int64), begin) if len(begin) else np.zeros(0, np.int64)
+    return rows, begin, lo[np.cumsum(new) - 1]
+
+
+def packed_shares(rows: np.ndarray, shares: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """Rows by share of the hashes: those still to be judged, and those known not to be the first:
+    of one pair all with more than its least id here, but one that tells of them."""
+    rows, begin, lo = grouped(rows)
+    sure = rows[2].view(np.int64) > lo
+    many = np.concatenate([[0], np.cumsum(sure)])
+    told = np.flatnonzero(sure & (many[:-1] == np.repeat(many[begin], np.diff(begin, append=len(sure)))))
+    sure[told] = False
+    share = ((rows[0] >> np.uint64(32)) * np.uint64(shares) >> np.uint64(32)).astype(np.int64)
+    # byte by byte, first bytes of all before second ones, which compresses better
+    parts = [(_planes(rows, of), np.searchsorted(share[of], np.arange(shares + 1)).tolist()) for of in (~sure, sure)]
+    for i in np.flatnonzero(np.bincount(share, minlength=shares)).tolist():
+        yield i, *(planes[:, :, at[i] : at[i + 1]].copy().tobytes() for planes, at in parts)
+
+
+def _planes(rows: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """The first bytes of all values of a row, then the second ones, and so on."""
+    out = np.empty((len(rows), 8, int(of.sum())), np.uint8)
+    for planes, values in zip(out, rows, strict=True):
+        planes[:] = values[of].view(np.uint8).reshape(-1, 8).T
+    return out
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(_CLAIM, 8, -1)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).reshape(_CLAIM, -1).view(np.uint64)
+
+
+def judged_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Claims (h, id_, text_hash, spot): names, or settled stretches if h is null, that are not of
+    the least id; and (h, least id) of each name that has claims. Shares arrive one after another."""
+    claims: tuple[list, list] = ([], [])
+    least: list[np.ndarray] = []
+
+    def ready() -> Iterator[pa.RecordBatch]:
+        for kind, parts in enumerate([*claims, least]):
+            if parts:
+                h, *others = (pa.array(v) for v in np.concatenate(parts, axis=1).view(np.int64))
+                none = pa.nulls(len(h), pa.int64())
+                columns = ([h, *others[1:]], [none, *others[1:]], [h, *others, none, none])[kind]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "id_", "text_hash", "spot"])
+                parts.clear()
+
+    def judge(kind: int, held: list[np.ndarray]) -> None:
+        rows, begin, lo = grouped(np.concatenate(held, axis=1))
+        late = rows[2].view(np.int64) > lo
+        if late.any():
+            claims[kind].append(rows[:, late])
+            if kind == 0:
+                some = begin[np.add.reduceat(late, begin, dtype=np.int64) > 0]
+                least.append(np.stack([rows[0][some], lo[some].view(np.uint64)]))
+
+    key, held = None, []
+    for batch in batches:
+        for share, kind, unsure, sure in zip(*(batch.column(c) for c in ("share", "kind", "unsure", "sure")), strict=True):
+            at = share.as_py(), kind.as_py()
+            if key not in (None, at):
+                judge(key[1], held)
+                held = []
+            key = at
+            held.append(_from_planes(unsure.as_buffer()))
+            if len(sure.as_buffer()):
+                claims[at[1]].append(_from_planes(sure.as_buffer()))
+            if len(claims[0]) + len(claims[1]) >= 64:
+                yield from ready()
+    if held:
+        judge(key[1], held)
+    yield from ready()
 
 
 def passage_ids(rows: np.ndarray, first: np.ndarray, last: np.ndarray, bucket: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -143,85 +252,116 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, block_rows: int,
     spark = docs.sparkSession
     own = _keyed(docs, id_col, text_col)
 
+    shares = max(_SHARES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Names (kind 0) and stretches (kind 1) of some texts at a time, with the second checksum,
+        both ids and where it is (`spot`): from which byte on and, in the low half, the length of
+        the stretch, or the `place` and number of the name's windows."""
+        held: tuple[list, list] = ([], [])
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            for kind, parts in enumerate(held):
+                found = list(packed_shares(np.concatenate(parts, axis=1), shares)) if parts else []
+                if found:
+                    share, unsure, sure = zip(*found, strict=True)
+                    types = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                    columns = [pa.array(c, t) for c, t in zip((share, [kind] * len(share), unsure, sure), types, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["share", "kind", "unsure", "sure"])
+                parts.clear()
+
         for some in _chunks(batches):
             raw, begin = text_bytes(some.column("text"))
-            window, place, h = names(raw, begin)
-            new = np.ones(len(place), bool)
-            new[1:] = place[1:] != place[:-1]
-            ends = np.searchsorted(window[new], begin).astype(np.int32)
-            low, _, g1, g2 = stretches(raw, begin, place, h)
-            long_ends = np.searchsorted(low, begin).astype(np.int32)
-            lists = [(ends, h[new]), (long_ends, g1), (long_ends, g2)]
-            arrays = [pa.ListArray.from_arrays(e, pa.array(v.view(np.int64))) for e, v in lists]
-            yield pa.RecordBatch.from_arrays(
-                [some.column("id_"), some.column("text_hash"), *arrays], names=["id_", "text_hash", "names", "g1", "g2"]
-            )
+            ids = [some.column(c).to_numpy() for c in ("id_", "text_hash")]
+            first, count, place, h, owner = runs(raw, begin)
+            low, high, g1, g2 = stretches(raw, begin, place, h)
+            whose = np.searchsorted(begin, low, side="right") - 1
+            # where the first window begins, counted so that the name is at _PLACES - 1
+            within = first - place + _PLACES - 1
+            for parts, one, two, of, at, extent in (
+                (held[0], h, np.zeros(len(h), np.uint64), owner, first, within << 8 | count),
+                (held[1], g1, g2, whose, low, high - low),
+            ):
+                spot = (at - begin[of]) << 32 | extent
+                parts.append(np.stack([one, two, *(v[of].view(np.uint64) for v in ids), spot.view(np.uint64)]))
+            if sum(p.shape[1] for parts in held for p in parts) >= _PACK:
+                yield from packed()
+        yield from packed()
 
-    schema = "id_ long, text_hash long, names array<long>, g1 array<long>, g2 array<long>"
-    named = stored(own.mapInArrow(name, schema), "repeat-names")
     key = ["id_", "text_hash"]
+    # each name and stretch is shuffled once and judged where it arrives
+    each = own.mapInArrow(name, "share int, kind int, unsure binary, sure binary")
+    ordered = each.repartition("share").sortWithinPartitions("share", "kind")
+    judged = stored(ordered.mapInArrow(judged_shares, "h long, id_ long, text_hash long, spot long"), "repeat-claims")
+    claims = judged.filter("spot IS NOT NULL")
+    common = judged.filter("spot IS NULL").select("h", F.col("id_").alias("lo"))
     # joins below shuffle both sides at any size: what is common grows with the input
-    long = named.select(*key, F.explode(F.arrays_zip("g1", "g2")).alias("g")).select(*key, "g.g1", "g.g2")
-    least = long.groupBy("g1", "g2").agg(F.min("id_").alias("lo"), F.max("id_").alias("hi")).filter("lo < hi")
-    settled = stored(
-        long.join(least.drop("hi").hint("merge"), ["g1", "g2"]).filter("id_ > lo")
-        .groupBy(*key).agg(F.collect_list("g1").alias("settled")),
-        "repeat-settled",
-    )
-    each = named.select(*key, F.explode("names").alias("h"))
-    common = each.groupBy("h").agg(F.min("id_").alias("lo"), F.max("id_").alias("hi")).filter("lo < hi")
-    common = stored(common.drop("hi"), "repeat-common")
-    wanted = each.join(common.hint("merge"), "h").filter("id_ > lo").groupBy(*key).agg(F.collect_list("h").alias("wanted"))
-    lists = stored(wanted.join(settled.hint("merge"), key, "left"), "repeat-lists")
-
-    member_schema = "h long, id_ long, text_hash long, at long, place int, around binary"
-    member_arrow = to_arrow(spark.createDataFrame([], member_schema))
+    lists = claims.groupBy(*key).agg(F.collect_list(F.struct("h", "spot")).alias("claims"))
+
+    target_schema = "h long, id_ long, text_hash long, at long, place int, around binary"
+    target_arrow = to_arrow(spark.createDataFrame([], target_schema))
 
     def surround(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each run of windows of a wanted name; rows without a name are settled
-        stretches (`place` is their length)."""
+        """A row for each run of windows of a claimed name outside settled stretches; rows without
+        a name are settled stretches (`place` is their length)."""
         for some in _chunks(batches):
             raw, begin = text_bytes(some.column("text"))
-            window, place, h = names(raw, begin)
-            owner = np.searchsorted(begin, window, side="right") - 1
-            low, high, g1, _ = stretches(raw, begin, place, h, both=False)
-            whose = np.searchsorted(begin, low, side="right") - 1
-            done = _listed(some.column("settled"), g1, whose)
-            low, high = low[done], high[done]
+            each = some.column("claims").flatten()
+            owner = np.repeat(np.arange(len(some)), some.column("claims").value_lengths().to_numpy())
+            spot, settled = each.field("spot").to_numpy(), each.field("h").is_null().to_numpy(zero_copy_only=False)
+            start, extent = begin[owner] + (spot >> 32), spot & 0xFFFFFFFF
+            low, length = start[settled], extent[settled]
             change = np.zeros(len(raw) + 2, np.int32)
             np.add.at(change, low, 1)
-            np.add.at(change, high - LENGTH + 1, -1)
-            open_ = np.flatnonzero(np.cumsum(change)[window] == 0) if len(low) else np.arange(len(window))
-            window, place, h, owner = window[open_], place[open_], h[open_], owner[open_]
-            new = np.ones(len(place), bool)
-            new[1:] = (place[1:] != place[:-1]) | (window[1:] != window[:-1] + 1) | (owner[1:] != owner[:-1])
+            np.add.at(change, low + length - LENGTH + 1, -1)
+            closed = np.cumsum(change) > 0
+            named = np.flatnonzero(~settled)
+            count = extent[named] & 0xFF
+            run = np.repeat(named, count)
+            window = start[run] + np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+            open_ = ~closed[window]
+            run, window = run[open_], window[open_]
+            new = np.ones(len(run), bool)
+            new[1:] = (run[1:] != run[:-1]) | (window[1:] != window[:-1] + 1)
             a = np.flatnonzero(new)
-            b = np.append(a[1:], len(place)) - 1
-            hit = _listed(some.column("wanted"), h[a], owner[a])
-            a, b = a[hit], b[hit]
-            first, behind, data = window[a], window[b] + LENGTH, raw.tobytes()
-            around = [data[s:e] for s, e in zip(first.tolist(), behind.tolist(), strict=True)]
-            # where the first window begins, counted so that the name is at _PLACES - 1
-            within = first - place[a] + _PLACES - 1
-            whose = np.concatenate([owner[a], np.searchsorted(begin, low, side="right") - 1])
+            run, first, behind = run[a], window[a], window[np.append(a[1:], len(window)) - 1] + LENGTH
+            place = (extent[run] >> 8) + first - start[run]
+            at = np.concatenate([run, np.flatnonzero(settled)])
+            of, whose = each.take(pa.array(at)), owner[at]
             columns = {
-                "h": pa.concat_arrays([pa.array(h[a].view(np.int64)), pa.nulls(len(low), pa.int64())]),
+                "h": of.field("h"),
                 "id_": some.column("id_").take(pa.array(whose)),
                 "text_hash": some.column("text_hash").take(pa.array(whose)),
                 "at": pa.array(np.concatenate([first, low]) - begin[whose]),
-                "place": pa.array(np.concatenate([within, high - low]).astype(np.int32)),
-                "around": pa.array([*around, *[None] * len(low)], pa.binary()),
+                "place": pa.array(np.concatenate([place, length]).astype(np.int32)),
+                "around": pa.array([*_slices(raw, first, behind), *[None] * len(low)], pa.binary()),
             }
-            yield pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in member_arrow], schema=member_arrow)
-
-    targets = stored(own.join(lists.hint("merge"), key).mapInArrow(surround, member_schema), "repeat-members")
-    asked = targets.filter("h IS NOT NULL").select("h").distinct().join(common.hint("merge"), "h")
-    holders = asked.groupBy(F.col("lo").alias("id_")).agg(
-        F.collect_list("h").alias("wanted"), F.lit(None).cast("array<bigint>").alias("settled")
-    )
-    sources = own.join(holders.hint("merge"), "id_").mapInArrow(surround, member_schema)
-    members = stored(targets.filter("h IS NOT NULL").union(sources), "repeat-members")
+            yield pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in target_arrow], schema=target_arrow)
+
+    targets = stored(own.join(lists.hint("merge"), key).mapInArrow(surround, target_schema), "repeat-targets")
+    named = targets.filter("h IS NOT NULL")
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each run of windows of a name that others ask about."""
+        for some in _chunks(batches):
+            raw, begin = text_bytes(some.column("text"))
+            first, count, place, h, owner = runs(raw, begin)
+            hit = _listed(some.column("asked"), h, owner)
+            first, count, place, h, owner = (v[hit] for v in (first, count, place, h, owner))
+            around = _slices(raw, first, first + count - 1 + LENGTH)
+            columns = {
+                "h": pa.array(h.view(np.int64)),
+                "place": pa.array((first - place + _PLACES - 1).astype(np.int32)),
+                "around": pa.array(around, pa.binary()),
+                "id_": some.column("id_").take(pa.array(owner)),
+            }
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    least = named.select("h").distinct().join(common.hint("merge"), "h")
+    asked = least.groupBy(F.col("lo").alias("id_")).agg(F.collect_list("h").alias("asked"))
+    held = own.join(asked.hint("merge"), "id_").mapInArrow(hold, "h long, place int, around binary, id_ long")
+    sources = stored(held, "repeat-sources")
+    members = named.select("h", "place", "around", "id_").union(sources)
     rows = stored(
         members.groupBy("h", "place", "around").agg(F.min("id_").alias("lo"), F.max("id_").alias("hi")), "repeat-rows"
     )
@@ -264,6 +404,11 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, block_rows: int,
     return found.union(whole).groupBy("id_", "text_hash").agg(spans)
 
 
+def _slices(raw: np.ndarray, first: np.ndarray, behind: np.ndarray) -> list[bytes]:
+    data = raw.tobytes()
+    return [data[s:e] for s, e in zip(first.tolist(), behind.tolist(), strict=True)]
+
+
 def _flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a binary column in a row, and where each value begins, with the end."""
     column = column.cast(pa.large_binary())

@@ -423,6 +423,62 @@ def test_repeats(docs, none, rows, limits):
     assert repeats.without_repeats(none).count() == 0
 
 
+def test_names_are_shuffled_once_and_packed(spark, monkeypatch):
+    """One pass over the texts names them; its rows are shares of many names, not single names."""
+    rng = np.random.default_rng(5)
+    words = ["".join(map(chr, rng.integers(97, 123, 7))) for _ in range(300)]
+    passage = " ".join(words[:40])
+    texts = [" ".join(rng.choice(words, 60)) + passage * (i % 3 > 0) for i in range(60)]
+    rows = [(i // 2 if i % 7 else None, t) for i, t in enumerate([*texts, *texts[:5], "", None, "short"])]
+    plans, real = {}, repeats.stored
+    monkeypatch.setattr(repeats, "stored", lambda df, name: plans.setdefault(name, df) and real(df, name))
+    monkeypatch.setattr(repeats, "_PACK", 200)  # many packs, so that names are told and judged across them
+    own = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = repeats.without_repeats(own).drop("row", "kept").collect()
+    assert sorted(map(tuple, got)) == naive_repeats(rows)
+    plan = plans["repeat-claims"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [share" in plan and plan.count("MapInArrow") == 2
+    assert "repeat-names" not in plans and "Generate" not in plan
+
+
+def test_packed_shares_keep_all_and_hold_few_of_frequent_names():
+    rng = np.random.default_rng(6)
+    rows = rng.integers(0, 1 << 62, (5, 4000)).astype(np.uint64)
+    rows[0] = np.uint64(1 << 60) * (rows[0] % np.uint64(9))  # equal hashes, also with other checksums
+    rows[1] %= np.uint64(2)
+    rows[2] %= np.uint64(500)
+    held, known = [], []
+    for _, unsure, sure in repeats.packed_shares(rows, 16):
+        held += map(tuple, repeats._from_planes(unsure).T.tolist())
+        known += map(tuple, repeats._from_planes(sure).T.tolist())
+    assert sorted(held + known) == sorted(map(tuple, rows.T.tolist()))
+    least = {}
+    for h, second, i, *_ in map(tuple, rows.T.tolist()):
+        least[h, second] = min(least.get((h, second), i), i)
+    assert all(r[2] > least[r[:2]] for r in known) and len(held) < 100
+
+
+def test_runs_are_the_windows_by_their_least_seed():
+    rng = np.random.default_rng(7)
+    for letters, some in ((1, 1 << 16), (2, 1 << 16), (26, 1 << 16), (26, 64)):
+        sizes = rng.choice([0, 1, 49, 50, 51, 76, 77, 300], 12)
+        begin = np.concatenate([[0], np.cumsum(sizes)])
+        raw = rng.integers(97, 97 + letters, begin[-1]).astype(np.uint8)
+        whole = repeats.seeds(raw)
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(repeats, "_SOME", some)
+            assert (repeats.seeds(raw) == whole).all()
+            first, count, place, h, owner = repeats.runs(raw, begin)
+        low = np.uint64(len(whole).bit_length())
+        want = []
+        for t, (b, e) in enumerate(zip(begin, begin[1:], strict=False)):
+            for w in range(b, e - repeats.LENGTH + 1):
+                at = min(range(w, w + repeats.LENGTH - repeats.SEED + 1), key=lambda p: (int(whole[p] >> low), p))
+                want.append((w, at, int(whole[at]), t))
+        got = [(f + k, p, int(x), t) for f, c, p, x, t in zip(first, count, place, h, owner, strict=True) for k in range(c)]
+        assert got == want
+
+
 def test_cuts_take_whole_characters_and_leave_others(spark):
     passage = "été 日本 " * 12
     texts = [f"a\ufffdb {passage}", f"\ufffd zé{passage}日x \ufffd", "no cut \ufffd here"]
