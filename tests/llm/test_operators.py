@@ -213,6 +213,17 @@ def test_all_trusted_documents_count(spark):
     assert {r.score for r in quality_rules.judged(own, good).collect()} == {0}
 
 
+def test_op3_counts_all_trusted_documents(spark, tmp_path):
+    """Of many trusted documents some share one of 16,384 hash buckets; the query takes them all."""
+    n = 5000
+    assert len({zlib.crc32(str(i).encode()) % 16_384 for i in range(n)}) < n
+    own = spark.range(n).select(F.col("id").alias("doc_id"), F.repeat(F.concat("id", F.lit(" ")), 60).alias("text"))
+    own.write.parquet(f"{tmp_path}/documents.parquet")
+    own.select("doc_id", F.lit(1).alias("quality")).write.parquet(f"{tmp_path}/labels.parquet")
+    # all text is trusted, so no gram is likelier in the target than in the whole
+    assert {r.score for r in quality_rules.quality_rules(spark, str(tmp_path)).collect()} == {0}
+
+
 # --- 4
 
 
