@@ -3,10 +3,12 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry
+from tallyroll.operators import conform
 from tallyroll.plans.star_oracles import ORACLES
-from tallyroll.plans.star_lines import statement_lines
+from tallyroll.plans.star_lines import statement_file, statement_lines
 from tallyroll.plans.star_queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -76,3 +78,43 @@ def test_files_are_planned_once(spark, name):
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().withCachedData().toString()
     assert on_lines(plan) == 1
     assert "InMemoryRelation" in plan
+
+
+def test_what_is_shuffled_with_lines_is_narrow(spark):
+    """Suppliers may be broadcast, lines are shuffled twice, and no file name or nation goes along."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(os.path.getsize(f"{SF_DIR}/supplier.parquet")))
+    try:
+        lines = statement_lines(spark, SF_DIR, "file_name", "vendor_name", "Play_Date", "Track", "Album", "ISRC", "Territory")
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning(l_") == 2
+    shuffled = plan[plan.index("Exchange hashpartitioning(l_") :]
+    shuffled = shuffled[: shuffled.index("FileScan")]
+    assert "_file_name" not in shuffled and "n_name" not in shuffled and "r_name" not in shuffled
+
+
+def test_file_names_of_all_years(spark):
+    """Months as a formatter writes them, also of years that have not four digits."""
+    when = "'0001-01-31', '0999-12-31', '1000-02-01', '1994-09-30', '9999-12-31', null"
+    for kind in ("timestamp", "date"):
+        rows = spark.sql(f"select explode(array({when})) as d").select(F.col("d").cast(kind))
+        by_formatter = F.concat(F.lit("A_"), F.date_format("d", "MMM_yyyy"), F.lit(".csv"))
+        found = rows.select(statement_file(F.lit("A"), F.col("d")), by_formatter).collect()
+        assert len(found) == 6 and all(a == b for a, b in found)
+
+
+@pytest.mark.parametrize("name", ["payment_rows", "payment_rows_wide"])
+def test_equal_rows_are_shuffled_with_a_number_for_their_file(spark, monkeypatch, name):
+    """The same rows come out with and without the number, which stands for what the engine sets."""
+    numbered = QUERIES[name](spark, SF_DIR)
+    plan = numbered._jdf.queryExecution().executedPlan().toString().splitlines()
+    exchange = [line for line in plan if "Exchange hashpartitioning(kind" in line]
+    assert len(exchange) == 1
+    assert not any(f"{c}#" in exchange[0] for c in ("Deal", "Report_Date", "Sale_Category", "File_Name"))
+    monkeypatch.setattr(conform, "BROADCAST_FILES", 0)
+    plain = QUERIES[name](spark, SF_DIR)
+    assert "hashpartitioning(kind" not in plain._jdf.queryExecution().executedPlan().toString()
+    assert plain.columns == numbered.columns
+    assert sorted(map(str, plain.collect())) == sorted(map(str, numbered.collect()))
